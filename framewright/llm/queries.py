@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import mixing, sharding
+from framewright.llm import mixing, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": mixing.op3_mixing,
+    "op4_packing": packing.op4_packing,
     "op9_sharding": sharding.op9_sharding,
 }
 
