@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import mixing, packing, sharding
+from framewright.llm import langid, media, mixing, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
+    "op8_language": langid.op8_language,
     "op9_sharding": sharding.op9_sharding,
+    "op10_media": media.op10_media,
 }
 
 ORACLE: dict[str, str] = {}
