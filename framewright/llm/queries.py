@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import langid, media, mixing, packing, sharding
+from framewright.llm import fingerprints, langid, media, mixing, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op8_language": langid.op8_language,
