@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import fingerprints, langid, links, media, mixing, packing, sharding, surrogates
+from framewright.llm import fingerprints, jaccard, langid, links, media, mixing, packing, sharding, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
+    "op5_jaccard": jaccard.op5_jaccard,
     "op6_links": links.op6_links,
     "op7_surrogates": surrogates.op7_surrogates,
     "op8_language": langid.op8_language,
