@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import fingerprints, jaccard, langid, links, media, mixing, packing, sharding, surrogates
+from framewright.llm import fingerprints, jaccard, langid, links, media, mixing, packing, sharding, substrings, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substrings": substrings.op1_substrings,
     "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
