@@ -29,6 +29,7 @@ BASES = (911_382_323, 972_663_749)
 SPAN, CLASSES = 16, 64
 EMPTY_CLASS = 0xFFFF
 BUCKET_BYTES, BUCKET_ROWS = 12 << 20, 20_000
+MOST_BROADCAST = 100_000  # rows of 16 bytes
 
 
 def _reduce(x: np.ndarray) -> np.ndarray:
@@ -140,6 +141,8 @@ def in_order(docs: DataFrame) -> DataFrame:
     tops = docs.select("doc_id", bucket(F.col("doc_id")).alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top")).orderBy("bucket").collect()
     led = [(tops[(i + 1) % len(tops)]["bucket"], t["top"]) for i, t in enumerate(tops)]
     leads = docs.sparkSession.createDataFrame(led, "to long, top long")
+    if len(led) <= MOST_BROADCAST:
+        leads = F.broadcast(leads)
     guests = docs.join(leads, docs["doc_id"].eqNullSafe(leads["top"])).select(F.col("to").alias("bucket"), F.lit(True).alias("guest"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return held.unionByName(guests).repartition(many, "bucket").sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
 
