@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,32 +33,58 @@ CHUNK_ROWS = 2000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next free one from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+class PieceIds(dict):
+    """The ids of one pre-token as little-endian bytes, from the tokenizer's model."""
+
+    def __init__(self, model, most: int):
+        self.model, self.most, self.letters = model, most, byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        ids = np.asarray([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        if len(self) < self.most:
+            self[piece] = ids
+        return ids
+
+
 class WordIds(dict):
-    """The ids of a white-space-free chunk of plain Latin text as little-endian bytes, encoded once.
+    """The ids of a white-space-free chunk of lower-cased Latin text, encoded once.
 
     The tokenizer drops white space and never joins across it, so that a text's ids are those of its
-    chunks one after another. Texts with other characters go to the tokenizer whole.
+    chunks one after another. Texts with other characters go to the tokenizer whole. A full
+    table takes no more entries: words seen early are the frequent ones.
     """
 
-    #: Up to U+024F composition changes nothing; control separators split differently in Python.
-    plain = re.compile(r"[^\x00-\x1b\x20-\x84\x86-ɏ]|[\x00-\x08\x0e-\x1b<]")
+    #: The tokenizer's own pre-tokens (fixed value).
+    pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    #: Beyond these, composition or lower case may differ; Python splits at control separators, and < may start a special token.
+    odd = re.compile(r"[^\x00-\u024f]")
+    special = ("<", "\x1c", "\x1d", "\x1e", "\x1f")
 
     def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.parts = PieceIds(self.tokenizer.model, most)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        self[chunk] = ids = self.whole(chunk)
+        ids = b"".join(map(self.parts.__getitem__, self.pieces.findall(chunk)))
+        if len(self) < self.most:
+            self[chunk] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
-        if self.plain.search(text):
+        if any(c in text for c in self.special) or not text.isascii() and self.odd.search(text):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.lower().split()))
 
