@@ -546,3 +546,56 @@ def stream_bucket_counts(spark, d):
 
     out = drained_buckets(spark, f"{d}/events.parquet", "1 hour")
     return out.select("event_type", F.col("bucket").cast("timestamp_ntz").alias("bucket"), "n", F.round("total", 4).alias("total"))
+
+
+@query(f"""WITH {SHOTS} SELECT e.event_id, s.id FROM ev e JOIN shots s ON s.video_id = e.video_id AND e.t >= s.st AND e.t < s.en WHERE e.event_type = 'click'""")
+def stream_current_shot(spark, d):
+    from framewright.streaming.buckets import drained, interval_stream, read_stream
+
+    clicks = read_stream(spark, f"{d}/events.parquet").where("event_type = 'click'")
+    timed = clicks.select("event_id", F.col("user_id").alias("video_id"), F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").alias("t"))
+    return drained(interval_stream(timed, shots(spark, d), "video_id", "t").select("event_id", "id"), "append")
+
+
+# Report rules ------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {ENERGY} SELECT video_id, id, CASE dominant_type WHEN 'dialogue' THEN '#58a6ff' WHEN 'bgm' THEN '#3fb950' WHEN 'sfx' THEN '#d29922' WHEN 'mixed' THEN '#8b949e' ELSE '#666' END AS colour,
+CASE dominant_type WHEN 'dialogue' THEN '💬' WHEN 'bgm' THEN '🎵' WHEN 'sfx' THEN '🔊' WHEN 'mixed' THEN '🔀' ELSE '❓' END AS sign FROM typed""")
+def type_lookup(spark, d):
+    from framewright.functions.shots import type_colour, type_sign
+
+    return typed_shots(spark, d).select("video_id", "id", type_colour(F.col("dominant_type")).alias("colour"), type_sign(F.col("dominant_type")).alias("sign"))
+
+
+@query(f"""{HOURLY} SELECT video_id, id, round(greatest(en - 0.05, st), 6) AS last_frame, round(greatest(0, least(st, 100 - 0.1)), 6) AS play_at, CAST(trunc(st * 30) AS BIGINT) AS frame_no FROM rel""")
+def frame_times(spark, d):
+    from framewright.functions.shots import frame_number, last_frame_time, play_time
+
+    _, rel = relative(spark, d)
+    return rel.select("video_id", "id", F.round(last_frame_time(F.col("start"), F.col("end")), 6).alias("last_frame"), F.round(play_time(F.col("start"), F.lit(100.0)), 6).alias("play_at"), frame_number(F.col("start")).alias("frame_no"))
+
+
+@query("""WITH w AS (SELECT doc_id, text, CASE WHEN lang = 'en' THEN []::VARCHAR[] WHEN lang = 'fr' THEN NULL ELSE [source] END AS said FROM documents)
+SELECT doc_id, CASE WHEN len(coalesce(said, [])) > 0 THEN said[1] ELSE lang_free END AS dialogue, substring(text, 1, 200) AS excerpt FROM (SELECT *, 'none' AS lang_free FROM w)""")
+def dialogue_fallback(spark, d):
+    from framewright.functions.shots import excerpt, first_filled
+
+    said = F.when(F.col("lang") == "en", F.array().cast("array<string>")).when(F.col("lang") == "fr", F.lit(None).cast("array<string>")).otherwise(F.array("source"))
+    return table(spark, d, "documents").select("doc_id", F.element_at(first_filled(said, F.array(F.lit("none"))), 1).alias("dialogue"), excerpt(F.col("text")).alias("excerpt"))
+
+
+@query(f"""{NUMBERED}, p AS (SELECT *, CAST(round_even(100 * energy / max(energy) OVER (PARTITION BY video_id, stem), 0) AS INTEGER) AS pct FROM b)
+SELECT video_id, stem, bucket, round(greatest(0.5, CASE WHEN bucket % 3 = 0 THEN 1 ELSE bucket % 3 * 0.2 END), 6) AS bar_h, round(pct / 100 * 300 * 0.45, 6) AS bar_w FROM p""")
+def bar_geometry(spark, d):
+    p = energy.bucket_percent(buckets(spark, d), ["video_id", "stem"]).withColumn("y", F.lit(0.0)).withColumn("y2", F.col("bucket") % 3 * 0.2)
+    return layout.bars(p, F.lit(1), "y", "y2", 300).select("video_id", "stem", "bucket", F.round("bar_h", 6).alias("bar_h"), F.round("bar_w", 6).alias("bar_w"))
+
+
+@query("""WITH p AS (SELECT d.doc_id, d.lang, d.text, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, '#' || doc_id AS label, CASE WHEN quality IS NULL THEN '' ELSE quality || ' - ' || toxic END AS times, length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS escaped FROM p""")
+def prompt_report(spark, d):
+    held = docs_ops.with_times(table(spark, d, "documents").select("doc_id", "lang", "text"), table(spark, d, "labels"), "doc_id", ["quality", "toxic"])
+    times = F.when(F.col("quality").isNull(), "").otherwise(F.concat(F.col("quality").cast("string"), F.lit(" - "), F.col("toxic").cast("string")))
+    escaped = F.length(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))).cast("long")
+    return held.select("doc_id", F.concat(F.lit("#"), F.col("doc_id").cast("string")).alias("label"), times.alias("times"), escaped.alias("escaped"))

@@ -60,9 +60,9 @@ def bucket_percent(buckets: DataFrame, stem: list[str]) -> DataFrame:
 
 
 def global_norm(buckets: DataFrame) -> DataFrame:
-    """Adds level: energy over the largest of all stems and buckets, at most 1."""
-    top = buckets.agg(F.max("energy").alias("__top"))
-    return buckets.crossJoin(F.broadcast(top)).withColumn("level", F.least(F.lit(1.0), F.try_divide("energy", "__top"))).drop("__top")
+    """Adds level: energy over the largest of all stems and buckets, at most 1. Reads buckets once for the largest."""
+    top = buckets.agg(F.max("energy")).first()[0]
+    return buckets.withColumn("level", F.least(F.lit(1.0), F.try_divide(F.col("energy"), F.lit(top).cast("double"))))
 
 
 def silent_waveform(durations: DataFrame, stems: tuple[str, ...], step_ms: int = 350) -> DataFrame:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.functions.text import data_url, frame_name, from_data_url, html_escape, script_safe
+from framewright.functions.layout_text import field_lines
+from framewright.functions.shots import excerpt, type_colour, type_sign
+from framewright.functions.text import frame_name, from_data_url, html_escape, script_safe
 
 
 def html_block(html: Column, tag: str) -> Column:
@@ -34,8 +40,49 @@ def report(rows: DataFrame, title: str, body: Column, order: list[str], script:
     return rows.agg(F.concat(head, line, F.lit("\n<script>const rows = "), data, F.lit(";</script></body></html>")).alias("value"))
 
 
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """Write files (name, content) below a folder all executors share, unless they are there; one row a file: name, written."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(root, recursive=True)
+        for batch in batches:
+            new = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                there = fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound
+                if not there:
+                    with fs.open_output_stream(f"{root}/{name}") as f:
+                        f.write(content)
+                new.append(not there)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.bool_())], names=["name", "written"])
+
+    return files.select("name", "content").mapInArrow(write, "name string, written boolean")
+
+
 def card(label: Column, text: Column, css: Column) -> Column:
     return F.concat(F.lit('<div class="card '), css, F.lit('"><b>'), html_escape(label), F.lit("</b><p>"), html_escape(text), F.lit("</p></div>"))
 
 
-__all__ = ["card", "data_url", "frame_files", "html_block", "report", "swap_shots"]
+def shot_card(id_: Column, start: Column, end: Column, css: Column) -> Column:
+    """A card of the shot reports: number, times, short or long."""
+    return card(F.concat(F.lit("#"), id_.cast("string")), F.format_string("%.1fs - %.1fs", start, end), css)
+
+
+def audio_card(id_: Column, kind: Column, ratios: Column, dialogue: Column) -> Column:
+    """A card of the sound report: type, whole percentages of the stems, dialogue."""
+    shares = F.array_join(F.transform(F.array_sort(F.map_entries(ratios)), lambda e: F.format_string("%s %.0f%%", e["key"], e["value"] * 100)), ", ")
+    text = F.concat_ws(" | ", shares, F.nullif(dialogue, F.lit("")))
+    return F.concat(F.lit('<div style="color:'), type_colour(kind), F.lit('">'), card(F.concat(F.lit("#"), id_.cast("string"), F.lit(" "), type_sign(kind)), text, kind), F.lit("</div>"))
+
+
+def timeline_row(id_: Column, y_start: Column, height: Column, kind: Column, dialogue: Column) -> Column:
+    """A row of the timeline: its place, and the first 200 characters of what is said."""
+    place = F.format_string('<div id="srow-%d" style="top:%.0fpx;height:%.0fpx">', id_.cast("int"), y_start, height)
+    return F.concat(place, type_sign(kind), F.lit(" "), html_escape(excerpt(dialogue)), F.lit("</div>"))
+
+
+def prompt_card(id_: Column, start: Column, end: Column, fields: dict[str, Column], dialogue: Column, prompt: Column) -> Column:
+    """A card of the prompt review; prompts without a shot have no times."""
+    times = F.coalesce(F.format_string("%.1fs - %.1fs", start, end), F.lit(""))
+    times = F.when(start.isNull() | end.isNull(), "").otherwise(times)
+    return F.concat(card(F.concat(F.lit("#"), id_.cast("string")), times, F.lit("prompt")), field_lines(fields), html_escape(dialogue), F.lit("<pre>"), html_escape(prompt), F.lit("</pre>"))

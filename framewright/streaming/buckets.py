@@ -16,17 +16,30 @@ def bucket_stream(stream: DataFrame, width: str, late: str = "1 day") -> DataFra
     return sums.select("event_type", F.col("w.start").alias("bucket"), "n", "total")
 
 
-def drained_buckets(spark: SparkSession, path: str, width: str) -> DataFrame:
-    """Run the stream over all that is there now; its last complete result, from the shared folder."""
+def interval_stream(stream: DataFrame, intervals: DataFrame, key: str, t: str) -> DataFrame:
+    """Each event of a stream with the stored interval (key, id, start, end) that holds it: a stream-static join."""
+    held = intervals.select(F.col(key).alias("__k"), "id", "start", "end")
+    return stream.join(held, (F.col(key) == F.col("__k")) & (F.col(t) >= F.col("start")) & (F.col(t) < F.col("end"))).drop("__k")
+
+
+def _place(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
-    place = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    schema = spark.read.parquet(path).schema
-    pattern = f"{path[:-1]}[{path[-1]}]"  # a pattern may name a single file, a plain path must be a folder
-    stream = bucket_stream(spark.readStream.schema(schema).parquet(pattern), width)
+    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
 
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{place}/out")
+def read_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the Parquet files at a path; a pattern may name a single file, a plain path must be a folder."""
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
-    started = stream.writeStream.outputMode("complete").option("checkpointLocation", f"{place}/state").trigger(availableNow=True).foreachBatch(keep).start()
+
+def drained(stream: DataFrame, mode: str) -> DataFrame:
+    """Run a stream over all that is there now; its result, from the shared folder: the last one (complete) or all (append)."""
+    place = _place(stream.sparkSession)
+    write = lambda batch, _: batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{place}/out")
+    started = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).foreachBatch(write).start()
     started.awaitTermination()
-    return spark.read.parquet(f"{place}/out")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{place}/out")
+
+
+def drained_buckets(spark: SparkSession, path: str, width: str) -> DataFrame:
+    return drained(bucket_stream(read_stream(spark, path), width), "complete")

@@ -199,3 +199,21 @@ def test_detect_runs_all_passes(spark):
     out = detect_shots(psd, coarse, fine, fine, frames, durations).orderBy("id").collect()
     assert [r["start"] for r in out] == [0, t(2.0), t(3.7), t(6.0), t(7.7), t(9.0)]  # a moved cut takes the first of equal similarities
     assert out[-1]["end"] == t(12.0)
+
+
+def test_report_cards_and_files(spark, tmp_path):
+    row = spark.sql("SELECT 1 id, 0.5D s, 2.0D e, 'sfx' kind, map('vocals', 0.25D, 'other', 0.75D) r, '<hi>' d, CAST(NULL AS DOUBLE) none")
+    out = row.select(
+        reports.shot_card(F.col("id"), F.col("s"), F.col("e"), F.lit("short")), reports.audio_card(F.col("id"), F.col("kind"), F.col("r"), F.col("d")),
+        reports.timeline_row(F.col("id"), F.col("s"), F.col("e"), F.col("kind"), F.col("d")), reports.prompt_card(F.col("id"), F.col("none"), F.col("e"), {"scene": F.col("d")}, F.col("d"), F.col("d")),
+    ).first()
+    assert "#1" in out[0] and "0.5s - 2.0s" in out[0] and "short" in out[0]
+    assert "#d29922" in out[1] and "other 75%, vocals 25%" in out[1] and "&lt;hi&gt;" in out[1]
+    assert "srow-1" in out[2] and "🔊" in out[2]
+    assert "<i>scene</i> &lt;hi&gt;" in out[3] and "<p></p>" in out[3]
+    cache = spark.createDataFrame([(1, "data:image/jpeg;base64,aGk=", ""), (2, None, "data:image/png;base64,eW8=")], "id int, first_frame string, last_frame string")
+    files = reports.frame_files(cache)
+    assert {r["name"]: bytes(r["content"]) for r in files.collect()} == {"shot_001_first.jpg": b"hi", "shot_002_last.jpg": b"yo"}
+    assert sorted(r["written"] for r in reports.write_files(files, str(tmp_path / "out")).collect()) == [True, True]
+    assert sorted(r["written"] for r in reports.write_files(files, str(tmp_path / "out")).collect()) == [False, False]
+    assert (tmp_path / "out" / "shot_001_first.jpg").read_bytes() == b"hi"
