@@ -42,13 +42,20 @@ NAMES = {
     ("f", "cyrillic"): ["Алла", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Инна", "Кира", "Лидия", "Мария", "Нина", "Ольга", "Полина", "Раиса", "Юлия"],
 }
 SURNAME_ENDS = {"latin": ["berg", "dale", "feld", "holm", "land", "mann", "mont", "stad"], "cyrillic": ["енко", "ич", "ко", "ский", "ук", "цев", "чук", "як"]}
-NAME = rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})"
+FEMALE += [t.upper() for t in FEMALE]
+TITLES = "|".join([*MALE, *[t.upper() for t in MALE], *FEMALE])
+NAME = rf"(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})"
 ENTITY = "|".join([MAIL, SECRET, ADDRESS, PHONE, SOCIAL, CARD, NAME])
-LIKELY = rf"[0-9@]|AKIA|ghp_|sk-|{'|'.join(MALE + FEMALE)}"
+LIKELY = rf"[0-9@]|AKIA|ghp_|sk-|{TITLES}"
 #: The letters that stand for letters.
 LATIN, CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщэюя"
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with value computed once: an expression inside a lambda is otherwise computed anew for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def kind_of(found: Column) -> Column:
     whole = lambda p: found.rlike(f"^(?:{p})$")
     return (
@@ -70,8 +77,7 @@ def canonical(kind: Column, found: Column) -> Column:
 def _draws(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """A keyed number 0..65535 for each position of canon, as an array."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(canon) / 16).cast("int")), lambda b: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"), b.cast("string"), F.lit(key)), 256))
-    stream = F.array_join(blocks, "")
-    return F.transform(F.sequence(F.lit(0), F.length(canon)), lambda i: F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int"))
+    return _let(F.array_join(blocks, ""), lambda stream: F.transform(F.sequence(F.lit(0), F.length(canon)), lambda i: F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int")))
 
 
 def _chars(text: Column) -> Column:
@@ -93,9 +99,9 @@ def _like(char: Column, draw: Column) -> Column:
 
 def _check_sum(digits: Column) -> Column:
     """The card check sum of a string of digits, modulo 10."""
-    n = F.length(digits)
-    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.array(F.substring(digits, i, F.lit(1)).cast("int") * F.when(F.pmod(n - i, F.lit(2)) == 1, 2).otherwise(1)), lambda d: F.when(d > 9, d - 9).otherwise(d))[0])
-    return F.pmod(F.aggregate(parts, F.lit(0), lambda a, x: a + x), F.lit(10))
+    doubled = lambda d: F.when(d > 9, d - 9).otherwise(d)
+    values = lambda n: F.transform(_chars(digits), lambda c, i: _let(c.cast("int") * F.when(F.pmod(n - i, F.lit(2)) == 0, 2).otherwise(1), doubled))
+    return F.pmod(F.aggregate(_let(F.length(digits), values), F.lit(0), lambda a, x: a + x), F.lit(10))
 
 
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> Column:
@@ -105,19 +111,18 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
         same = lambda text, shift=0: F.array_join(F.transform(_chars(text), lambda c, i: _like(c, F.element_at(d, i + 1 + shift))), "")
         top = F.regexp_extract(canon, r"\.[^.@]*$", 0)
         mail = F.concat(same(F.substring(canon, F.lit(1), F.length(canon) - F.length(top))), top)
-        octet = lambda o, i: F.transform(F.array(F.element_at(d, i + 1)), lambda x: F.when(F.length(o) == 1, F.pmod(x, F.lit(9)) + 1).when(F.length(o) == 2, F.pmod(x, F.lit(90)) + 10).otherwise(F.pmod(x, F.lit(155)) + 100).cast("string"))[0]
+        octet = lambda o, i: _let(F.element_at(d, i + 1), lambda x: F.when(F.length(o) == 1, F.pmod(x, F.lit(9)) + 1).when(F.length(o) == 2, F.pmod(x, F.lit(90)) + 10).otherwise(F.pmod(x, F.lit(155)) + 100).cast("string"))
         ip = F.array_join(F.transform(F.split(canon, r"\."), octet), ".")
         code = F.greatest(F.length(canon) - 10, F.lit(0))
         first = F.when(code < F.length(canon), (F.pmod(F.element_at(d, code + 1), F.lit(8)) + 2).cast("string")).otherwise("")
         phone = F.concat(F.substring(canon, F.lit(1), code), first, F.substring(same(canon), code + 2, F.length(canon)))
-        body = F.substring(same(canon), F.lit(1), F.length(canon) - 1)
-        last = F.array_max(F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda x: F.struct((_check_sum(F.concat(body, x.cast("string"))) == _check_sum(canon)).alias("ok"), x.cast("string").alias("x"))), lambda s: s["ok"]))["x"]
+        card = _let(F.substring(same(canon), F.lit(1), F.length(canon) - 1), lambda body: F.concat(body, F.pmod(_check_sum(canon) - _check_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")))
         return (
-            F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", F.concat(body, last))
+            F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
             .when(kind == "name", _name(canon, d)).otherwise(same(canon))
         )
 
-    return F.transform(F.array(_draws(kind, canon, attempt, key)), drawn)[0]
+    return _let(_draws(kind, canon, attempt, key), drawn)
 
 
 def _name(canon: Column, d: Column) -> Column:
@@ -147,7 +152,7 @@ def entities_of(text: Column) -> Column:
     found = F.when(text.rlike(LIKELY), F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1)))
 
     def whole(f: Column) -> Column:
-        return F.transform(F.array(kind_of(f)), lambda k: F.struct(k.alias("kind"), canonical(k, f).alias("canon"), f.alias("found")))[0]
+        return _let(kind_of(f), lambda k: F.struct(k.alias("kind"), canonical(k, f).alias("canon"), f.alias("found")))
 
     return F.transform(found, whole)
 
@@ -184,7 +189,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     def one(e: Column) -> Column:
         made = F.coalesce(F.try_element_at(special, F.concat_ws("\x1f", e["kind"], e["canon"])), surrogate(e["kind"], e["canon"], F.lit(0), key))
-        return rendered(e["kind"], e["found"], made)
+        return _let(made, lambda m: rendered(e["kind"], e["found"], m))
 
     parts = held.select("*", entities_of(text).alias("__found"))
     new = F.transform(F.col("__found"), one)
