@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import fingerprints, jaccard, langid, links, media, mixing, packing, sharding, substrings, surrogates
+from framewright.llm import fingerprints, jaccard, langid, links, media, mixing, oracles, packing, sharding, substrings, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": substrings.op1_substrings,
@@ -21,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_media": media.op10_media,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_substrings": oracles.SUBSTRINGS, "op5_jaccard": oracles.JACCARD, "op6_links": oracles.link_sql()}
