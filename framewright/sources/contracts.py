@@ -69,6 +69,22 @@ def write_shots(shots: DataFrame, path: str) -> None:
     shots.drop("first_frame", "last_frame").write.json(path)
 
 
+def write_transcript(segments: DataFrame, header: dict[str, str], path: str) -> None:
+    """One JSON document of a transcript: header fields, the segments in order and their joined text."""
+    held = F.array_sort(F.collect_list(F.struct("start", "end", "text")))
+    text = F.array_join(F.transform(held, lambda s: s["text"]), " ")
+    segments.agg(*[F.lit(v).alias(k) for k, v in header.items()], F.max("end").alias("duration"), held.alias("segments"), text.alias("text")).write.json(path)
+
+
+def write_frames(cache: DataFrame, path: str) -> None:
+    """The frame cache as Parquet, a folder for each video."""
+    cache.write.partitionBy("video_id").parquet(path)
+
+
+def write_prompts(prompts: DataFrame, path: str) -> None:
+    prompts.write.option("ignoreNullFields", False).json(path)
+
+
 def profile_rows(energies: DataFrame, key: str) -> DataFrame:
     """Fold long energies (key, id, stem, energy, ratio, centroid) into the profile's maps, rounded as it stores them."""
     entry = lambda c, n: F.map_from_entries(F.array_sort(F.collect_list(F.struct("stem", F.round(c, n).alias("v")))))

@@ -8,9 +8,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewright.functions.text import frame_rate
+
 BLOCK = 8192
 PCM = "path string, rate int, block_no long, samples array<float>"
 FRAME = "video_id string, frame_no long, t double, hist array<float>, b double, g double, r double"
@@ -70,6 +72,25 @@ def read_frames(spark: SparkSession, path: str, video_id: str, decode: Callable[
     return files.mapInPandas(features, FRAME)
 
 
+def media_table(spark: SparkSession, path: str, probe: Callable[[str], tuple[str, float | None, str]], pattern: str = "*.mp4") -> DataFrame:
+    """path, codec, duration and fps of media files; probe is the plug-in from a path to (codec, seconds or None, `num/den`).
+
+    Unknown durations count as 0 and unknown rates as 30, so that later steps can tell and still run.
+    """
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(p, *probe(p)) for p in batch["path"]], columns=["path", "codec", "duration", "rate"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
+    seen = files.mapInPandas(look, "path string, codec string, duration double, rate string")
+    return seen.select("path", F.lower("codec").alias("codec"), F.coalesce("duration", F.lit(0.0)).alias("duration"), frame_rate(F.col("rate")).alias("fps"))
+
+
+def needs_transcode(codec: Column) -> Column:
+    return F.coalesce(F.lower(codec) == "av1", F.lit(False))
+
+
 def choose_waveform(stored: DataFrame | None, computed: DataFrame | None, silent: DataFrame) -> DataFrame:
     """A stored waveform comes first, then one computed from stems, then silence."""
     return stored if stored is not None else computed if computed is not None else silent

@@ -217,3 +217,17 @@ def test_report_cards_and_files(spark, tmp_path):
     assert sorted(r["written"] for r in reports.write_files(files, str(tmp_path / "out")).collect()) == [True, True]
     assert sorted(r["written"] for r in reports.write_files(files, str(tmp_path / "out")).collect()) == [False, False]
     assert (tmp_path / "out" / "shot_001_first.jpg").read_bytes() == b"hi"
+
+
+def test_media_table_and_writers(spark, tmp_path):
+    (tmp_path / "a.mp4").write_bytes(b"x")
+    (tmp_path / "b.mp4").write_bytes(b"x")
+    out = media.media_table(spark, str(tmp_path), lambda p: ("AV1", 2.5, "60/2") if p.endswith("a.mp4") else ("h264", None, ""))
+    found = {r["path"][-5:]: (r["codec"], r["duration"], r["fps"], r["t"]) for r in out.withColumn("t", media.needs_transcode(F.col("codec"))).collect()}
+    assert found == {"a.mp4": ("av1", 2.5, 30.0, True), "b.mp4": ("h264", 0.0, 30.0, False)}
+    segments = spark.createDataFrame([(2.0, 3.0, "b"), (0.0, 1.0, "a")], "start double, end double, text string")
+    contracts.write_transcript(segments, {"language": "en"}, str(tmp_path / "t"))
+    assert times(contracts.read_segments(spark, str(tmp_path / "t")), "seg_no", "text") == [(0, "a"), (1, "b")]
+    rows = spark.createDataFrame([("v", 1, "vocals", 0.123456, 0.5, 10.04), ("v", 1, "bass", 1.0, 0.5, 0.0)], "video_id string, id int, stem string, energy double, ratio double, centroid double")
+    folded = contracts.profile_rows(rows, "video_id").first()
+    assert folded["energies"] == {"vocals": 0.1235, "bass": 1.0} and folded["spectral_centroid"] == {"vocals": 10.0, "bass": 0.0}
