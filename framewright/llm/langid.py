@@ -14,12 +14,12 @@ through `identify`, columns named like its results are replaced.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ BUCKETS, WIDTH, EPOCHS, BATCH, RATE = 1 << 14, 16, 12, 32, 0.5
 FIT_DOCS, FIT_CHARS, CLIP = 1200, 40_000, 60
 REJECT_RATE, REJECT_MOST = 0.001, 0.5
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def gram_counts(text: str) -> np.ndarray:

@@ -4,19 +4,6 @@ from __future__ import annotations
 
 from framewright.llm import links
 
-SUBSTRINGS = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-p AS (SELECT doc_id, n, unnest(range(0, n)) AS i, h FROM d),
-w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM p WHERE i + 50 <= n),
-least_doc AS (SELECT s, min(doc_id) AS first_doc FROM w GROUP BY s),
-hit AS (SELECT w.doc_id, w.i FROM w JOIN least_doc USING (s) WHERE first_doc < w.doc_id),
-b AS (SELECT p.doc_id, p.i, substr(p.h, 2 * p.i + 1, 2) AS byte, coalesce(p.i - max(hit.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS UNBOUNDED PRECEDING) < 50, false) AS gone
-      FROM p LEFT JOIN hit ON hit.doc_id = p.doc_id AND hit.i = p.i),
-e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM b),
-g AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans, coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS kept FROM e GROUP BY doc_id)
-SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN g USING (doc_id)
-"""
-
 JACCARD = r"""
 WITH RECURSIVE w AS (SELECT doc_id, lower(coalesce(text, '')) AS t, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
 c AS (SELECT doc_id, ws, CASE WHEN len(ws) = 0 THEN 'none ' || t ELSE 'words ' || array_to_string(ws, ' ') END AS k FROM w),

@@ -21,4 +21,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_media": media.op10_media,
 }
 
-ORACLE: dict[str, str] = {"op1_substrings": oracles.SUBSTRINGS, "op5_jaccard": oracles.JACCARD, "op6_links": oracles.link_sql()}
+#: op1 in SQL took 100 s on 1000 documents, so it has none; the others without SQL are random, learned, hashed or use tokenizers.
+ORACLE: dict[str, str] = {"op5_jaccard": oracles.JACCARD, "op6_links": oracles.link_sql()}
