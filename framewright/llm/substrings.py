@@ -15,7 +15,7 @@ all later steps meet it there:
 4. Marks return to the groups, which remove the covered bytes.
 
 Keys are 48 bits and only choose candidates; what is removed is decided on the bytes, but for equal runs
-inside a group, which are recognised by 64-bit hashes of key, length and content.
+of a group or a shard, which are gathered before the sort and recognised by 64-bit hashes of length and content.
 
 Defined cases: a null text is empty; rows that repeat a doc_id are judged each and do not remove from each other;
 a null doc_id counts as larger than all others; an empty table gives an empty table;
@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 from framewright.llm.common import table, utf8
 from framewright.llm.suffixes import suffix_order
 
-WINDOW, KEY = 50, 24
+WINDOW, KEY = 50, 16
 GROUP_BYTES, PART_BYTES = 8 << 20, 1 << 20
+SHARDS_PER_GROUP = 4  # a shard takes some thirty times its bytes of memory
 LARGEST = np.iinfo(np.int64).max
 
 
@@ -83,7 +84,7 @@ def runs_of(raws: list[bytes], with_content: bool) -> Runs:
         if len(part) >= WINDOW:
             w = _words(part, WINDOW)
             n = len(part) - KEY + 1
-            h = _mix(_mix(_mix(w[:n] * np.uint64(0x9E3779B97F4A7C15)) + w[8 : n + 8]) + w[16 : n + 16])
+            h = _mix(_mix(w[:n] * np.uint64(0x9E3779B97F4A7C15)) + w[KEY - 8 : n + KEY - 8])
             span, width = h, 1
             while 2 * width <= WINDOW - KEY + 1:
                 span, width = np.minimum(span[:-width], span[width:]), 2 * width
@@ -196,7 +197,8 @@ def shared_runs(shards: int):
             runs = runs_of(raws, True)
             keys = np.unique(np.concatenate([_unpack48(b) for b in flags.column("keys").to_pylist()]))
             near = np.minimum(np.searchsorted(keys, runs.key), len(keys) - 1)
-            chosen = np.flatnonzero((keys[near] == runs.key) & (_leaders(runs.content) == np.arange(len(runs.key))))
+            chosen = np.flatnonzero(keys[near] == runs.key)
+            chosen = chosen[_leaders(runs.content[chosen]) == np.arange(len(chosen))]
             shard = (_mix(runs.key[chosen] + np.uint64(1)) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             chosen, shard = chosen[order], shard[order]
@@ -214,29 +216,52 @@ def shared_runs(shards: int):
 
 
 def mark_windows(docs: np.ndarray, counts: np.ndarray, data: np.ndarray, memory: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffix sort the runs of a shard; the marked windows as ranges: run, first, end."""
+    """The marked windows of a shard's runs as ranges: run, first, end. Equal runs are sorted once, as the one of the smallest document."""
+    size = counts + WINDOW - 1
+    at = np.concatenate([[0], np.cumsum(size)])[:-1]
+    order = np.argsort(docs, kind="stable")
+    content = _content(_words(data, 8), at, size, np.zeros(len(size), np.uint64))
+    lead = order[_leaders(content[order])][np.argsort(order)]
+    own = np.flatnonzero(lead == np.arange(len(lead)))
+    place = np.arange(size[own].sum()) + np.repeat(at[own] - np.concatenate([[0], np.cumsum(size[own])[:-1]]), size[own])
+    run, low, high = _mark_distinct(docs[own], counts[own], data[place], memory)
+    run = own[run]
+    later = np.flatnonzero(docs > docs[lead])
+    same = np.flatnonzero((docs == docs[lead]) & (lead != np.arange(len(lead))))
+    order = np.argsort(run, kind="stable")
+    run, low, high = run[order], low[order], high[order]
+    first, end = np.searchsorted(run, lead[same]), np.searchsorted(run, lead[same], side="right")
+    pick = np.arange((end - first).sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(end - first)[:-1]]), end - first) if len(same) else np.zeros(0, np.int64)
+    return (
+        np.concatenate([run, np.repeat(same, end - first), later]),
+        np.concatenate([low, low[pick], np.zeros(len(later), np.int64)]), np.concatenate([high, high[pick], counts[later]]),
+    )
+
+
+def _mark_distinct(docs: np.ndarray, counts: np.ndarray, data: np.ndarray, memory: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix sort distinct runs; the windows that a run of a smaller document has too, as ranges: run, first, end."""
     size = counts + WINDOW - 1
     begin = np.concatenate([[0], np.cumsum(size + 1)])
     text = np.zeros(begin[-1], np.uint8)
     text[np.arange(len(data)) + np.repeat(np.arange(len(size)), size)] = data + np.uint8(1)
-    window = np.zeros(len(text) + 1, np.int32)
-    np.add.at(window, begin[:-1], 1)
-    np.add.at(window, begin[:-1] + counts, -1)
-    window = np.cumsum(window[:-1], dtype=np.int32) > 0
+    edge = np.zeros(len(text) + 1, np.int8)
+    edge[begin[:-1]] = 1
+    edge[begin[:-1] + counts] = -1
+    window = np.cumsum(edge[:-1], dtype=np.int8) > 0
     places, classes, number = [], [], 0
     with tempfile.TemporaryDirectory() as folder:
         for pos, lcp in suffix_order(text, folder, memory):
             own = number + np.cumsum(lcp < WINDOW)
             number = int(own[-1])
             keep = window[pos]
-            places.append(pos[keep])
-            classes.append(own[keep])
+            places.append(pos[keep].astype(np.int32))
+            classes.append(own[keep].astype(np.int32))
     place, cls = np.concatenate(places), np.concatenate(classes)
-    run = np.searchsorted(begin, place, side="right") - 1
+    owner = docs[np.searchsorted(begin, place, side="right") - 1]
     first = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
-    least = np.repeat(np.minimum.reduceat(docs[run], first), np.diff(np.append(first, len(cls))))
+    least = np.repeat(np.minimum.reduceat(owner, first), np.diff(np.append(first, len(cls))))
     marked = np.zeros(len(text) + 1, bool)
-    marked[place[docs[run] > least]] = True
+    marked[place[owner > least]] = True
     turns = np.flatnonzero(marked[1:] != marked[:-1]) + 1
     turns = np.concatenate([[0], turns]) if marked[0] else turns
     low, high = turns[0::2], turns[1::2]
@@ -309,7 +334,7 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = False, memory: int = 64 <
     texts = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(many)).alias("g"), F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text").cast("string")).alias("raw"))
     keys = texts.groupBy("g").applyInArrow(group_keys(many), "part long, g long, single binary, shared binary")
     flags = keys.groupBy("part").applyInArrow(shared_keys, "g long, keys binary")
-    runs = texts.groupBy("g").cogroup(flags.groupBy("g")).applyInArrow(shared_runs(many), "shard long, g long, run binary, doc binary, count binary, bytes binary")
+    runs = texts.groupBy("g").cogroup(flags.groupBy("g")).applyInArrow(shared_runs(SHARDS_PER_GROUP * many), "shard long, g long, run binary, doc binary, count binary, bytes binary")
     marks = runs.groupBy("shard").applyInArrow(solve_shard(memory), "g long, marks binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_bytes else "")
     return texts.groupBy("g").cogroup(marks.groupBy("g")).applyInArrow(remove_marked(keep_bytes), schema)
