@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -510,7 +511,7 @@ def test_media_ranges_split_and_members_are_retried(spark, tmp_path, monkeypatch
     split = spark.read.format("member_archive").option("rangeBytes", 2000).load(folder)
     assert split.rdd.getNumPartitions() > 3 and split.count() == 20
     reader = media.ArchiveReader(folder, 1 << 20, 3)
-    real, failed = media.pafs.LocalFileSystem.open_input_file, []
+    real, failed = media.pafs.LocalFileSystem(), []
 
     class Flaky:
         def __init__(self, f):
@@ -533,9 +534,9 @@ def test_media_ranges_split_and_members_are_retried(spark, tmp_path, monkeypatch
 
     class Fs:
         def open_input_file(self, path):
-            return Flaky(real(media.pafs.LocalFileSystem(), path))
+            return Flaky(real.open_input_file(path))
 
-    monkeypatch.setattr(media.pafs.FileSystem, "from_uri", staticmethod(lambda _: (Fs(), "")))
+    monkeypatch.setattr(media, "pafs", SimpleNamespace(FileSystem=SimpleNamespace(from_uri=lambda _: (Fs(), ""))))
     path = next(str(p) for p in (tmp_path / "media").glob("*.tar"))
     got = sum(b.num_rows for b in reader.read(media.ByteRange(path, 0, 1 << 30)))
     assert got == 20 and len(failed) == 20
