@@ -72,12 +72,12 @@ def attach(docs: DataFrame, decided: DataFrame, value: str) -> DataFrame:
     decided: doc_id and value, one row for each row of docs. Clashing names: decided's column wins.
     """
     kept = [c for c in docs.columns if c != value]
-    order = W.partitionBy("doc_id").orderBy(F.xxhash64(*[docs[c] for c in kept if c != "doc_id"]))
-    left = docs.select(*kept, F.row_number().over(order).alias("__k"))
-    right = decided.groupBy("doc_id").agg(F.array_sort(F.collect_list(value)).alias("__values")).withColumnRenamed("doc_id", "__id")
-    return left.join(right, left["doc_id"].eqNullSafe(right["__id"]), "left").select(
-        *kept, F.try_element_at("__values", F.col("__k")).alias(value)
-    )
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # never null, so that numbering and join share one shuffle of docs
+    left = docs.select(*kept, key.alias("__key"))
+    order = W.partitionBy("__key").orderBy(F.xxhash64(*[left[c] for c in kept if c != "doc_id"]))
+    left = left.withColumn("__k", F.row_number().over(order))
+    right = decided.groupBy(key.alias("__key")).agg(F.array_sort(F.collect_list(value)).alias("__values"))
+    return left.join(right, "__key", "left").select(*kept, F.try_element_at("__values", F.col("__k")).alias(value))
 
 
 def empty_like(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
