@@ -126,7 +126,7 @@ def edited(text: str, following: str) -> str:
 def in_order(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) as runs of descending doc_id, each row with the run's bucket; a run ends with the first row of the next one as `guest`.
 
-    Buckets are ranges of doc_id between approximate quantiles; the text is shuffled once.
+    Buckets are ranges of doc_id between approximate quantiles, a partition each; the text is shuffled once.
     """
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b"), F.max("doc_id").alias("top")).first()
     many = max(1, -(-(size["b"] or 0) // BUCKET_BYTES), -(-size["n"] // BUCKET_ROWS))
@@ -144,7 +144,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     if len(led) <= MOST_BROADCAST:
         leads = F.broadcast(leads)
     guests = docs.join(leads, docs["doc_id"].eqNullSafe(leads["top"])).select(F.col("to").alias("bucket"), F.lit(True).alias("guest"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return held.unionByName(guests).repartition(many, "bucket").sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    return held.unionByName(guests).repartitionById(len(bounds) + 2, (F.col("bucket") + 1).cast("int")).sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
