@@ -29,7 +29,7 @@ from framewright.llm.common import dense_number, materialize, table
 
 CAPACITY = 2048
 END_ID = 1
-CHUNK_ROWS = 2000
+CHUNK_ROWS = 200
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
