@@ -102,6 +102,7 @@ def shard_rows(rows: DataFrame, shards: int) -> DataFrame:
     most = GROUP_SHARE * b["all"] / shards
     groups = rows.groupBy("text_hash", "size").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "source", "lang")).alias("lead"))
     shared = groups.where((F.col("n") > 1) & (F.col("n") * F.col("size") <= most)).select(F.col("text_hash").alias("g_hash"), F.col("size").alias("g_size"), "lead")
+    shared = materialize(shared, "shard-groups")  # read again, so that the join has a shuffle on either side and a hot text can be split
     led = rows.join(shared, (rows["text_hash"] == shared["g_hash"]) & (rows["size"] == shared["g_size"]), "left")
     own = lambda c: F.when(F.col("lead").isNotNull(), F.col(f"lead.{c}")).otherwise(F.col(c))
     tie = F.shiftrightunsigned(F.xxhash64(F.when(F.col("lead").isNotNull(), F.col("text_hash")).otherwise(F.xxhash64("text_hash", "doc_id"))), 32)
