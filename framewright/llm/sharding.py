@@ -6,8 +6,10 @@ refining a histogram: each pass sums bytes in 2048 buckets of the part that stil
 that the driver sees at most 2048 rows a node, whatever the number of documents. Dimensions: doc_id,
 bytes, source and lang; text dimensions use a hashed coordinate, which keeps equal values together.
 
-Equal texts share one point of the tree (that of their smallest doc_id) and so one shard, unless
-the group weighs over GROUP_SHARE of a shard: such a group is spread by doc_id, as it would upset the sizes.
+Equal texts share one point of the tree (that of their smallest doc_id) and so one shard. Groups that
+weigh over GROUP_SHARE of a shard would upset the cuts: they are placed whole before, the heaviest first and
+each in the emptiest shard (there are at most shards / GROUP_SHARE of them), and the tree deals the rest in
+proportion to the room that is left. Only a group that weighs more than a shard's bytes is spread by doc_id.
 
 Defined cases: a null text counts as no bytes; null metadata lie at the low end; rows that repeat
 a doc_id are rows of their own; an empty table gives an empty table; extra columns pass through.
@@ -15,6 +17,7 @@ a doc_id are rows of their own; an empty table gives an empty table; extra colum
 
 from __future__ import annotations
 
+import heapq
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,18 +48,19 @@ def _placed(rules: dict[int, tuple[int, int]], n: int = 0) -> Column:
     return F.when(F.col(f"key{dim}") <= cut, _placed(rules, 2 * n + 1)).otherwise(_placed(rules, 2 * n + 2))
 
 
-def kd_nodes(points: DataFrame, dims: int, shards: int) -> tuple[Column, dict[int, int]]:
-    """points: weight and key0 .. key{dims-1} (non-negative longs). Returns the node expression and leaf node -> shard."""
-    want, rules = {0: shards}, {}
-    while any(m > 1 for m in want.values()):
+def kd_nodes(points: DataFrame, dims: int, room: list[float]) -> tuple[Column, dict[int, int]]:
+    """points: weight and key0 .. key{dims-1} (non-negative longs). room: the share of the bytes that each leaf shall have. Returns the node expression and leaf node -> place in room."""
+    want, rules = {0: (0, len(room))}, {}
+    while any(b - a > 1 for a, b in want.values()):
         node = _placed(rules)
-        live = points.withColumn("node", node).where(F.col("node").isin([n for n, m in want.items() if m > 1]))
+        live = points.withColumn("node", node).where(F.col("node").isin([n for n, (a, b) in want.items() if b - a > 1]))
         spread = [F.max(F.shiftright(f"key{d}", 32)) - F.min(F.shiftright(f"key{d}", 32)) for d in range(dims)]
         seen = live.groupBy("node").agg(F.sum("weight").alias("w"), *[s.alias(f"s{d}") for d, s in enumerate(spread)]).collect()
         cuts = {r["node"]: max(range(dims), key=lambda d: (r[f"s{d}"], -d)) for r in seen}
         total = {r["node"]: r["w"] for r in seen}
-        goal = {n: total[n] * (want[n] // 2) / want[n] for n in cuts}
-        slack = {n: CUT_SHARE * total[n] / want[n] for n in cuts}
+        middle = {n: (a + b) // 2 for n, (a, b) in want.items()}
+        goal = {n: total[n] * sum(room[want[n][0] : middle[n]]) / sum(room[slice(*want[n])]) for n in cuts}
+        slack = {n: CUT_SHARE * total[n] / (want[n][1] - want[n][0]) for n in cuts}
         prefix, below, done, shift = {n: 0 for n in cuts}, {n: 0 for n in cuts}, {}, BITS
         while len(done) < len(cuts):
             wide, shift = shift, max(0, shift - STEP)
@@ -79,18 +83,29 @@ def kd_nodes(points: DataFrame, dims: int, shards: int) -> tuple[Column, dict[in
         if not cuts:
             break
         rules |= {n: (cuts[n], done[n]) for n in cuts}
-        want = {c: k for n, m in want.items() for c, k in ([(2 * n + 1, m // 2), (2 * n + 2, m - m // 2)] if n in cuts else [(n, 1)])}
-    first = {}
+        want = {c: k for n, (a, b) in want.items() for c, k in ([(2 * n + 1, (a, middle[n])), (2 * n + 2, (middle[n], b))] if n in cuts else [(n, (a, a + 1))])}
+    return _placed(rules), {n: a for n, (a, _) in want.items()}
 
-    def number(n: int) -> None:
-        if n in rules:
-            number(2 * n + 1)
-            number(2 * n + 2)
-        else:
-            first[n] = len(first)
 
-    number(0)
-    return _placed(rules), first
+def place_heavy(weights: list[int], shards: int) -> tuple[list[int], list[int]]:
+    """The shard of each group, the heaviest first into the emptiest shard, and the bytes that each shard then has."""
+    heap, where, load = [(0, s) for s in range(shards)], [0] * len(weights), [0] * shards
+    for g in sorted(range(len(weights)), key=lambda g: -weights[g]):
+        held, s = heap[0]
+        where[g], load[s] = s, held + weights[g]
+        heapq.heapreplace(heap, (load[s], s))
+    return where, load
+
+
+def room_left(load: list[int], rest: int) -> list[float]:
+    """How much of the rest each shard takes, so that the shards come out as equal as their loads allow."""
+    held, level = 0, 0.0
+    for k, low in enumerate(sorted(load)):
+        if k and level <= low:
+            break
+        held += low
+        level = (rest + held) / (k + 1)
+    return [max(0.0, level - x) for x in load]
 
 
 def shard_rows(rows: DataFrame, shards: int) -> DataFrame:
@@ -99,17 +114,24 @@ def shard_rows(rows: DataFrame, shards: int) -> DataFrame:
     b = rows.agg(F.min("doc_id").alias("i0"), F.max("doc_id").alias("i1"), F.min("size").alias("z0"), F.max("size").alias("z1"), F.sum("size").alias("all")).first()
     if b["all"] is None:
         return rows.withColumn("shard", F.lit(0))
-    most = GROUP_SHARE * b["all"] / shards
+    target = b["all"] / shards
     groups = rows.groupBy("text_hash", "size").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "source", "lang")).alias("lead"))
-    shared = groups.where((F.col("n") > 1) & (F.col("n") * F.col("size") <= most)).select(F.col("text_hash").alias("g_hash"), F.col("size").alias("g_size"), "lead")
+    weight = F.col("n") * F.col("size")
+    shared = groups.where((F.col("n") > 1) & (weight <= target)).select(F.col("text_hash").alias("g_hash"), F.col("size").alias("g_size"), "lead", weight.alias("g_weight"))
     shared = materialize(shared, "shard-groups")  # read again, so that the join has a shuffle on either side and a hot text can be split
+    heavy = [tuple(r) for r in shared.where(F.col("g_weight") > GROUP_SHARE * target).select("g_hash", "g_size", "g_weight").orderBy("g_hash", "g_size").collect()]
+    where, load = place_heavy([w for *_, w in heavy], shards)
+    room = room_left(load, b["all"] - sum(load))
+    free = [s for s, r in enumerate(room) if r > 0] or [0]
+    fixed = rows.sparkSession.createDataFrame([(h, z, s) for (h, z, _), s in zip(heavy, where, strict=True)], "g_hash long, g_size long, fixed int")
+    shared = shared.join(F.broadcast(fixed), ["g_hash", "g_size"], "left") if heavy else shared.withColumn("fixed", F.lit(None).cast("int"))
     led = rows.join(shared, (rows["text_hash"] == shared["g_hash"]) & (rows["size"] == shared["g_size"]), "left")
     own = lambda c: F.when(F.col("lead").isNotNull(), F.col(f"lead.{c}")).otherwise(F.col(c))
     tie = F.shiftrightunsigned(F.xxhash64(F.when(F.col("lead").isNotNull(), F.col("text_hash")).otherwise(F.xxhash64("text_hash", "doc_id"))), 32)
     coords = [_scaled(own("doc_id"), b["i0"] or 0, b["i1"] or 0), _scaled(F.col("size"), b["z0"], b["z1"]), _hashed(own("source")), _hashed(own("lang"))]
-    points = materialize(led.select(*rows.columns, F.col("size").alias("weight"), *[(F.shiftleft(c, 32) + tie).alias(f"key{d}") for d, c in enumerate(coords)]), "shard-points")
-    node, leaf = kd_nodes(points, len(coords), shards)
-    shard = F.coalesce(*[F.when(F.col("node") == n, F.lit(s)) for n, s in leaf.items()], F.lit(0))
+    points = materialize(led.select(*[rows[c] for c in rows.columns], "fixed", F.col("size").alias("weight"), *[(F.shiftleft(c, 32) + tie).alias(f"key{d}") for d, c in enumerate(coords)]), "shard-points")
+    node, leaf = kd_nodes(points.where(F.col("fixed").isNull()), len(coords), [room[s] for s in free])
+    shard = F.coalesce("fixed", *[F.when(F.col("node") == n, F.lit(free[s])) for n, s in leaf.items()], F.lit(0))
     return points.withColumn("node", node).select(*rows.columns, shard.cast("int").alias("shard"))
 
 

@@ -474,6 +474,22 @@ def test_sharding(spark):
     assert max(sums) - min(sums) <= 2 * max(len((t or "").encode()) for _, t in items)
 
 
+def test_sharding_keeps_groups_that_fit_a_shard(spark):
+    """Copies of 2 to 90 % of a shard stay together and the rest is balanced around them; only a group of over a shard is spread."""
+    copies = [(900, "a" * 84)] * 90 + [(901, "b" * 84)] * 40 + [(902, "c" * 84)] * 2 + [(903, "d" * 84)] * 150
+    items = [(i, t) for i, (_, t) in enumerate(copies)] + [(1000 + i, f"{i:084d}") for i in range(118)]
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in items], SCHEMA)
+    out = rows(sharding.shard_documents(df, shards=4))
+    sums = check_shards(out, items, 4)
+    held = defaultdict(set)
+    for r in out:
+        held[dict(items)[r["doc_id"]][0]].add(r["shard"])
+    assert [len(held[c]) for c in "abc"] == [1, 1, 1] and len(held["d"]) > 1
+    assert max(sums) - min(sums) <= 4 * 100
+    assert sharding.place_heavy([3, 9, 4, 4], 2) == ([1, 0, 1, 1], [9, 11])
+    assert sharding.room_left([9, 11, 0], 10) == [0.5, 0, 9.5]
+
+
 def test_sharding_awkward(awkward, empty):
     check_shards(rows(sharding.shard_documents(awkward, shards=3)), AWKWARD, 3)
     assert {r["shard"] for r in rows(sharding.shard_documents(awkward, target_bytes=200_000))} == {0, 1}
