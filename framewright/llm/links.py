@@ -8,7 +8,8 @@ edges; distrust starts from the pages that rules block and runs against them. A
 its distrust exceeds `margin` times its trust; a host that neither reaches is allowed.
 
 Work per step is two joins on the host graph; ranks are written to the shared folder each ROUND
-steps, so that plans stay short and survive lost executors. Iteration ends at the tolerance.
+steps, so that plans stay short and survive lost executors. Iteration ends when a round moves less than the tolerance
+of all mass and of each single rank, so that far hosts are reached and compared too.
 
 Defined cases: a null url or one without `://` has an empty host and path, no rule, and the verdict
 allow; null html has no links; rows that repeat a page_id are judged each; an empty table gives an
@@ -17,6 +18,8 @@ empty table; extra columns are ignored.
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +27,8 @@ from framewright.llm.common import materialize, table
 
 #: (rule, verdict): a host, then the path's start.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
-DAMPING, TOLERANCE, MOST_STEPS, ROUND = 0.85, 1e-5, 20, 4
+DAMPING, TOLERANCE, MOST_STEPS, ROUND = 0.85, 1e-5, 20, 4  # MOST_STEPS: those that the SQL twin writes out
+LEAST = 1e-300  # ranks below are beyond a double's precision
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
@@ -62,8 +66,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.where(F.col("src") != F.col("dst")).unionByName(up).unionByName(down).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, most_steps: int = MOST_STEPS) -> DataFrame:
-    """seeds: host, trust, distrust (each sums to 1 or 0). Returns host, trust, distrust after propagation."""
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, most_steps: int | None = None) -> DataFrame:
+    """seeds: host, trust, distrust (each sums to 1 or 0). Returns host, trust, distrust after propagation, or after most_steps."""
+    bound = ceil(log(LEAST) / log(damping)) + ROUND  # no rank can still move by LEAST
     out = edges.groupBy("src").agg(F.sum("w").alias("w_out")).withColumnRenamed("src", "o")
     into = edges.groupBy("dst").agg(F.sum("w").alias("w_in")).withColumnRenamed("dst", "i")
     flow = edges.join(out, edges["src"] == out["o"]).join(into, F.col("dst") == into["i"]).select("src", "dst", (F.col("w") / F.col("w_out")).alias("fore"), (F.col("w") / F.col("w_in")).alias("back"))
@@ -72,7 +77,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, toleran
     base = nodes.join(seeds, "host", "left").select("host", *[F.coalesce(c, F.lit(0.0)).alias(f"{c}0") for c in ("trust", "distrust")])
     base = materialize(base, "links-seeds")
     ranks = base.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
-    for done in range(0, most_steps, ROUND):
+    for done in range(0, bound if most_steps is None else most_steps, ROUND):
         before = ranks
         for _ in range(ROUND):
             fore = flow.join(ranks, flow["src"] == ranks["host"]).select(F.col("dst").alias("to"), (F.col("trust") * F.col("fore")).alias("t"), F.lit(0.0).alias("d"))
@@ -82,9 +87,13 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, toleran
             ranks = base.join(sums, base["host"] == sums["to"], "left").select("host", step("trust0", "t").alias("trust"), step("distrust0", "d").alias("distrust"))
         ranks = materialize(ranks, f"links-ranks{done}")
         was = before.select(F.col("host").alias("h"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
-        moved = ranks.join(was, ranks["host"] == was["h"]).agg(F.sum(F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0")))).first()[0]
-        if not moved or moved < tolerance:
-            break
+        change = {c: F.abs(F.col(c) - F.col(c0)) for c, c0 in (("trust", "t0"), ("distrust", "d0"))}
+        moves = F.greatest(*[by - tolerance * F.col(c) for c, by in change.items()])
+        moved, most = ranks.join(was, ranks["host"] == was["h"]).agg(F.sum(change["trust"] + change["distrust"]), F.max(moves)).first()
+        if not moved or (moved < tolerance and most <= LEAST):
+            return ranks
+    if most_steps is None:
+        raise ValueError(f"ranks still move after {bound} steps")
     return ranks
 
 

@@ -376,6 +376,16 @@ def test_spread_equals_plain_ranks(spark):
         assert out[h] == (pytest.approx(t[h]), pytest.approx(d[h]))
 
 
+def test_links_follow_long_chains(spark):
+    """A chain of 30 hosts before a blocked page: all of it is blocked, and ranks are those of the fixed point."""
+    name = lambda i: f"host{i}"
+    pages = [(i, f"http://{name(i)}/", f'<a href="http://{name(i + 1)}/">') for i in range(30)] + [(30, "http://host30/bad", None)]
+    out = {r["page_id"]: r for r in rows(links.judge_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), [("host30/bad", "block")]))}
+    assert {r["verdict"] for r in out.values()} == {"block"}
+    for i in range(31):
+        assert out[i]["distrust"] == pytest.approx(0.15 * 0.85 ** (30 - i), rel=1e-4)
+
+
 # 7 ------------------------------------------------------------------------------------------------------
 
 PLAIN = [r"[\w.+-]+@[\w.-]+\.\w+", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", r"\+\d \(\d+\) \d+-\d+", r"\b\d{16}\b", r"\b[0-9a-fA-F]{40}\b"]
