@@ -8,8 +8,9 @@ domain and the remainder of a card's check sum stay. Each occurrence gets the su
 its own punctuation and case, so that mentions of one entity still agree everywhere.
 
 Distinctness: the table of distinct entities is checked for surrogates that two entities share or
-that are themselves entities of the corpus; the later of them are drawn again with the next attempt
-until none is left. Only redrawn entities need a lookup, joined back to the documents that hold
+that that are themselves entities of the corpus; the later of them are drawn again with the next attempt
+until none is left. From attempt SAME_SHAPE on each attempt adds a character, digit or syllable and octets take any
+value (from twice that on an address gets one of the longer kind), so that the space outgrows every corpus. Only redrawn entities need a lookup, joined back to the documents that hold
 them; all others are computed in place, so that a common entity never gathers its rows in one task.
 
 Defined cases: a null text stays null and has no entity; an empty table gives an empty table; rows
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from framewright.llm.common import materialize, table
 
 KEY = "replace-this-key"
-MOST_ATTEMPTS = 50
+SAME_SHAPE = 8
 WORDISH = r"\p{L}\p{M}\p{N}._%+\-"
 MAIL = rf"(?<![{WORDISH}])[{WORDISH}]++@[\p{{L}}\p{{N}}\-]+(?:\.[\p{{L}}\p{{N}}\-]+)+"
 SECRET = r"(?<![\p{L}\p{N}_\-])(?:[0-9a-fA-F]{32,128}|(?:AKIA|ghp_|sk-)[A-Za-z0-9]{16,64})(?![\p{L}\p{N}])"
@@ -75,10 +76,16 @@ def canonical(kind: Column, found: Column) -> Column:
     )
 
 
+def _extra(attempt: Column) -> Column:
+    """The characters, digits or syllables that a surrogate has more than its entity."""
+    return F.greatest(attempt - (SAME_SHAPE - 1), F.lit(0))
+
+
 def _draws(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """A keyed number 0..65535 for each position of canon, as an array."""
-    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(canon) / 16).cast("int")), lambda b: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"), b.cast("string"), F.lit(key)), 256))
-    return _let(F.array_join(blocks, ""), lambda stream: F.transform(F.sequence(F.lit(0), F.length(canon)), lambda i: F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int")))
+    """A keyed number 0..65535 for each position of canon and two for each extra one, as an array."""
+    many = F.length(canon) + 2 * _extra(attempt)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(many / 16).cast("int")), lambda b: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"), b.cast("string"), F.lit(key)), 256))
+    return _let(F.array_join(blocks, ""), lambda stream: F.transform(F.sequence(F.lit(0), many), lambda i: F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int")))
 
 
 def _chars(text: Column) -> Column:
@@ -107,32 +114,38 @@ def _check_sum(digits: Column) -> Column:
 
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> Column:
     """The surrogate of a canonical entity, itself in canonical form."""
+    extra = _extra(attempt)
+    grown = F.when(kind == "mail", F.concat(F.repeat(F.lit("a"), extra), canon)).otherwise(F.concat(canon, F.repeat(F.when(kind == "secret", "a").otherwise("0"), extra)))
 
     def drawn(d: Column) -> Column:
         same = lambda text, shift=0: F.array_join(F.transform(_chars(text), lambda c, i: _like(c, F.element_at(d, i + 1 + shift))), "")
         top = F.regexp_extract(canon, r"\.[^.@]*$", 0)
-        mail = F.concat(same(F.substring(canon, F.lit(1), F.length(canon) - F.length(top))), top)
-        octet = lambda o, i: _let(F.element_at(d, i + 1), lambda x: F.when(F.length(o) == 1, F.pmod(x, F.lit(9)) + 1).when(F.length(o) == 2, F.pmod(x, F.lit(90)) + 10).otherwise(F.pmod(x, F.lit(155)) + 100).cast("string"))
-        ip = F.array_join(F.transform(F.split(canon, r"\."), octet), ".")
+        mail = F.concat(same(F.substring(grown, F.lit(1), F.length(grown) - F.length(top))), top)
+        octet = lambda o, i: _let(F.element_at(d, i + 1), lambda x: F.when(attempt >= SAME_SHAPE, F.pmod(x, F.lit(255)) + 1).when(F.length(o) == 1, F.pmod(x, F.lit(9)) + 1).when(F.length(o) == 2, F.pmod(x, F.lit(90)) + 10).otherwise(F.pmod(x, F.lit(155)) + 100).cast("string"))
+        part = lambda g, i: _let(F.element_at(d, i + 1), lambda x: F.lower(F.hex(F.when(attempt >= SAME_SHAPE, F.pmod(x, F.lit(65535)) + 1).when(g == "0", 0).when(F.length(g) == 1, F.pmod(x, F.lit(15)) + 1).when(F.length(g) == 2, F.pmod(x, F.lit(240)) + 16).when(F.length(g) == 3, F.pmod(x, F.lit(3840)) + 256).otherwise(F.pmod(x, F.lit(61440)) + 4096))))
+        six = F.array_join(F.transform(F.when(canon.contains(":"), F.split(canon, ":")).otherwise(F.array_repeat(F.lit("1"), 8)), part), ":")
+        ip = F.when(canon.contains(":") | (attempt >= 2 * SAME_SHAPE), six).otherwise(F.array_join(F.transform(F.split(canon, r"\."), octet), "."))
         code = F.greatest(F.length(canon) - 10, F.lit(0))
-        first = F.when(code < F.length(canon), (F.pmod(F.element_at(d, code + 1), F.lit(8)) + 2).cast("string")).otherwise("")
-        phone = F.concat(F.substring(canon, F.lit(1), code), first, F.substring(same(canon), code + 2, F.length(canon)))
-        card = _let(F.substring(same(canon), F.lit(1), F.length(canon) - 1), lambda body: F.concat(body, F.pmod(_check_sum(canon) - _check_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")))
+        first = F.when((code == 0) & canon.startswith("0"), "0").when(code < F.length(canon), (F.pmod(F.element_at(d, code + 1), F.lit(8)) + 2).cast("string")).otherwise("")
+        phone = F.concat(F.substring(canon, F.lit(1), code), first, F.substring(same(grown), code + 2, F.length(grown)))
+        card = _let(F.substring(same(grown), F.lit(1), F.length(grown) - 1), lambda body: F.concat(body, F.pmod(_check_sum(canon) - _check_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")))
         return (
             F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
-            .when(kind == "name", _name(canon, d)).otherwise(same(canon))
+            .when(kind == "name", _name(canon, d, extra)).otherwise(same(grown))
         )
 
     return _let(_draws(kind, canon, attempt, key), drawn)
 
 
-def _name(canon: Column, d: Column) -> Column:
+def _name(canon: Column, d: Column, extra: Column) -> Column:
     """`f first last` or `m last` in lower case, of the same gender, script and number of words."""
     at = lambda values, n: F.element_at(F.array(*[F.lit(v.lower()) for v in values]), F.pmod(F.element_at(d, n), F.lit(len(values))) + 1)
     whole = F.lit("")
     for script in ("cyrillic", "latin"):
         letters = CYRILLIC if script == "cyrillic" else LATIN
-        last = F.concat(_pick(letters, F.element_at(d, 2)), at([x for x in "аеиоу"] if script == "cyrillic" else [x for x in "aeiou"], 3), _pick(letters, F.element_at(d, 4)), at(SURNAME_ENDS[script], 5))
+        vowels = list("аеиоу" if script == "cyrillic" else "aeiou")
+        more = F.array_join(F.transform(F.when(extra > 0, F.sequence(F.lit(1), extra)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(at(vowels, 2 * i + 4), _pick(letters, F.element_at(d, 2 * i + 5)))), "")  # noqa: B023
+        last = F.concat(_pick(letters, F.element_at(d, 2)), at(vowels, 3), _pick(letters, F.element_at(d, 4)), more, at(SURNAME_ENDS[script], 5))
         first = F.when(canon.startswith("f "), at(NAMES["f", script], 1)).otherwise(at(NAMES["m", script], 1))
         named = F.when(canon.rlike(r"^. \S+ \S+"), F.concat(F.substring(canon, 1, 2), first, F.lit(" "), last)).otherwise(F.concat(F.substring(canon, 1, 2), last))
         whole = named if script == "cyrillic" else F.when(canon.rlike(r"\p{IsCyrillic}"), whole).otherwise(named)
@@ -143,6 +156,8 @@ def rendered(kind: Column, found: Column, made: Column) -> Column:
     """The surrogate in the punctuation and case of an occurrence."""
     digits = F.array_join(F.transform(_chars(found), lambda c, i: F.when(c.rlike("[0-9]"), F.substring(made, F.length(F.regexp_replace(F.substring(found, F.lit(1), i + 1), r"\D", "")), F.lit(1))).otherwise(c)), "")
     mail = F.array_join(F.transform(_chars(found), lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substring(made, i + 1, F.lit(1)))).otherwise(F.substring(made, i + 1, F.lit(1)))), "")
+    digits = F.concat(digits, F.substring(made, F.length(F.regexp_replace(found, r"\D", "")) + 1, F.length(made)))
+    mail = F.concat(mail, F.substring(made, F.length(found) + 1, F.length(made)))
     proper = F.initcap(F.substring(made, F.lit(3), F.length(made)))
     name = F.concat(F.regexp_extract(found, r"^\S+ ", 0), F.when(F.regexp_replace(found, r"^\S+ ", "").rlike(r"\p{Ll}"), proper).otherwise(F.upper(proper)))
     return F.when(kind.isin("phone", "card", "social"), digits).when(kind == "mail", mail).when(kind == "name", name).otherwise(made)
@@ -160,9 +175,8 @@ def entities_of(text: Column) -> Column:
 
 def redrawn(distinct: DataFrame, key: str) -> DataFrame:
     """distinct: kind, canon. Returns kind, canon, made of the entities whose first surrogate clashes; the table may be empty."""
-    spark = distinct.sparkSession
     held = materialize(distinct.select("kind", "canon", F.lit(0).alias("attempt"), surrogate(F.col("kind"), F.col("canon"), F.lit(0), key).alias("made")), "pii-made")
-    for _ in range(MOST_ATTEMPTS):
+    while True:  # ends, as each attempt from SAME_SHAPE on has many times the surrogates of the one before
         first = held.groupBy("kind", "made").agg(F.min(F.struct("attempt", "canon")).alias("first"), F.count(F.lit(1)).alias("n"))
         shared = held.join(first.where(F.col("n") > 1), ["kind", "made"]).where(F.col("canon") != F.col("first.canon")).select("kind", "canon")
         taken = held.join(held.select("kind", F.col("canon").alias("made")), ["kind", "made"], "left_semi").select("kind", "canon")
@@ -171,7 +185,6 @@ def redrawn(distinct: DataFrame, key: str) -> DataFrame:
             return held.where(F.col("attempt") > 0).select("kind", "canon", "made")
         step = held.join(bad, ["kind", "canon"], "left").withColumn("attempt", F.col("attempt") + F.when(F.col("bad"), 1).otherwise(0))
         held = materialize(step.select("kind", "canon", "attempt", F.when(F.col("bad"), surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)).otherwise(F.col("made")).alias("made")), "pii-made")
-    raise ValueError(f"surrogates still clash after {MOST_ATTEMPTS} attempts in {spark.sparkContext.appName}")
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -431,6 +431,25 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(new)) == len(items) and not old & set(new)
 
 
+def test_surrogates_outgrow_a_full_space(spark):
+    """More entities than half of their shape's surrogates: 4000 addresses of 6561, 400 mail addresses of 676."""
+    old = [f"{i // 729 + 1}.{i // 81 % 9 + 1}.{i // 9 % 9 + 1}.{i % 9 + 1}" for i in range(4000)] + [f"{chr(97 + i // 20)}@{chr(97 + i % 20)}.de" for i in range(400)]
+    new = [r["text"] for r in rows(surrogates.replace_entities(spark.createDataFrame([(i, x) for i, x in enumerate(old)], "doc_id long, text string")))]
+    assert len(set(new)) == len(old) and not set(old) & set(new)
+    assert all(re.fullmatch(r"[0-9.]+|[a-z]+@[a-z]\.de", x) for x in new)
+
+
+def test_surrogates_of_every_kind_grow(spark):
+    kinds = [("phone", "14155550132"), ("card", "4111111111111111"), ("social", "123456789"), ("secret", "ghp_" + "a1" * 10), ("name", "f li"), ("name", "m петров"), ("mail", "a@b.de"), ("ip", "1.2.3.4")]
+    df = spark.createDataFrame([(k, c, a) for k, c in kinds for a in (0, 9, 16, 40)], "kind string, canon string, attempt int")
+    made = rows(df.select("*", surrogates.surrogate(F.col("kind"), F.col("canon"), F.col("attempt")).alias("made")))
+    by = defaultdict(list)
+    for r in sorted(made, key=lambda r: r["attempt"]):
+        by[r["canon"]].append(len(r["made"]))
+    assert all(n[0] < n[1] < n[2] < n[3] for c, n in by.items() if c != "1.2.3.4") and all(r["made"] for r in made)
+    assert max(by["1.2.3.4"]) > 15
+
+
 def test_surrogates_awkward(awkward, empty):
     out = surrogates.replace_entities(awkward)
     assert Counter(r["text"] for r in rows(out) if r["doc_id"] in (1, 2, 3, 5, 8)) == Counter(t for d, t, *_ in AWKWARD if d in (1, 2, 3, 5, 8))
