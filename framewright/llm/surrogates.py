@@ -28,9 +28,19 @@ KEY = "replace-this-key"
 SAME_SHAPE = 8
 WORDISH = r"\p{L}\p{M}\p{N}._%+\-"
 MAIL = rf"(?<![{WORDISH}])[{WORDISH}]++@[\p{{L}}\p{{N}}\-]+(?:\.[\p{{L}}\p{{N}}\-]+)+"
-SECRET = r"(?<![\p{L}\p{N}_\-])(?:[0-9a-fA-F]{32,128}|(?:AKIA|ghp_|sk-)[A-Za-z0-9]{16,64})(?![\p{L}\p{N}])"
+SECRET = r"(?<![\p{L}\p{N}_\-])(?:[0-9a-fA-F]{32,}+(?![\p{L}\p{N}])|(?:AKIA|ghp_|sk-)[A-Za-z0-9_\-]{16,}+)"
+GROUP = r"[0-9a-fA-F]{1,4}"
+#: Eight groups, or fewer around a `::` with one of three or four digits, so that slices as 1::2 stay.
+SIX = (
+    rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9a-fA-F:]*\d)(?:(?:{GROUP}:){{7}}{GROUP}|(?=[0-9a-fA-F:]*(?<![0-9a-fA-F])[0-9a-fA-F]{{3,4}}(?![0-9a-fA-F]))(?!(?::*{GROUP}(?![0-9a-fA-F])){{8}})"
+    rf"(?:{GROUP}(?::{GROUP}){{0,6}})?::(?:{GROUP}(?::{GROUP}){{0,6}})?)(?![\p{{L}}\p{{N}}:]|\.\d)"
+)
 ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
-PHONE = r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)"
+#: With a plus sign up to 15 digits, compact or spaced; national numbers in their usual groups, unless they start a card's number.
+PHONE = (
+    r"(?<![\p{L}\p{N}])(?:\+\d{10,15}|\+\d(?:[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d){6,14}|\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}"
+    r"|(?!\d(?:[ \-]?\d){12,18}(?!\d))(?:\d{3}[ .\-]\d{3}[ .\-]\d{4}|0\d(?:[ .\-]\d{2}){4}|\(0\d{1,4}\) ?\d{3,4}[ \-]?\d{3,4}|0\d{2,4}[ \-]\d{3,4}[ \-]?\d{3,4}))(?!\d)"
+)
 SOCIAL = r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)"
 CARD = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)"
 #: Titles by gender and the names that take the place of others.
@@ -46,7 +56,7 @@ SURNAME_ENDS = {"latin": ["berg", "dale", "feld", "holm", "land", "mann", "mont"
 FEMALE += [t.upper() for t in FEMALE]
 TITLES = "|".join([*MALE, *[t.upper() for t in MALE], *FEMALE])
 NAME = rf"(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})"
-ENTITY = "|".join([MAIL, SECRET, ADDRESS, PHONE, SOCIAL, CARD, NAME])
+ENTITY = "|".join([MAIL, SECRET, SIX, ADDRESS, PHONE, SOCIAL, CARD, NAME])
 #: What every entity has; the look-ahead spares most characters the alternatives.
 LIKELY = rf"(?=[0-9@Ags{''.join(sorted({t[0] for t in TITLES.split('|')}))}])(?:[0-9@]|AKIA|ghp_|sk-|{TITLES})"
 #: The letters that stand for letters.
@@ -61,7 +71,7 @@ def _let(value: Column, use) -> Column:
 def kind_of(found: Column) -> Column:
     whole = lambda p: found.rlike(f"^(?:{p})$")
     return (
-        F.when(found.contains("@"), "mail").when(whole(ADDRESS), "ip").when(whole(SOCIAL), "social").when(whole(PHONE), "phone")
+        F.when(found.contains("@"), "mail").when(whole(ADDRESS) | whole(SIX), "ip").when(whole(SOCIAL), "social").when(whole(PHONE), "phone")
         .when(whole(CARD), "card").when(whole(SECRET), "secret").otherwise("name")
     )
 
@@ -72,10 +82,17 @@ def canonical(kind: Column, found: Column) -> Column:
     name = F.concat(F.when(found.rlike(titles_f), "f ").otherwise("m "), F.lower(F.regexp_replace(found, r"^\S+ ", "")))
     return (
         F.when(kind == "mail", F.lower(found)).when(kind.isin("phone", "card", "social"), F.regexp_replace(found, r"\D", ""))
-        .when(kind == "name", name).otherwise(found)
+        .when(kind == "name", name).when((kind == "ip") & found.contains(":"), _eight_groups(found)).otherwise(found)
     )
 
 
+def _eight_groups(found: Column) -> Column:
+    """An IPv6 address with all its groups, in lower case and without leading zeros."""
+    side = lambda i: F.filter(F.split(F.coalesce(F.get(F.split(F.lower(found), "::", -1), F.lit(i)), F.lit("")), ":"), lambda g: g != "")
+    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(side(0)) - F.size(side(1)), F.lit(0)))
+    return F.array_join(F.transform(F.concat(side(0), zeros, side(1)), lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+
+
 def _extra(attempt: Column) -> Column:
     """The characters, digits or syllables that a surrogate has more than its entity."""
     return F.greatest(attempt - (SAME_SHAPE - 1), F.lit(0))
@@ -160,7 +177,14 @@ def rendered(kind: Column, found: Column, made: Column) -> Column:
     mail = F.concat(mail, F.substring(made, F.length(found) + 1, F.length(made)))
     proper = F.initcap(F.substring(made, F.lit(3), F.length(made)))
     name = F.concat(F.regexp_extract(found, r"^\S+ ", 0), F.when(F.regexp_replace(found, r"^\S+ ", "").rlike(r"\p{Ll}"), proper).otherwise(F.upper(proper)))
-    return F.when(kind.isin("phone", "card", "social"), digits).when(kind == "mail", mail).when(kind == "name", name).otherwise(made)
+    short = F.regexp_replace(made, r"^((?:[0-9a-f]+:)*?)0(?::0)+(?=:|$)", "$1")
+    short = F.concat(F.when(short.startswith(":"), ":").otherwise(""), short, F.when(short.endswith(":"), ":").otherwise(""))
+    six = F.when(found.contains("::"), short).otherwise(made)
+    six = F.when(found.rlike("[A-F]") & ~found.rlike("[a-f]"), F.upper(six)).otherwise(six)
+    return (
+        F.when(kind.isin("phone", "card", "social"), digits).when(kind == "mail", mail).when(kind == "name", name)
+        .when((kind == "ip") & found.contains(":"), six).otherwise(made)
+    )
 
 
 def entities_of(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import re
 import zlib
@@ -431,6 +432,33 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(new)) == len(items) and not old & set(new)
 
 
+FORMATS = [
+    "+14155550132", "+1 4155550132", "+49 30 1234567", "+49 30 12 345678", "+44 (0)20 7946 0958", "+1 (415) 555-0132", "+3314567890", "415 555 0132", "(415) 555 0132", "01 23 45 67 89", "020 7946 0958", "0151 23456789",
+    "2001:db8::1", "2001:0DB8:0:0:0:0:0:1", "fe80::1ff:fe23:4567:890a", "2001:db8:1:2:3:4:5:6", "fd00::",
+    "a1" * 100, "AKIA" + "Q7" * 40, "ghp_" + "x9" * 50, "sk-" + "k3" * 60, "sk-proj-Ab1_Cd2-Ef3_Gh4-Ij5", "4111 1111 1111 1111", "0123 4567 8901 2345",
+]
+OTHERS = ["x[1::2]", "std::add", "12:34:56", "01.02.2024", "2024-01-02", "00:1b:44:11:3a:b7", "sk-short", "1 000 000", "+12"]
+
+
+def test_surrogates_of_common_formats(spark):
+    items = [(i, f"see {x}, ok") for i, x in enumerate(FORMATS + OTHERS)]
+    new = {r["doc_id"]: r for r in rows(surrogates.replace_entities(spark.createDataFrame(items, "doc_id long, text string")))}
+    shape = lambda x: re.sub("[0-9]", "0", x)
+    for i, text in items:
+        x, got = text[4:-4], new[i]["text"][4:-4]
+        if x in OTHERS:
+            assert new[i]["text"] == text and new[i]["n_entities"] == 0, x
+            continue
+        assert new[i]["n_entities"] == 1 and got != x and new[i]["text"] == f"see {got}, ok", (x, got)
+        if x[0] in "+(04" and ":" not in x:
+            assert shape(got) == shape(x), (x, got)
+        elif ":" in x:
+            assert got.count("::") == x.count("::") and ipaddress.ip_address(got) != ipaddress.ip_address(x), (x, got)
+        else:
+            assert len(got) == len(x), (x, got)
+    assert ipaddress.ip_address(new[FORMATS.index("2001:db8::1")]["text"][4:-4]) == ipaddress.ip_address(new[FORMATS.index("2001:0DB8:0:0:0:0:0:1")]["text"][4:-4])
+
+
 def test_surrogates_outgrow_a_full_space(spark):
     """More entities than half of their shape's surrogates: 4000 addresses of 6561, 400 mail addresses of 676."""
     old = [f"{i // 729 + 1}.{i // 81 % 9 + 1}.{i // 9 % 9 + 1}.{i % 9 + 1}" for i in range(4000)] + [f"{chr(97 + i // 20)}@{chr(97 + i % 20)}.de" for i in range(400)]
