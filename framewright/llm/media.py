@@ -2,10 +2,12 @@
 
 `store_media` turns each payload into an 8-bit grayscale PNG of 64 samples a row and appends it as a
 member to a tar archive in the shared folder; a task closes an archive at about ARCHIVE_BYTES and
-writes an index of member offsets beside it. The data source `member_archive` plans byte ranges over
-the archives of a folder, streams the members whose header lies in its range as Arrow batches, and
-retries a member by its own offset, so that one bad read does not repeat the others. Archives carry
-the task attempt's own name; those that no finished task reported are left out after reading.
+writes an index of members (offset, size, check sum) beside it, which gets its name by a move once it is whole. The data source
+`member_archive` plans byte ranges over the indexed archives of a folder, streams the members whose header lies
+in its range as Arrow batches, and retries a member by its own offset over a new connection when a read fails,
+comes back short or does not match its check sum, so that one bad read does not repeat the others. An archive
+without an index is what a lost executor leaves; it is not read. Archives carry the task attempt's own
+name; those that no finished task reported are left out after reading.
 
 Defined cases: a null text is an empty payload (64 zero bytes); a null doc_id is kept; rows that
 repeat a doc_id are members of their own; an empty table gives an empty table; only doc_id and text
@@ -96,14 +98,15 @@ class _Archive:
         info.size = len(media)
         block = info.tobuf(tarfile.USTAR_FORMAT) + media + bytes(-len(media) % 512)
         self.out.write(block)
-        self.index.append((self.at, len(media)))
+        self.index.append((self.at, len(media), zlib.crc32(media)))
         self.at += len(block)
 
     def close(self) -> tuple[str, int]:
         self.out.write(bytes(1024))
         self.out.close()
-        with self.fs.open_output_stream(self.path + ".idx") as f:
+        with self.fs.open_output_stream(self.path + ".part") as f:
             f.write(np.asarray(self.index, "<i8").tobytes())
+        self.fs.move(self.path + ".part", self.path + ".idx")
         return self.path.rpartition("/")[2], len(self.index)
 
 
@@ -141,25 +144,31 @@ class ArchiveReader(DataSourceReader):
 
     def partitions(self) -> list[ByteRange]:
         fs, root = pafs.FileSystem.from_uri(self.folder)
-        found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+        found = {f.path: f.size for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))}
         ranges = [
-            ByteRange(f.path, at, min(at + self.range_bytes, f.size))
-            for f in sorted(found, key=lambda f: f.path) if f.path.endswith(".tar")
-            for at in range(0, f.size, self.range_bytes)
+            ByteRange(path, at, min(at + self.range_bytes, found[path]))
+            for path in sorted(found) if path.endswith(".tar") and path + ".idx" in found
+            for at in range(0, found[path], self.range_bytes)
         ]
         return ranges or [ByteRange("", 0, 0)]
 
-    def member(self, fs: pafs.FileSystem, path: str, offset: int, size: int) -> tuple[str, bytes]:
-        """One member by its offset, tried anew on its own when a read fails or comes back damaged."""
+    def connect(self, path: str) -> pa.NativeFile:
+        return pafs.FileSystem.from_uri(self.folder)[0].open_input_file(path)
+
+    def member(self, held: list[pa.NativeFile], path: str, offset: int, size: int, crc: int) -> tuple[str, bytes]:
+        """One member by its offset from the open file in held, tried anew on its own, with a new file, when a read fails or comes back damaged."""
         for left in range(self.tries - 1, -1, -1):
             try:
-                with fs.open_input_file(path) as f:
-                    block = f.read_at(512 + size, offset)
+                if not held:
+                    held.append(self.connect(path))
+                block = held[0].read_at(512 + size, offset)
                 info = tarfile.TarInfo.frombuf(block[:512], "utf-8", "strict")
-                if info.size != size or len(block) != 512 + size:
-                    raise OSError(f"short or foreign member at {offset} of {path}")
+                if info.size != size or len(block) != 512 + size or zlib.crc32(block[512:]) != crc:
+                    raise OSError(f"short, foreign or damaged member at {offset} of {path}")
                 return info.name, block[512:]
             except (OSError, tarfile.HeaderError):
+                while held:
+                    held.pop().close()
                 if not left:
                     raise
                 time.sleep(0.1 * (self.tries - left))
@@ -168,13 +177,12 @@ class ArchiveReader(DataSourceReader):
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
         if not part.path:
             return
-        fs, _ = pafs.FileSystem.from_uri(self.folder)
-        with fs.open_input_file(part.path + ".idx") as f:
-            index = np.frombuffer(f.read(), "<i8").reshape(-1, 2)
+        with self.connect(part.path + ".idx") as f:
+            index = np.frombuffer(f.read(), "<i8").reshape(-1, 3)
         low, high = np.searchsorted(index[:, 0], [part.start, part.end])
-        archive, rows, held = part.path.rpartition("/")[2], [], 0
-        for offset, size in index[low:high].tolist():
-            name, media = self.member(fs, part.path, offset, size)
+        archive, rows, held, open_files = part.path.rpartition("/")[2], [], 0, []
+        for offset, size, crc in index[low:high].tolist():
+            name, media = self.member(open_files, part.path, offset, size, crc)
             rows.append((archive, offset, name, media))
             held += size
             if held >= BATCH_BYTES:
@@ -182,6 +190,8 @@ class ArchiveReader(DataSourceReader):
                 rows, held = [], 0
         if rows:
             yield self.batch(rows)
+        for f in open_files:
+            f.close()
 
     @staticmethod
     def batch(rows: list[tuple]) -> pa.RecordBatch:
