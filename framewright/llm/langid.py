@@ -3,13 +3,14 @@
 A text is its lower-cased UTF-8 bytes; every run of 2, 3 and 4 bytes is hashed to a bucket, the
 buckets' embeddings are averaged over the whole text and a linear layer gives the languages' logits.
 Fitting sees a bounded sample: at most FIT_DOCS documents in all, shared equally among the languages
-and drawn by a hash of doc_id, of at most FIT_CHARS characters each (longer ones are not drawn).
+(the MOST_LANGS commonest labels) and drawn by a hash of the text, equal texts once, of at most FIT_CHARS characters each (longer ones are not drawn).
 A part of the sample stays out of training and sets the softmax temperature and the score below
 which a prediction is rejected. Prediction sends only the product of embeddings and linear layer.
 
 Defined cases: a null text or one without a letter is `und` with score 0; an empty table, or one
-without labels, predicts `und`; rows that repeat a doc_id are predicted each; extra columns pass
-through `identify`, columns named like its results are replaced.
+without labels, predicts `und`; both are rejected; rows that repeat a doc_id are predicted each; extra columns pass
+through `identify`, columns named like its results are replaced. The score of a short text is that of the softmax, so
+that texts of another script, whose subwords training never saw, fall below the threshold.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from framewright.llm.common import table, unit
 
 BUCKETS, WIDTH, EPOCHS, BATCH, RATE = 1 << 14, 16, 12, 32, 0.5
-FIT_DOCS, FIT_CHARS, CLIP = 1200, 40_000, 60
+FIT_DOCS, FIT_CHARS, MOST_LANGS, CLIP = 1200, 40_000, 200, 60
 REJECT_RATE, REJECT_MOST = 0.001, 0.5
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -120,20 +121,18 @@ def held_out() -> Column:
 
 
 def fit(docs: DataFrame, seed: int = 8) -> Model:
-    """Train on a bounded sample of the labelled rows of docs (text, lang; doc_id only draws the sample)."""
+    """Train on a bounded sample of the labelled rows of docs (text, lang)."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= FIT_CHARS))
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    texts = usable.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"))
+    counts = [(r["lang"], max(1, r["n"])) for r in texts.orderBy(F.col("n").desc(), "lang").limit(MOST_LANGS).collect()]
     if not counts:
         return train([])
     most = max(1, FIT_DOCS // len(counts))
-    drawn = unit(F.col("doc_id"), F.lit(seed))
-    share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, 1.2 * most / n))) for lang, n in counts.items()])
-    rows = usable.where(drawn < share).select(drawn.alias("h"), "lang", "text").collect()
-    kept: dict[str, list[tuple[str, str]]] = {}
-    for r in sorted(rows, key=lambda r: (r["h"], r["text"])):
-        if len(kept.setdefault(r["lang"], [])) < most:
-            kept[r["lang"]].append((r["text"], r["lang"]))
-    return train([x for lang in sorted(kept) for x in kept[lang]], seed)
+    shares = docs.sparkSession.createDataFrame([(lang, min(1.0, 1.3 * most / n)) for lang, n in counts], "known string, share double")
+    drawn = usable.select("lang", "text", unit(F.col("text"), F.lit(seed)).alias("h")).join(F.broadcast(shares), F.col("lang") == F.col("known")).where(F.col("h") < F.col("share")).dropDuplicates(["lang", "text"])
+    nth = F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))  # of little more than the sample
+    rows = drawn.select("lang", "text", "h", nth.alias("nth")).where(F.col("nth") <= most).collect()
+    return train([(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["nth"]))], seed)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -159,4 +158,4 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(~held_out()))
-    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
