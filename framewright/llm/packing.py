@@ -5,7 +5,8 @@ Which lengths meet in a window is planned on the histogram of lengths, which has
 rows however many documents there are. For each window the plan starts from the longest length left
 and finds, by a subset-sum bitset over the remaining counts, the multiset that fills the window with
 the least padding; the counts are backtracked through the layers of the bitset and the multiset is
-repeated as often as they allow. Each such step uses up at least one length's usable count, so the
+repeated as often as they allow. What is left at last, less than one window, is split by the same search at powers
+of two, where sequences are not padded. Each such step uses up at least one length's usable count, so the
 plan stays small and is broadcast (at most capacity times sqrt(2 * capacity) rows). Pieces are then
 numbered within their length and look up their window and offset in the plan.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -113,7 +115,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
 
 
 def best_fill(left: dict[int, int], longest: int, capacity: int) -> dict[int, int]:
-    """The multiset with `longest` that pads least: the fullest window, or one filled to a power of two, which is not padded."""
+    """The multiset with `longest` that fills a window closest to capacity; of a remainder below capacity, the one closest to a power of two from below."""
     layers, reach, whole = [], 1 << longest, (1 << (capacity + 1)) - 1
     for length in sorted(left, reverse=True):
         count = min(left[length] - (length == longest), (capacity - longest) // length)
@@ -126,7 +128,7 @@ def best_fill(left: dict[int, int], longest: int, capacity: int) -> dict[int, in
         if reach >> capacity & 1:
             break
     total = reach.bit_length() - 1
-    if total & (total - 1):
+    if total & (total - 1) and sum(n * c for n, c in left.items()) < capacity:
         total = max((1 << b for b in range(capacity.bit_length()) if reach >> (1 << b) & 1), default=total)
     picked = {longest: 1}
     for length, take, before in reversed(layers):
@@ -159,9 +161,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = spark.createDataFrame(plan_windows(counts, capacity), "p_length long, low long, high long, per long, window long, at long")
-    chunks = max(1, -(-max(counts.values(), default=0) // CHUNK_ROWS))
+    most = max(counts.values(), default=0)
+    chunks = max(1, -(-most // max(CHUNK_ROWS, isqrt(most))))  # so that neither a chunk nor the table of a length's chunks outgrows a task
     order = [F.col("doc_id"), F.col("start"), F.col("ids_crc32")]
-    numbered = dense_number(pieces, ["length"], order, "number", F.pmod(F.xxhash64("doc_id", "start"), F.lit(chunks)), "pack-numbers")
+    numbered = dense_number(pieces, ["length"], order, "number", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(chunks)), "pack-numbers")
     nth = F.col("number") - F.col("low")
     meets = (F.col("length") == F.col("p_length")) & (F.col("number") >= F.col("low")) & (F.col("number") < F.col("high"))
     return numbered.join(F.broadcast(plan), meets).select(
