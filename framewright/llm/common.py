@@ -16,12 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, one of our own if all run on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
     held = spark.sparkContext.getCheckpointDir()
     if not held:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp"))
         held = spark.sparkContext.getCheckpointDir()
     return held.rstrip("/")
@@ -66,15 +68,15 @@ def utf8(text: Column) -> Column:
     return F.coalesce(F.encode(text, "UTF-8"), F.to_binary(F.lit(""), F.lit("utf-8")))
 
 
-def attach(docs: DataFrame, decided: DataFrame, value: str) -> DataFrame:
-    """Give each row of docs the value decided for its doc_id; rows that repeat a doc_id share that id's values in order.
+def attach(docs: DataFrame, decided: DataFrame, value: str, by: str = "doc_id") -> DataFrame:
+    """Give each row of docs the value decided for its key `by`; rows that repeat a key share that key's values in order.
 
-    decided: doc_id and value, one row for each row of docs. Clashing names: decided's column wins.
+    decided: the key and value, one row for each row of docs. Clashing names: decided's column wins.
     """
     kept = [c for c in docs.columns if c != value]
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # never null, so that numbering and join share one shuffle of docs
+    key = F.coalesce(F.col(by).cast("string"), F.lit(""))  # never null, so that numbering and join share one shuffle of docs
     left = docs.select(*kept, key.alias("__key"))
-    order = W.partitionBy("__key").orderBy(F.xxhash64(*[left[c] for c in kept if c != "doc_id"]))
+    order = W.partitionBy("__key").orderBy(F.xxhash64(*[left[c] for c in kept if c != by]))
     left = left.withColumn("__k", F.row_number().over(order))
     right = decided.groupBy(key.alias("__key")).agg(F.array_sort(F.collect_list(value)).alias("__values"))
     return left.join(right, "__key", "left").select(*kept, F.try_element_at("__values", F.col("__k")).alias(value))

@@ -10,7 +10,7 @@ its target by less than the last document's size.
 
 Defined cases: a null text has 0 words and is taken 0 times; a null source is a source of its own
 (last in order); an empty table gives an empty table; rows that repeat a doc_id are separate
-documents; columns of other names pass through `mix_documents` unchanged, columns named
+documents, and equal rows are counted before the shuffle and numbered, so that they spread over buckets; columns of other names pass through `mix_documents` unchanged, columns named
 like its own results are replaced.
 """
 
@@ -85,7 +85,9 @@ def round_copies(items: DataFrame, seed: int) -> DataFrame:
     plain = split.where(~loose).select("doc_id", "source", "size", F.col("base").alias("copies"))
     most = split.agg(F.max("n")).first()[0] or 0
     buckets = F.greatest(F.lit(1), F.ceil(F.col("n") / FAN)).cast("long")
-    rows = split.where(loose).select("source", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), buckets).alias("bucket"), F.struct("doc_id", "size", "base", "p").alias("item"))
+    equal = split.where(loose).groupBy(*split.columns).agg(F.count(F.lit(1)).alias("times"))
+    each = equal.select("*", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("nth"))
+    rows = each.select("source", F.pmod(F.xxhash64("doc_id", "size", "nth", F.lit(seed)), buckets).alias("bucket"), F.struct("doc_id", "size", "base", "p").alias("item"))
     parts, level, groups = [plain], 0, -(-most // FAN)
     while True:
         mixed = F.array_sort(F.transform(F.collect_list("item"), lambda x: F.struct(F.xxhash64(x["doc_id"], x["size"], F.lit(seed + 1)).alias("h"), x.alias("x"))))
@@ -124,9 +126,10 @@ def document_sizes(docs: DataFrame) -> DataFrame:
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """Repeat or leave out whole documents so that their sources meet their targets: docs with each row as often as decided."""
-    sizes = materialize(document_sizes(docs), "mix-sizes")
-    decided = mix_sizes(sizes, **options).select("doc_id", F.col("copies").alias("mix_copies"))
-    held = attach(docs, decided, "mix_copies").where(F.col("mix_copies") > 0)
+    named = docs.withColumn("__row", F.xxhash64("doc_id", "source", "text"))  # rows without a doc_id spread by their text
+    sizes = materialize(document_sizes(named.drop("doc_id").withColumnRenamed("__row", "doc_id")), "mix-sizes")
+    decided = mix_sizes(sizes, **options).select(F.col("doc_id").alias("__row"), F.col("copies").alias("mix_copies"))
+    held = attach(named, decided, "mix_copies", "__row").where(F.col("mix_copies") > 0)
     return held.withColumn("mix_copies", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*[c for c in docs.columns])
 
 
