@@ -7,7 +7,7 @@ other. Trust is a personalised PageRank that starts from the pages that rules al
 edges; distrust starts from the pages that rules block and runs against them. A host is blocked where
 its distrust exceeds `margin` times its trust; a host that neither reaches is allowed.
 
-Work per step is two joins on the host graph; ranks are written to the shared folder each ROUND
+Work per step is one join on the host graph, for both ranks; ranks are written to the shared folder each ROUND
 steps, so that plans stay short and survive lost executors. Iteration ends when a round moves less than the tolerance
 of all mass and of each single rank, so that far hosts are reached and compared too.
 
@@ -27,7 +27,7 @@ from framewright.llm.common import materialize, table
 
 #: (rule, verdict): a host, then the path's start.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
-DAMPING, TOLERANCE, MOST_STEPS, ROUND = 0.85, 1e-5, 20, 4  # MOST_STEPS: those that the SQL twin writes out
+DAMPING, TOLERANCE, ROUND = 0.85, 1e-5, 8
 LEAST = 1e-300  # ranks below are beyond a double's precision
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -57,6 +57,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, w: hyperlinks between hosts (counted) and steps between a host and its parent domain."""
     linked = pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all(F.col("html"), F.lit(LINK), F.lit(1))).alias("to"))
     linked = linked.select("src", F.translate("to", UPPER, LOWER).alias("dst")).where(F.col("src") != "").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    linked = materialize(linked, "links-linked")  # pages are searched once
     known = pages.select("host").distinct().unionByName(linked.select(F.col("dst").alias("host"))).where(F.col("host") != "").distinct()
     labels = F.split("host", r"\.")
     chain = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -69,32 +70,33 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, most_steps: int | None = None) -> DataFrame:
     """seeds: host, trust, distrust (each sums to 1 or 0). Returns host, trust, distrust after propagation, or after most_steps."""
     bound = ceil(log(LEAST) / log(damping)) + ROUND  # no rank can still move by LEAST
-    out = edges.groupBy("src").agg(F.sum("w").alias("w_out")).withColumnRenamed("src", "o")
-    into = edges.groupBy("dst").agg(F.sum("w").alias("w_in")).withColumnRenamed("dst", "i")
-    flow = edges.join(out, edges["src"] == out["o"]).join(into, F.col("dst") == into["i"]).select("src", "dst", (F.col("w") / F.col("w_out")).alias("fore"), (F.col("w") / F.col("w_in")).alias("back"))
+    way = lambda kind, a, b: edges.select(F.lit(kind).alias("kind"), F.col(a).alias("from"), F.col(b).alias("to"), "w")
+    ways = way("trust", "src", "dst").unionByName(way("distrust", "dst", "src"))
+    total = ways.groupBy(F.col("kind").alias("k"), F.col("from").alias("f")).agg(F.sum("w").alias("all"))
+    flow = ways.join(total, (F.col("kind") == F.col("k")) & (F.col("from") == F.col("f"))).select("kind", "from", "to", (F.col("w") / F.col("all")).alias("part"))
     flow = materialize(flow, "links-flow")
-    nodes = flow.select(F.col("src").alias("host")).unionByName(flow.select(F.col("dst").alias("host"))).unionByName(seeds.select("host")).distinct()
-    base = nodes.join(seeds, "host", "left").select("host", *[F.coalesce(c, F.lit(0.0)).alias(f"{c}0") for c in ("trust", "distrust")])
-    base = materialize(base, "links-seeds")
-    ranks = base.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
+    nodes = flow.select(F.col("to").alias("host")).unionByName(flow.select(F.col("from").alias("host"))).unionByName(seeds.select("host")).distinct()
+    first = nodes.join(seeds, "host", "left").select("host", F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.coalesce(c, F.lit(0.0)).alias("seed")) for c in ("trust", "distrust")])).alias("e"))
+    base = materialize(first.select("host", "e.*"), "links-seeds")
+    ranks = base.select("host", "kind", F.col("seed").alias("rank"))
     for done in range(0, bound if most_steps is None else most_steps, ROUND):
         before = ranks
         for _ in range(ROUND):
-            fore = flow.join(ranks, flow["src"] == ranks["host"]).select(F.col("dst").alias("to"), (F.col("trust") * F.col("fore")).alias("t"), F.lit(0.0).alias("d"))
-            back = flow.join(ranks, flow["dst"] == ranks["host"]).select(F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("back")).alias("d"))
-            sums = fore.unionByName(back).groupBy("to").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-            step = lambda seed, got: (1 - damping) * F.col(seed) + damping * F.coalesce(got, F.lit(0.0))
-            ranks = base.join(sums, base["host"] == sums["to"], "left").select("host", step("trust0", "t").alias("trust"), step("distrust0", "d").alias("distrust"))
+            moved = flow.join(ranks.withColumnRenamed("kind", "k"), (F.col("kind") == F.col("k")) & (F.col("from") == F.col("host")))
+            sums = moved.groupBy(F.col("to").alias("t"), F.col("kind").alias("k")).agg(F.sum(F.col("rank") * F.col("part")).alias("got"))
+            step = (1 - damping) * F.col("seed") + damping * F.coalesce("got", F.lit(0.0))
+            ranks = base.join(sums, (F.col("host") == F.col("t")) & (F.col("kind") == F.col("k")), "left").select("host", "kind", step.alias("rank"))
         ranks = materialize(ranks, f"links-ranks{done}")
-        was = before.select(F.col("host").alias("h"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
-        change = {c: F.abs(F.col(c) - F.col(c0)) for c, c0 in (("trust", "t0"), ("distrust", "d0"))}
-        moves = F.greatest(*[by - tolerance * F.col(c) for c, by in change.items()])
-        moved, most = ranks.join(was, ranks["host"] == was["h"]).agg(F.sum(change["trust"] + change["distrust"]), F.max(moves)).first()
+        was = before.select(F.col("host").alias("h"), F.col("kind").alias("k"), F.col("rank").alias("was"))
+        change = F.abs(F.col("rank") - F.col("was"))
+        moved, most = ranks.join(was, (F.col("host") == F.col("h")) & (F.col("kind") == F.col("k"))).agg(F.sum(change), F.max(change - tolerance * F.col("rank"))).first()
         if not moved or (moved < tolerance and most <= LEAST):
-            return ranks
-    if most_steps is None:
-        raise ValueError(f"ranks still move after {bound} steps")
-    return ranks
+            break
+    else:
+        if most_steps is None:
+            raise ValueError(f"ranks still move after {bound} steps")
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("rank"))).alias(kind)
+    return ranks.groupBy("host").agg(of("trust"), of("distrust"))
 
 
 def judge_pages(pages: DataFrame, rules: list[tuple[str, str]] = RULES, margin: float = 1.0) -> DataFrame:

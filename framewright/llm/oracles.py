@@ -21,8 +21,8 @@ FROM c JOIN cls USING (k) JOIN top ON top.node = cls.rep LEFT JOIN links ON link
 """
 
 
-def link_sql(rules: list[tuple[str, str]] = links.RULES, steps: int = links.MOST_STEPS, damping: float = links.DAMPING) -> str:
-    """The propagation written out step by step."""
+def link_sql(rules: list[tuple[str, str]] = links.RULES, steps: int = 220, damping: float = links.DAMPING) -> str:
+    """The propagation as plain iteration, far beyond the step at which ranks settle to the operator's tolerance."""
     ordered = sorted(rules, key=lambda r: (-len(r[0]), r[0]))
     fits = lambda r: "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*r.split("/", 1))
     case = lambda i: "CASE " + " ".join(f"WHEN {fits(r[0])} THEN '{r[i]}'" for r in ordered) + " END"
@@ -38,8 +38,8 @@ def link_sql(rules: list[tuple[str, str]] = links.RULES, steps: int = links.MOST
         "ph AS (SELECT host, count(*) FILTER (ruled = 'allow') AS t, count(*) FILTER (ruled = 'block') AS d FROM j WHERE host <> '' GROUP BY host)",
         "nodes AS (SELECT src AS host FROM fl UNION SELECT dst FROM fl UNION SELECT host FROM ph)",
         "r0 AS MATERIALIZED (SELECT n.host, coalesce(p.t / nullif(sum(p.t) OVER (), 0), 0) AS t, coalesce(p.d / nullif(sum(p.d) OVER (), 0), 0) AS d FROM nodes n LEFT JOIN ph p USING (host))"]
-    for k in range(1, steps + 1):
-        parts.append(f"""r{k} AS MATERIALIZED (SELECT r0.host, {1 - damping} * r0.t + {damping} * coalesce(x.t, 0) AS t, {1 - damping} * r0.d + {damping} * coalesce(y.d, 0) AS d FROM r0
-LEFT JOIN (SELECT dst AS host, sum(r{k - 1}.t * fore) AS t FROM fl JOIN r{k - 1} ON r{k - 1}.host = fl.src GROUP BY dst) x USING (host)
-LEFT JOIN (SELECT src AS host, sum(r{k - 1}.d * back) AS d FROM fl JOIN r{k - 1} ON r{k - 1}.host = fl.dst GROUP BY src) y USING (host))""")
-    return f"WITH {', '.join(parts)} SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN coalesce(d, 0) > coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict FROM j LEFT JOIN r{steps} USING (host)"
+    parts.append(f"""rk AS (SELECT 0 AS k, host, t, d FROM r0 UNION ALL SELECT p.k + 1, r0.host, {1 - damping} * r0.t + {damping} * coalesce(x.t, 0), {1 - damping} * r0.d + {damping} * coalesce(y.d, 0)
+FROM r0 CROSS JOIN (SELECT DISTINCT k FROM rk WHERE k < {steps}) p LEFT JOIN (SELECT dst AS host, sum(rk.t * fore) AS t FROM fl JOIN rk ON rk.host = fl.src GROUP BY dst) x ON x.host = r0.host
+LEFT JOIN (SELECT src AS host, sum(rk.d * back) AS d FROM fl JOIN rk ON rk.host = fl.dst GROUP BY src) y ON y.host = r0.host)""")
+    parts.append(f"last AS (SELECT host, t, d FROM rk WHERE k = {steps})")
+    return f"WITH RECURSIVE {', '.join(parts)} SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN coalesce(d, 0) > coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict FROM j LEFT JOIN last USING (host)"
