@@ -2,8 +2,8 @@
 
 A node that must hold m shards is cut along its widest metadata dimension at the weighted quantile
 floor(m / 2) / m, until every leaf is one shard of the target bytes. The quantile is found by
-refining a histogram: each pass sums bytes in 2048 buckets of the part that still holds the cut, so
-that the driver sees at most 2048 rows a node, whatever the number of documents. Dimensions: doc_id,
+refining a histogram: a scan sums bytes in at most WIDE buckets of each dimension of each node, a second one in FINE
+buckets of the part that holds the cut, so that the driver sees so many rows a node, whatever the number of documents. Dimensions: doc_id,
 bytes, source and lang; text dimensions use a hashed coordinate, which keeps equal values together.
 
 Equal texts share one point of the tree (that of their smallest doc_id) and so one shard. Groups that
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from framewright.llm.common import dense_number, materialize, table, utf8
 
-BITS, STEP = 63, 11
+KEY_BITS, TIE_BITS = 63, 32
+WIDE, FINE = 512, 4096
 GROUP_SHARE, CUT_SHARE = 0.01, 0.0005
 OVERHEAD = 16
 
@@ -48,42 +49,67 @@ def _placed(rules: dict[int, tuple[int, int]], n: int = 0) -> Column:
     return F.when(F.col(f"key{dim}") <= cut, _placed(rules, 2 * n + 1)).otherwise(_placed(rules, 2 * n + 2))
 
 
+def _histogram(points: DataFrame, node: Column, dims: int, asked: dict[tuple[int, int], tuple[int, int]], buckets: int) -> dict[tuple[int, int], list[tuple]]:
+    """asked: (node, dimension) -> range of keys. One scan: for each the occupied buckets of the range in order, as (weight, least key, largest key)."""
+    ranges = points.sparkSession.createDataFrame([(n, d, low, (high - low) // buckets + 1) for (n, d), (low, high) in asked.items()], "n int, d int, low long, width long")
+    keys = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(f"key{d}").alias("key")) for d in range(dims)]))
+    live = points.select("weight", node.alias("node"), keys.alias("k")).select("weight", "node", "k.*")
+    near = live.join(F.broadcast(ranges), (F.col("node") == F.col("n")) & (F.col("dim") == F.col("d")))  # a row for each open node and dimension
+    inside = near.withColumn("b", F.expr("(key - low) div width")).where((F.col("key") >= F.col("low")) & (F.col("b") < buckets))
+    sums = inside.groupBy("node", "dim", "b").agg(F.sum("weight"), F.min("key"), F.max("key")).collect()
+    out: dict[tuple[int, int], list[tuple]] = {}
+    for n, d, _, *found in sorted(map(tuple, sums)):
+        out.setdefault((n, d), []).append(tuple(found))
+    return out
+
+
 def kd_nodes(points: DataFrame, dims: int, room: list[float]) -> tuple[Column, dict[int, int]]:
-    """points: weight and key0 .. key{dims-1} (non-negative longs). room: the share of the bytes that each leaf shall have. Returns the node expression and leaf node -> place in room."""
+    """points: weight and key0 .. key{dims-1} (non-negative longs). room: the share of the bytes that each leaf shall have. Returns the node expression and leaf node -> place in room.
+
+    A level takes one scan for the histograms of all dimensions of all its nodes, which also show the widest one, and one that refines the
+    bucket of each cut by its own least and largest key; only cuts between keys of one heavy value need more.
+    """
     want, rules = {0: (0, len(room))}, {}
-    while any(b - a > 1 for a, b in want.values()):
+    box = {(0, d): (0, (1 << KEY_BITS) - 1) for d in range(dims)}
+    while open_nodes := [n for n, (a, b) in want.items() if b - a > 1]:
         node = _placed(rules)
-        live = points.withColumn("node", node).where(F.col("node").isin([n for n, (a, b) in want.items() if b - a > 1]))
-        spread = [F.max(F.shiftright(f"key{d}", 32)) - F.min(F.shiftright(f"key{d}", 32)) for d in range(dims)]
-        seen = live.groupBy("node").agg(F.sum("weight").alias("w"), *[s.alias(f"s{d}") for d, s in enumerate(spread)]).collect()
-        cuts = {r["node"]: max(range(dims), key=lambda d: (r[f"s{d}"], -d)) for r in seen}
-        total = {r["node"]: r["w"] for r in seen}
-        middle = {n: (a + b) // 2 for n, (a, b) in want.items()}
-        goal = {n: total[n] * sum(room[want[n][0] : middle[n]]) / sum(room[slice(*want[n])]) for n in cuts}
-        slack = {n: CUT_SHARE * total[n] / (want[n][1] - want[n][0]) for n in cuts}
-        prefix, below, done, shift = {n: 0 for n in cuts}, {n: 0 for n in cuts}, {}, BITS
-        while len(done) < len(cuts):
-            wide, shift = shift, max(0, shift - STEP)
-            open_nodes = [n for n in cuts if n not in done]
-            key = F.coalesce(*[F.when(F.col("node") == n, F.col(f"key{cuts[n]}")) for n in open_nodes])
-            held = F.coalesce(*[F.when(F.col("node") == n, F.lit(prefix[n])) for n in open_nodes])
-            at = live.where(F.col("node").isin(open_nodes)).withColumn("key", key).where((F.shiftright("key", wide) if wide < BITS else F.lit(0)) == held)
-            sums = at.groupBy("node", F.shiftright("key", shift).alias("b")).agg(F.sum("weight").alias("w")).collect()
-            for n in open_nodes:
-                run = below[n]
-                for b, w in sorted((r["b"], r["w"]) for r in sums if r["node"] == n):
-                    if run + w >= goal[n]:
+        seen = _histogram(points, node, dims, {k: r for k, r in box.items() if k[0] in open_nodes}, WIDE)
+        box = {k: (found[0][1], found[-1][2]) for k, found in seen.items()}
+        cuts, state, done = {}, {}, {}
+        for n in {n for n, _ in seen}:
+            a, b = want[n]
+            cuts[n] = max(range(dims), key=lambda d: ((box[n, d][1] >> TIE_BITS) - (box[n, d][0] >> TIE_BITS), -d))  # noqa: B023
+            total = sum(w for w, *_ in seen[n, cuts[n]])
+            middle = (a + b) // 2
+            goal = total * sum(room[a:middle]) / (sum(room[a:b]) or 1.0)
+            state[n] = (goal, CUT_SHARE * total / (b - a), 0)
+        while state:
+            asked = {}
+            for n, (goal, slack, run) in list(state.items()):
+                for w, low, high in seen[n, cuts[n]]:
+                    if run + w >= goal:
                         break
                     run += w
-                low, high = (b << shift) - 1, ((b + 1) << shift) - 1
-                if shift == 0 or w <= slack[n]:
-                    done[n] = high if run + w - goal[n] <= goal[n] - run else low
+                if low == high or w <= slack:
+                    done[n] = high if run + w - goal <= goal - run else low - 1
+                    del state[n]
                 else:
-                    prefix[n], below[n] = b, run
-        if not cuts:
-            break
+                    asked[n, cuts[n]], state[n] = (low, high), (goal, slack, run)
+            if asked:
+                seen = _histogram(points, node, dims, asked, FINE)
         rules |= {n: (cuts[n], done[n]) for n in cuts}
-        want = {c: k for n, (a, b) in want.items() for c, k in ([(2 * n + 1, (a, middle[n])), (2 * n + 2, (middle[n], b))] if n in cuts else [(n, (a, a + 1))])}
+        split = {}
+        for n, (a, b) in want.items():
+            if n not in cuts:
+                split[n] = (a, a + 1)
+                continue
+            split[2 * n + 1], split[2 * n + 2] = (a, (a + b) // 2), ((a + b) // 2, b)
+            for d in range(dims):
+                low, high = box[n, d]
+                box[2 * n + 1, d] = (low, done[n] if d == cuts[n] else high)
+                box[2 * n + 2, d] = (done[n] + 1 if d == cuts[n] else low, high)
+        want = split
+        box = {k: r for k, r in box.items() if r[0] <= r[1]}
     return _placed(rules), {n: a for n, (a, _) in want.items()}
 
 
