@@ -2,19 +2,26 @@
 
 Entities (mail addresses, secrets, IP addresses, telephone, card and social security numbers, names
 after a title) are found by one pattern. An entity's canonical form keys a SHA-256 stream that draws
-its surrogate: digits for digits, letters for letters of the same script, an octet in the same
+its surrogate: digits for digits, letters for letters of the same script, hex for hex, an octet in the same
 range of digits, a name of the title's gender and the name's script; the country code, the top-level
-domain and the remainder of a card's check sum stay. Each occurrence gets the surrogate of its canonical form in
+domain, the prefix of a secret and the remainder of a card's check sum stay. Each occurrence gets the surrogate of its canonical form in
 its own punctuation and case, so that mentions of one entity still agree everywhere.
 
+A person is a first name (of the title's gender) and a last name, which have a surrogate each: `Mr John Smith` and `Mr Smith` keep
+one last name, two people who share it still differ by their first names. In the document that has `Mr John Smith`,
+`John Smith` without a title is replaced too. A last name alone and names that no title ever introduces are left: nothing
+tells them from other words.
+
 Distinctness: the table of distinct entities is checked for surrogates that two entities share or
-that that are themselves entities of the corpus; the later of them are drawn again with the next attempt
-until none is left. From attempt SAME_SHAPE on each attempt adds a character, digit or syllable and octets take any
+that are themselves entities of the corpus; the later of them are drawn again with the next attempt
+until none is left. Each attempt adds a syllable to a name; from attempt SAME_SHAPE on it adds a character or digit to the others and octets take any
 value (from twice that on an address gets one of the longer kind), so that the space outgrows every corpus. Only redrawn entities need a lookup, joined back to the documents that hold
 them; all others are computed in place, so that a common entity never gathers its rows in one task.
 
+The key is an argument or the setting KEY_SETTING of the session; without either nothing is replaced but an error raised.
+
 Defined cases: a null text stays null and has no entity; an empty table gives an empty table; rows
-that repeat a doc_id are rewritten each; other columns pass through, `n_entities` is replaced.
+that repeat a doc_id are rewritten each; rows without a doc_id are told apart by their text; other columns pass through, `n_entities` is replaced.
 """
 
 from __future__ import annotations
@@ -24,12 +31,14 @@ from pyspark.sql import functions as F
 
 from framewright.llm.common import materialize, table
 
-KEY = "replace-this-key"
+KEY_SETTING = "spark.framewright.surrogate.key"
+QUERY_KEY = "the queries on test tables"  # fixed, so that their results can be compared
 SAME_SHAPE = 8
 WORDISH = r"\p{L}\p{M}\p{N}._%+\-"
 MAIL = rf"(?<![{WORDISH}])[{WORDISH}]++@[\p{{L}}\p{{N}}\-]+(?:\.[\p{{L}}\p{{N}}\-]+)+"
 SECRET = r"(?<![\p{L}\p{N}_\-])(?:[0-9a-fA-F]{32,}+(?![\p{L}\p{N}])|(?:AKIA|ghp_|sk-)[A-Za-z0-9_\-]{16,}+)"
 GROUP = r"[0-9a-fA-F]{1,4}"
+PREFIX = "^(?:AKIA|ghp_|sk-(?:(?:proj|live|test)-)?)"
 #: Eight groups, or fewer around a `::` with one of three or four digits, so that slices as 1::2 stay.
 SIX = (
     rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9a-fA-F:]*\d)(?:(?:{GROUP}:){{7}}{GROUP}|(?=[0-9a-fA-F:]*(?<![0-9a-fA-F])[0-9a-fA-F]{{3,4}}(?![0-9a-fA-F]))(?!(?::*{GROUP}(?![0-9a-fA-F])){{8}})"
@@ -93,14 +102,23 @@ def _eight_groups(found: Column) -> Column:
     return F.array_join(F.transform(F.concat(side(0), zeros, side(1)), lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
 
 
-def _extra(attempt: Column) -> Column:
+def _extra(kind: Column, attempt: Column) -> Column:
     """The characters, digits or syllables that a surrogate has more than its entity."""
-    return F.greatest(attempt - (SAME_SHAPE - 1), F.lit(0))
+    return F.when(kind.isin("first", "last"), attempt).otherwise(F.greatest(attempt - (SAME_SHAPE - 1), F.lit(0)))
+
+
+def parts_of(kind: Column, canon: Column) -> Column:
+    """The entities that get a surrogate of their own, as (kind, canon): a person's names, or the entity itself."""
+    part = lambda k, c: F.struct((F.lit(k) if isinstance(k, str) else k).alias("kind"), c.alias("canon"))
+    words = F.split(canon, " ")
+    last = F.array(part("last", F.element_at(words, -1)))
+    first = F.when(F.size(words) > 2, F.array(part("first", F.concat_ws(" ", words[0], words[1]))))
+    return F.when(kind == "name", F.concat(last, F.coalesce(first, F.array().cast("array<struct<kind:string,canon:string>>")))).otherwise(F.array(part(kind, canon)))
 
 
 def _draws(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """A keyed number 0..65535 for each position of canon and two for each extra one, as an array."""
-    many = F.length(canon) + 2 * _extra(attempt)
+    many = F.greatest(F.length(canon), F.lit(6)) + 2 * _extra(kind, attempt)
     blocks = F.transform(F.sequence(F.lit(0), F.floor(many / 16).cast("int")), lambda b: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"), b.cast("string"), F.lit(key)), 256))
     return _let(F.array_join(blocks, ""), lambda stream: F.transform(F.sequence(F.lit(0), many), lambda i: F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int")))
 
@@ -129,9 +147,9 @@ def _check_sum(digits: Column) -> Column:
     return F.pmod(F.aggregate(_let(F.length(digits), values), F.lit(0), lambda a, x: a + x), F.lit(10))
 
 
-def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> Column:
+def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a canonical entity, itself in canonical form."""
-    extra = _extra(attempt)
+    extra = _extra(kind, attempt)
     grown = F.when(kind == "mail", F.concat(F.repeat(F.lit("a"), extra), canon)).otherwise(F.concat(canon, F.repeat(F.when(kind == "secret", "a").otherwise("0"), extra)))
 
     def drawn(d: Column) -> Column:
@@ -146,27 +164,44 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
         first = F.when((code == 0) & canon.startswith("0"), "0").when(code < F.length(canon), (F.pmod(F.element_at(d, code + 1), F.lit(8)) + 2).cast("string")).otherwise("")
         phone = F.concat(F.substring(canon, F.lit(1), code), first, F.substring(same(grown), code + 2, F.length(grown)))
         card = _let(F.substring(same(grown), F.lit(1), F.length(grown) - 1), lambda body: F.concat(body, F.pmod(_check_sum(canon) - _check_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")))
+        hexed = F.array_join(F.transform(_chars(grown), lambda c, i: _pick("0123456789abcdef", F.element_at(d, i + 1))), "")
+        hexed = F.when(canon.rlike("[A-F]") & ~canon.rlike("[a-f]"), F.upper(hexed)).otherwise(hexed)
+        start = F.regexp_extract(canon, PREFIX, 0)
+        secret = F.when(canon.rlike("^[0-9a-fA-F]+$"), hexed).otherwise(F.concat(start, F.substring(same(grown), F.length(start) + 1, F.length(grown))))
         return (
-            F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
-            .when(kind == "name", _name(canon, d, extra)).otherwise(same(grown))
+            F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "secret", secret)
+            .when(kind == "first", _first_name(canon, d, extra)).when(kind == "last", _last_name(canon, d, extra)).otherwise(same(grown))
         )
 
     return _let(_draws(kind, canon, attempt, key), drawn)
 
 
-def _name(canon: Column, d: Column, extra: Column) -> Column:
-    """`f first last` or `m last` in lower case, of the same gender, script and number of words."""
-    at = lambda values, n: F.element_at(F.array(*[F.lit(v.lower()) for v in values]), F.pmod(F.element_at(d, n), F.lit(len(values))) + 1)
-    whole = F.lit("")
-    for script in ("cyrillic", "latin"):
-        letters = CYRILLIC if script == "cyrillic" else LATIN
-        vowels = list("аеиоу" if script == "cyrillic" else "aeiou")
-        more = F.array_join(F.transform(F.when(extra > 0, F.sequence(F.lit(1), extra)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(at(vowels, 2 * i + 4), _pick(letters, F.element_at(d, 2 * i + 5)))), "")  # noqa: B023
-        last = F.concat(_pick(letters, F.element_at(d, 2)), at(vowels, 3), _pick(letters, F.element_at(d, 4)), more, at(SURNAME_ENDS[script], 5))
-        first = F.when(canon.startswith("f "), at(NAMES["f", script], 1)).otherwise(at(NAMES["m", script], 1))
-        named = F.when(canon.rlike(r"^. \S+ \S+"), F.concat(F.substring(canon, 1, 2), first, F.lit(" "), last)).otherwise(F.concat(F.substring(canon, 1, 2), last))
-        whole = named if script == "cyrillic" else F.when(canon.rlike(r"\p{IsCyrillic}"), whole).otherwise(named)
-    return whole
+def _at(values: list[str], d: Column, n) -> Column:
+    return F.element_at(F.array(*[F.lit(v.lower()) for v in values]), F.pmod(F.element_at(d, n), F.lit(len(values))) + 1)
+
+
+def _syllables(script: str, d: Column, extra: Column) -> Column:
+    letters, vowels = (CYRILLIC, list("аеиоу")) if script == "cyrillic" else (LATIN, list("aeiou"))
+    each = F.when(extra > 0, F.sequence(F.lit(1), extra)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(each, lambda i: F.concat(_pick(letters, F.element_at(d, 2 * i + 5)), _at(vowels, d, 2 * i + 4))), "")
+
+
+def _of_script(canon: Column, make) -> Column:
+    return F.when(canon.rlike(r"\p{IsCyrillic}"), make("cyrillic")).otherwise(make("latin"))
+
+
+def _first_name(canon: Column, d: Column, extra: Column) -> Column:
+    """`f first` or `m first` in lower case: a listed name of the gender and script, after syllables where that is not enough."""
+    name = lambda script: F.concat(_syllables(script, d, extra), F.when(canon.startswith("f "), _at(NAMES["f", script], d, 1)).otherwise(_at(NAMES["m", script], d, 1)))
+    return F.concat(F.substring(canon, 1, 2), _of_script(canon, name))
+
+
+def _last_name(canon: Column, d: Column, extra: Column) -> Column:
+    def name(script: str) -> Column:
+        letters, vowels = (CYRILLIC, list("аеиоу")) if script == "cyrillic" else (LATIN, list("aeiou"))
+        return F.concat(_pick(letters, F.element_at(d, 2)), _at(vowels, d, 3), _pick(letters, F.element_at(d, 4)), _syllables(script, d, extra), _at(SURNAME_ENDS[script], d, 5))
+
+    return _of_script(canon, name)
 
 
 def rendered(kind: Column, found: Column, made: Column) -> Column:
@@ -211,33 +246,54 @@ def redrawn(distinct: DataFrame, key: str) -> DataFrame:
         held = materialize(step.select("kind", "canon", "attempt", F.when(F.col("bad"), surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)).otherwise(F.col("made")).alias("made")), "pii-made")
 
 
-def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
+def surrogate_key(spark: SparkSession, key: str | None = None) -> str:
+    key = key or spark.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"surrogates need a key: pass one or set {KEY_SETTING}")
+    return key
+
+
+def replace_entities(docs: DataFrame, key: str | None = None) -> DataFrame:
     """docs with the entities of text replaced, and n_entities."""
+    key = surrogate_key(docs.sparkSession, key)
     text = F.col("text")
     columns = [c for c in docs.columns if c != "n_entities"]
-    mentions = docs.select(F.col("doc_id").alias("m_id"), F.explode(entities_of(text)).alias("e")).select("m_id", "e.kind", "e.canon")
+    row = F.xxhash64("doc_id", "text")
+    mentions = docs.select(row.alias("m_row"), F.explode(entities_of(text)).alias("e")).select("m_row", F.explode(parts_of(F.col("e.kind"), F.col("e.canon"))).alias("p")).select("m_row", "p.*")
     mentions = materialize(mentions.distinct(), "pii-mentions")
     again = materialize(redrawn(mentions.select("kind", "canon").distinct(), key), "pii-redrawn")
     held = docs.select(*columns)
     special = F.lit(None).cast("map<string,string>")
     if not again.isEmpty():
-        looked = mentions.join(again, ["kind", "canon"]).groupBy("m_id").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon").alias("k"), F.col("made").alias("v")))).alias("__special"))
-        held = held.join(looked, held["doc_id"].eqNullSafe(looked["m_id"]), "left")
+        looked = mentions.join(again, ["kind", "canon"]).groupBy("m_row").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon").alias("k"), F.col("made").alias("v")))).alias("__special"))
+        held = held.join(looked, row == F.col("m_row"), "left")
         special = F.col("__special")
 
+    def made(kind: Column, canon: Column) -> Column:
+        return F.coalesce(F.try_element_at(special, F.concat_ws("\x1f", kind, canon)), surrogate(kind, canon, F.lit(0), key))
+
+    def person(canon: Column) -> Column:
+        words = F.split(canon, " ")
+        first = F.substring(made(F.lit("first"), F.concat_ws(" ", words[0], words[1])), 3, 1 << 20)
+        return F.concat_ws(" ", words[0], F.when(F.size(words) > 2, first), made(F.lit("last"), F.element_at(words, -1)))
+
     def one(e: Column) -> Column:
-        made = F.coalesce(F.try_element_at(special, F.concat_ws("\x1f", e["kind"], e["canon"])), surrogate(e["kind"], e["canon"], F.lit(0), key))
-        return _let(made, lambda m: rendered(e["kind"], e["found"], m))
+        return _let(F.when(e["kind"] == "name", person(e["canon"])).otherwise(made(e["kind"], e["canon"])), lambda m: rendered(e["kind"], e["found"], m))
 
     parts = held.select("*", entities_of(text).alias("__found"))
     new = F.transform(F.col("__found"), one)
     between = F.split(text, ENTITY, -1)
     whole = F.array_join(F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.try_element_at(F.col("__new"), i + 1), F.lit("")))), "")
     some = F.size(F.coalesce("__found", F.array())) > 0
-    done = parts.select("*", F.when(some, new).alias("__new"))
-    kept = [F.when(some, whole).otherwise(text).alias(c) if c == "text" else F.col(c) for c in columns]
-    return done.select(*kept, F.when(some, F.size("__found")).otherwise(0).cast("long").alias("n_entities"))
+    untitled = lambda name: F.regexp_replace(name, r"^\S+ ", "")
+    full = F.filter(F.transform("__found", lambda e, i: F.struct(untitled(e["found"]).alias("name"), untitled(F.col("__new")[i]).alias("new"), e["kind"].alias("kind"))), lambda x: (x["kind"] == "name") & x["name"].contains(" "))
+    bare = lambda x: F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), x["name"], F.lit(r"\E(?!\p{L})"))
+    again_named = F.aggregate("__names", F.struct(F.col("__whole").alias("text"), F.lit(0).alias("n")), lambda held, x: F.struct(F.regexp_replace(held["text"], bare(x), x["new"]).alias("text"), (held["n"] + F.regexp_count(held["text"], bare(x))).alias("n")))
+    done = parts.select("*", F.when(some, new).alias("__new")).select("*", F.when(some, whole).alias("__whole"), F.when(some, F.array_distinct(full)).alias("__names"))
+    done = done.select("*", F.when(F.size("__names") > 0, again_named).alias("__named"))
+    kept = [F.coalesce("__named.text", "__whole", text).alias(c) if c == "text" else F.col(c) for c in columns]
+    return done.select(*kept, F.when(some, F.size("__found") + F.coalesce("__named.n", F.lit(0))).otherwise(0).cast("long").alias("n_entities"))
 
 
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), QUERY_KEY)
