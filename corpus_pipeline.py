@@ -25,7 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates for personal data."""
-    done = surrogates.replace_entities(docs)
+    done = surrogates.replace_entities(docs, surrogates.QUERY_KEY)
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
