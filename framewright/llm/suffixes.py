@@ -22,7 +22,8 @@ BATCH = 1 << 18
 NONE = np.uint8(255)
 
 
-def _array(folder: str, name: str, n: int, kind, limit: int) -> np.ndarray:
+def mapped(folder: str, name: str, n: int, kind, limit: int) -> np.ndarray:
+    """Zeros, in a mapped file if they take more than limit bytes."""
     if n * np.dtype(kind).itemsize <= limit:
         return np.zeros(n, kind)
     return np.memmap(os.path.join(folder, name), kind, "w+", shape=(n,))
@@ -70,25 +71,45 @@ class SuffixQueues:
 
 
 def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """The least of values[low..high] for many ranges, NONE for empty ones; by a table of powers of two."""
-    table = [values]
-    while 2 * (width := 1 << (len(table) - 1)) <= len(values):
-        table.append(np.minimum(table[-1][:-width], table[-1][width:]))
-    span = np.maximum(high - low + 1, 1)
-    level = np.frexp(span.astype(np.float64))[1] - 1
-    out = np.full(len(low), NONE)
-    for k in np.unique(level):
-        at = np.flatnonzero((level == k) & (high >= low))
-        out[at] = np.minimum(table[k][low[at]], table[k][high[at] - (1 << int(k)) + 1])
-    return out
-
-
-def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The dense ranks of the keys and their order."""
-    order = np.argsort(key)
-    k, rank = key[order], np.zeros(len(key), np.int64)
-    rank[order[1:]] = np.cumsum(k[1:] != k[:-1])
-    return rank, order
+    """The least of values[low..high] for many ranges, none of them empty; by a table of powers of two."""
+    if not len(low):
+        return np.zeros(0, np.uint8)
+    level = np.frexp((high - low + 1).astype(np.float64))[1] - 1
+    table = np.empty((int(level.max()) + 1, len(values)), np.uint8)
+    table[0] = values
+    for k in range(1, len(table)):
+        width = 1 << (k - 1)
+        np.minimum(table[k - 1, : len(values) - width], table[k - 1, width:], out=table[k, : len(values) - width])
+    table, at = table.ravel(), level * len(values)
+    return np.minimum(table[at + low], table[at + high - (1 << level) + 1])
+
+
+class _Ranks:
+    """Ranks of items that keys refine step by step: an item's rank is the number of items before its group of equals."""
+
+    def __init__(self, n: int):
+        self.rank = np.zeros(n, np.int64)
+
+    def tied(self, open_items: np.ndarray) -> np.ndarray:
+        """The items of groups of several that hold an open item."""
+        n = len(self.rank)
+        some = np.zeros(n, bool)
+        some[self.rank[open_items]] = True
+        return np.flatnonzero((some & (np.bincount(self.rank, minlength=n) > 1))[self.rank]) if n else np.zeros(0, np.int64)
+
+    def refine(self, items: np.ndarray, key: np.ndarray) -> None:
+        """Order the items of whole groups by key inside their group."""
+        if not len(items):
+            return
+        rank = self.rank[items]
+        order = np.argsort(key)
+        order = order[np.argsort(rank[order], kind="stable")] if rank.any() else order
+        rank, key = rank[order], key[order]
+        group = np.concatenate([[True], rank[1:] != rank[:-1]])
+        new = group | np.concatenate([[True], key[1:] != key[:-1]])
+        place = np.arange(len(rank))
+        first = np.maximum.accumulate(np.where(group, place, 0))
+        self.rank[items[order]] = rank + np.maximum.accumulate(np.where(new, place, 0)) - first
 
 
 class Shard:
@@ -96,7 +117,7 @@ class Shard:
 
     def __init__(self, text: np.ndarray, folder: str, limit: int):
         self.n, self.folder, self.limit = len(text), folder, limit
-        self.t = _array(folder, "text", self.n + DEPTH + 16, np.uint8, limit)
+        self.t = mapped(folder, "text", self.n + DEPTH + 16, np.uint8, limit)
         self.t[: self.n] = text
         rises = np.zeros(self.n, bool)
         different = np.flatnonzero(self.t[: self.n - 1] != self.t[1 : self.n])
@@ -104,7 +125,7 @@ class Shard:
         rises[: self.n - 1] = np.repeat(up, np.diff(np.concatenate([[-1], different])))[: self.n - 1] if len(different) else False
         rises[-1] = True
         self.rises = rises
-        self.words = _array(folder, "words", self.n + DEPTH + 8, np.uint64, limit)
+        self.words = mapped(folder, "words", self.n + DEPTH + 8, np.uint64, limit)
         for r in range(8):
             m = (len(self.t) - r) // 8
             part = self.t[r : r + 8 * m].view(">u8")
@@ -129,27 +150,25 @@ class Shard:
         ends = np.append(pos[1:], self.n - 1)
         size = np.minimum(ends - pos + 1, DEPTH)
         size[-1:] = DEPTH  # the last sentinel, followed by padding, is the least suffix
-        order, rank = np.arange(len(pos)), np.zeros(len(pos), np.int64)
+        ranks = _Ranks(len(pos))
         for at in range(0, int(size.max(initial=1)), 8):  # names: later words split only what earlier words left equal
-            left = np.clip(size - at, 0, 8).astype(np.uint64)
+            live = ranks.tied(size > at)
+            left = np.clip(size[live] - at, 0, 8).astype(np.uint64)
             pad = np.where(left == 0, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << np.minimum(np.uint64(8) * (np.uint64(8) - left), np.uint64(63))) - np.uint64(1))
-            word = self.words[np.minimum(pos + at, self.n + DEPTH)] | pad
-            longer = np.flatnonzero(left)
-            values, column = np.unique(word[longer], return_inverse=True)
-            key = rank * np.int64(len(values) + 1) + np.int64(len(values))
-            key[longer] += column - np.int64(len(values))
-            rank, order = _ranked(key)
+            ranks.refine(live, self.words[np.minimum(pos[live] + at, self.n + DEPTH)] | pad)
         step = 1
         while step < DEPTH // 2 + 1 and step < len(pos):
-            covered = pos[step:] - pos[:-step]
-            if covered.min() >= DEPTH or rank.max() == len(pos) - 1:
+            reach = np.full(len(pos), DEPTH)
+            reach[:-step] = pos[step:] - pos[:-step]
+            live = ranks.tied(reach < DEPTH)
+            if not len(live):
                 break
-            after = np.zeros(len(pos), np.int64)
-            after[:-step] = rank[step:] + 1
-            key = rank * np.int64(len(pos) + 1) + after
-            rank, order = _ranked(key)
+            after = np.zeros(len(live), np.uint64)
+            inside = live < len(pos) - step
+            after[inside] = (ranks.rank[live[inside] + step] + 1).astype(np.uint64)
+            ranks.refine(live, after)
             step *= 2
-        at = pos[order]
+        at = pos[np.argsort(ranks.rank, kind="stable")]
         lcp = np.zeros(len(at), np.uint8)
         lcp[1:] = self.common(at[:-1], at[1:])
         return at, lcp
@@ -192,7 +211,9 @@ class _Scan:
         self.since = np.minimum(self.since, lcp.min())
         if len(cut):
             ends = np.append(cut[1:], len(picked))
-            self.since[firsts] = _range_least(lcp, picked[ends - 1] + 1, np.full(len(cut), len(lcp) - 1))
+            after = picked[ends - 1] + 1
+            rest = np.append(np.minimum.accumulate(lcp[::-1])[::-1], NONE)
+            self.since[firsts] = rest[after]
             self.started[firsts] = True
             found = before[picked]
             for h, a, b in zip(firsts.tolist(), cut.tolist(), ends.tolist(), strict=True):
