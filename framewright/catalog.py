@@ -112,7 +112,7 @@ SELECT video_id, event_id, t, CASE WHEN st <= t THEN txt END AS text FROM nx WHE
 def caption_asof(spark, d):
     end = F.col("t") + F.floor(F.col("value") * 1000000).cast("long")
     seg = events(spark, d, "click").select("video_id", F.col("t").alias("start"), end.alias("end"), F.col("props").alias("text"))
-    return intervals.as_of(events(spark, d, "purchase"), seg, "video_id", "t", "event_id")
+    return intervals.as_of(events(spark, d, "purchase"), seg, "video_id", "t", "event_id", DAY)
 
 
 @query(f"""WITH {SHOTS} SELECT e.event_id, arg_min(s.id, (s.st, s.en)) AS id FROM ev e JOIN shots s ON s.video_id = e.video_id AND e.t >= s.st AND e.t < s.en WHERE e.event_type = 'error' GROUP BY e.event_id""")
@@ -141,8 +141,8 @@ def shot_zones(spark, d):
 @query(f"""WITH {SHOTS} SELECT e.video_id, e.event_id, EXISTS (SELECT 1 FROM shots s WHERE s.video_id = e.video_id AND e.t BETWEEN s.st AND s.st + {6 * HOUR}) AS in_zone FROM ev e WHERE e.event_type = 'view'""")
 def zone_membership(spark, d):
     views, zones = events(spark, d, "view"), shot_zones(spark, d)
-    inside = intervals.in_zone(views, zones, "video_id", "t").select("video_id", "event_id", F.lit(True).alias("in_zone"))
-    return inside.unionByName(intervals.in_zone(views, zones, "video_id", "t", False).select("video_id", "event_id", F.lit(False).alias("in_zone")))
+    inside = intervals.in_zone(views, zones, "video_id", "t", width=DAY).select("video_id", "event_id", F.lit(True).alias("in_zone"))
+    return inside.unionByName(intervals.in_zone(views, zones, "video_id", "t", False, DAY).select("video_id", "event_id", F.lit(False).alias("in_zone")))
 
 
 @query(f"""WITH RECURSIVE {EV}, seq AS (SELECT video_id, t, row_number() OVER (PARTITION BY video_id ORDER BY t) AS i, count(*) OVER w AS k, max(t) OVER w AS mx FROM ev WHERE event_type = 'click' WINDOW w AS (PARTITION BY video_id ORDER BY t RANGE BETWEEN CURRENT ROW AND {36 * HOUR - 1} FOLLOWING)),
@@ -165,7 +165,7 @@ f AS (SELECT video_id, list_reduce(list([struct_pack(t := t, z := z)] ORDER BY t
 u AS (SELECT video_id, unnest(m) AS k FROM f) SELECT video_id, k.t AS t, k.z AS in_zone FROM u""")
 def zone_min_gap(spark, d):
     cuts, zones = events(spark, d, "click"), shot_zones(spark, d)
-    flagged = intervals.in_zone(cuts, zones, "video_id", "t").withColumn("in_zone", F.lit(True)).unionByName(intervals.in_zone(cuts, zones, "video_id", "t", False).withColumn("in_zone", F.lit(False)))
+    flagged = intervals.in_zone(cuts, zones, "video_id", "t", width=DAY).withColumn("in_zone", F.lit(True)).unionByName(intervals.in_zone(cuts, zones, "video_id", "t", False, DAY).withColumn("in_zone", F.lit(False)))
     return folds.zone_min_gap(flagged, "video_id", "t", "in_zone", 3 * HOUR, 12 * HOUR)
 
 
@@ -301,7 +301,7 @@ def dissolve_candidates(spark, d):
     steady = stats.where((F.col("n_pre") >= 5) & (F.col("n_post") >= 5) & (F.col("dev_pre") < 150) & (F.col("dev_post") < 150) & (F.abs(shift) >= 3))
     moved = near.join(steady.select("video_id", "cand", F.signum(shift).alias("direction")), ["video_id", "cand"])
     share = series.monotone_share(moved, "video_id", "cand", "f_n", "value", F.col("direction")).where(F.col("share") >= 0.3)
-    free = intervals.band(candidates(spark, d), events(spark, d, "signup"), "video_id", "t", 2 * HOUR, False)
+    free = intervals.band(candidates(spark, d), events(spark, d, "signup"), "video_id", "t", 2 * HOUR, False, DAY)
     return free.join(share, ["video_id", "cand"]).select("video_id", "cand", "t", F.round("share", 6).alias("share"))
 
 
@@ -331,7 +331,7 @@ def dominant_type(spark, d):
     return typed_shots(spark, d)
 
 
-@query(f"WITH {ENERGY} SELECT dominant_type, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS pct FROM typed GROUP BY dominant_type")
+@query(f"WITH {ENERGY} SELECT dominant_type, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS pct, row_number() OVER (ORDER BY count(*) DESC, dominant_type) AS place FROM typed GROUP BY dominant_type")
 def type_distribution(spark, d):
     return energy.type_distribution(typed_shots(spark, d))
 
@@ -393,12 +393,19 @@ def bucket_slice(spark, d):
     return energy.bucket_slice(hourly, rel, "video_id", F.lit(1)).select("video_id", "id", "bucket", F.round("level", 6).alias("level"), F.round("bar", 6).alias("bar"))
 
 
-@query(None)
+#: The transform of 64 samples written out: amplitudes of the frequencies 0 .. 32 of each group.
+DFT = f"""{NUMBERED.split(", b AS")[0]}, head AS (SELECT stem, video_id, n, amp FROM smp WHERE n < 64), g AS (SELECT stem, video_id, count(*) AS m FROM head GROUP BY stem, video_id),
+k AS (SELECT unnest(range(0, 33)) AS k), f AS (SELECT h.stem, h.video_id, k.k, sqrt(pow(sum(h.amp * cos(2 * pi() * k.k * h.n / 64)), 2) + pow(sum(h.amp * sin(2 * pi() * k.k * h.n / 64)), 2)) AS size FROM head h CROSS JOIN k GROUP BY h.stem, h.video_id, k.k),
+c AS (SELECT stem, video_id, sum(k * 16 / 64.0 * size) AS top, sum(size) AS whole FROM f GROUP BY stem, video_id)"""
+
+
+@query(f"{DFT} SELECT stem, video_id, CASE WHEN g.m >= 8 AND whole >= 1e-10 THEN round(top / whole, 1) ELSE 0 END AS centroid FROM c JOIN g USING (stem, video_id)")
 def spectral_centroid(spark, d):
     return energy.spectral_centroid(numbered(spark, d), ["stem", "video_id"], "number", 16, first=64, least=8)
 
 
-@query(None)
+@query(f"""WITH {SHOTS}, l AS (SELECT video_id, (arg_max(en, id) - arg_min(st, id)) / {HOUR} AS duration FROM shots GROUP BY video_id), n AS (SELECT *, greatest(1, CAST(floor(duration * 1000 / 24000) AS INTEGER)) AS n FROM l)
+SELECT video_id, duration, stem, CAST(unnest(range(0, n)) AS INTEGER) AS bucket, 0 AS pct FROM n CROSS JOIN (VALUES ('vocals'), ('drums')) s(stem)""")
 def silent_waveform(spark, d):
     lengths = shots(spark, d).groupBy("video_id").agg((F.max_by("end", "id") - F.min_by("start", "id")).alias("us")).select("video_id", (F.col("us") / HOUR).alias("duration"))
     return energy.silent_waveform(lengths, ("vocals", "drums"), 24_000)
@@ -508,7 +515,7 @@ SELECT p.video_id, p.event_id, round(CASE WHEN p.t >= b.e THEN b.total ELSE coal
 def time_to_y(spark, d):
     base = events(spark, d).groupBy("video_id").agg(F.min("t").alias("t0"))
     p = events(spark, d, "view").join(base, "video_id").select("video_id", "event_id", ((F.col("t") - F.col("t0")) / HOUR).alias("t"))
-    return intervals.position_of_time(p, located(spark, d), "video_id", "t", "event_id").select("video_id", "event_id", F.round("y", 3).alias("y"))
+    return intervals.position_of_time(p, located(spark, d), "video_id", "t", "event_id", 24.0).select("video_id", "event_id", F.round("y", 3).alias("y"))
 
 
 @query(f"""{LAID}, p AS (SELECT event_id, video_id, value * 10 - 100 AS y FROM ev WHERE event_type = 'view'), bound AS (SELECT video_id, max(en) AS e FROM lay GROUP BY video_id),
@@ -516,7 +523,7 @@ hit AS (SELECT p.event_id, arg_min(l.st + (p.y - l.y_start) * (l.en - l.st) / l.
 SELECT p.video_id, p.event_id, round(CASE WHEN p.y < 0 THEN 0 ELSE coalesce(h.t, b.e) END, 3) AS t FROM p JOIN bound b USING (video_id) LEFT JOIN hit h USING (event_id)""")
 def y_to_time(spark, d):
     p = events(spark, d, "view").select("video_id", "event_id", (F.col("value") * 10 - 100).alias("y"))
-    return intervals.time_of_position(p, located(spark, d), "video_id", "y", "event_id").select("video_id", "event_id", F.round("t", 3).alias("t"))
+    return intervals.time_of_position(p, located(spark, d), "video_id", "y", "event_id", 1000.0).select("video_id", "event_id", F.round("t", 3).alias("t"))
 
 
 @query(f"{HOURLY} SELECT video_id, unnest(range(0, CAST(floor(max(en)) AS BIGINT) + 1, 10)) AS tick FROM rel GROUP BY video_id")
@@ -585,11 +592,39 @@ def dialogue_fallback(spark, d):
     return table(spark, d, "documents").select("doc_id", F.element_at(first_filled(said, F.array(F.lit("none"))), 1).alias("dialogue"), excerpt(F.col("text")).alias("excerpt"))
 
 
-@query(f"""{NUMBERED}, p AS (SELECT *, CAST(round_even(100 * energy / max(energy) OVER (PARTITION BY video_id, stem), 0) AS INTEGER) AS pct FROM b)
-SELECT video_id, stem, bucket, round(greatest(0.5, CASE WHEN bucket % 3 = 0 THEN 1 ELSE bucket % 3 * 0.2 END), 6) AS bar_h, round(pct / 100 * 300 * 0.45, 6) AS bar_w FROM p""")
+@query(f"""{LAID}, st AS (SELECT video_id, event_type AS stem, value AS amp, row_number() OVER (PARTITION BY video_id, event_type ORDER BY t, event_id) - 1 AS n FROM ev),
+bk AS (SELECT video_id, stem, CAST(n // 4 AS BIGINT) AS bucket, sqrt(avg(amp * amp) + 1e-10) AS energy FROM st GROUP BY video_id, stem, n // 4 HAVING count(*) = 4),
+p AS (SELECT *, CAST(round_even(100 * energy / max(energy) OVER (PARTITION BY video_id, stem), 0) AS INTEGER) AS pct FROM bk), bound AS (SELECT video_id, max(en) AS e, max(total) AS total FROM lay GROUP BY video_id),
+q AS (SELECT DISTINCT video_id, unnest([bucket, bucket + 1]) AS g FROM p), hit AS (SELECT q.video_id, q.g, arg_min(l.y_start + (q.g * 6.0 - l.st) * l.h / nullif(l.en - l.st, 0), (l.st, l.en)) AS y FROM q JOIN lay l ON l.video_id = q.video_id AND q.g * 6.0 >= l.st AND q.g * 6.0 <= l.en GROUP BY q.video_id, q.g),
+pos AS (SELECT q.video_id, q.g, CASE WHEN q.g * 6.0 >= b.e THEN b.total ELSE coalesce(h.y, 0) END AS y FROM q JOIN bound b USING (video_id) LEFT JOIN hit h USING (video_id, g))
+SELECT p.video_id, p.stem, p.bucket, round(greatest(0.5, CASE WHEN y.y - x.y = 0 THEN 1 ELSE y.y - x.y END), 3) AS bar_h, round(pct / 100 * 300 * 0.45, 6) AS bar_w
+FROM p JOIN pos x ON x.video_id = p.video_id AND x.g = p.bucket JOIN pos y ON y.video_id = p.video_id AND y.g = p.bucket + 1""")
 def bar_geometry(spark, d):
-    p = energy.bucket_percent(buckets(spark, d), ["video_id", "stem"]).withColumn("y", F.lit(0.0)).withColumn("y2", F.col("bucket") % 3 * 0.2)
-    return layout.bars(p, F.lit(1), "y", "y2", 300).select("video_id", "stem", "bucket", F.round("bar_h", 6).alias("bar_h"), F.round("bar_w", 6).alias("bar_w"))
+    """Buckets of six hours; a bar stands between the positions of its bucket and of the next one."""
+    p = energy.bucket_percent(buckets(spark, d), ["video_id", "stem"])
+    at = p.select("video_id", F.explode(F.array("bucket", F.col("bucket") + 1)).alias("g")).distinct().withColumn("t", F.col("g") * 6.0)
+    y = intervals.position_of_time(at, located(spark, d), "video_id", "t", "g", 24.0)
+    low, high = y.select("video_id", F.col("g").alias("bucket"), "y"), y.select("video_id", (F.col("g") - 1).alias("bucket"), F.col("y").alias("y2"))
+    placed = p.join(low, ["video_id", "bucket"]).join(high, ["video_id", "bucket"])
+    return layout.bars(placed, F.lit(1), "y", "y2", 300).select("video_id", "stem", "bucket", F.round("bar_h", 3).alias("bar_h"), F.round("bar_w", 6).alias("bar_w"))
+
+
+@query(f"""WITH {EV}, sg AS (SELECT DISTINCT video_id, t FROM ev WHERE event_type = 'signup'), sc AS (SELECT video_id, t AS st, lead(t) OVER (PARTITION BY video_id ORDER BY t) AS en FROM sg),
+cl AS (SELECT DISTINCT video_id, t FROM ev WHERE event_type = 'click'), lg AS (SELECT * FROM sc WHERE en - st > {3 * DAY}),
+ib AS (SELECT l.video_id, l.st AS ofs, c.t FROM lg l JOIN cl c ON c.video_id = l.video_id AND c.t > l.st AND c.t < l.en UNION SELECT video_id, st, st FROM lg UNION SELECT video_id, st, en FROM lg),
+pa AS (SELECT video_id, ofs, t AS st, lead(t) OVER (PARTITION BY video_id, ofs ORDER BY t) AS en, count(*) OVER (PARTITION BY video_id, ofs) AS n FROM ib)
+SELECT video_id, st AS start, en AS "end" FROM sc WHERE en IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pa WHERE pa.video_id = sc.video_id AND pa.ofs = sc.st AND pa.n > 2)
+UNION ALL SELECT video_id, st, en FROM pa WHERE n > 2 AND en IS NOT NULL""")
+def long_scene_parts(spark, d):
+    """Scenes between signups; those of over three days give way to their parts between clicks, where a click lies inside."""
+    scenes = intervals.boundaries_to_intervals(events(spark, d, "signup").select("video_id", "t").distinct(), "video_id", "t").select("video_id", "start", "end")
+    long = scenes.where(F.col("end") - F.col("start") > 3 * DAY)
+    inner = intervals.point_in_interval(events(spark, d, "click").select("video_id", "t").distinct(), long, "video_id", "t", DAY).where(F.col("t") > F.col("start"))
+    ends = long.select("video_id", F.col("start").alias("of_start"), F.explode(F.array("start", "end")).alias("t"))
+    bounds = inner.select("video_id", F.col("start").alias("of_start"), "t").unionByName(ends)
+    order = W.partitionBy("video_id", "of_start").orderBy("t")
+    parts = bounds.select("video_id", "of_start", F.col("t").alias("start"), F.lead("t").over(order).alias("end")).where(F.col("end").isNotNull())
+    return intervals.replace_long(scenes, parts, "video_id", 3 * DAY)
 
 
 @query("""WITH p AS (SELECT d.doc_id, d.lang, d.text, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))

@@ -41,9 +41,10 @@ def dominant_type(vocals: Column, drums: Column, bass: Column, other: Column, sp
 
 
 def type_distribution(typed: DataFrame, name: str = "dominant_type") -> DataFrame:
-    """Counts by type and their percentage of all, to one digit."""
+    """Counts by type, their percentage of all, to one digit, and their rank: the most frequent first, ties by name. A table of a row a type."""
     counts = typed.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy(F.lit(1))), 1))
+    place = F.row_number().over(W.orderBy(F.col("n").desc(), F.col(name))).cast("long")
+    return counts.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy(F.lit(1))), 1)).withColumn("place", place).orderBy("place")
 
 
 def bucket_rms(samples: DataFrame, keys: list[str], number: str, size: int, amplitude: str = "amplitude") -> DataFrame:
@@ -79,16 +80,19 @@ def bucket_slice(buckets: DataFrame, shots: DataFrame, key: str, per_second: Col
 
 
 def spectral_centroid(samples: DataFrame, keys: list[str], number: str, rate: int, first: int = 8192, least: int = 256) -> DataFrame:
-    """Centroid of the spectrum of each group's first samples, padded to `first`; 0 for short or silent groups."""
-
-    def centroid(rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows.sort_values("number")["amplitude"].to_numpy(np.float64)[:first]
-        out = 0.0
-        if len(x) >= least:
-            size = np.abs(np.fft.rfft(x, n=first))
-            out = float((np.fft.rfftfreq(first, 1 / rate) * size).sum() / size.sum()) if size.sum() >= FLOOR else 0.0
-        return pd.DataFrame([[*rows[keys].iloc[0], round(out, 1)]], columns=[*keys, "centroid"])
-
-    head = samples.select(*keys, F.col(number).alias("number"), F.col("amplitude").cast("double").alias("amplitude")).where(F.col("number") < first)
-    schema = ", ".join(f"`{k}` {samples.schema[k].dataType.simpleString()}" for k in keys)
-    return head.groupBy(*keys).applyInPandas(centroid, f"{schema}, centroid double")
+    """Centroid of the spectrum of each group's first samples, padded to `first`; 0 for short or silent groups.
+
+    The heads are cut and collected to arrays before Python sees them, a batch of groups at a time.
+    """
+
+    @F.pandas_udf("double")
+    def centroid(heads: pd.Series) -> pd.Series:
+        places, out = np.fft.rfftfreq(first, 1 / rate), np.zeros(len(heads))
+        for k, x in enumerate(heads):
+            size = np.abs(np.fft.rfft(np.asarray(x, np.float64), n=first)) if len(x) >= least else np.zeros(1)
+            out[k] = round(float((places * size).sum() / size.sum()), 1) if size.sum() >= FLOOR else 0.0
+        return pd.Series(out)
+
+    head = samples.select(*keys, F.struct(F.col(number).alias("number"), F.col("amplitude").cast("double").alias("x")).alias("s")).where(F.col("s.number") < first)
+    heads = head.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["x"]).alias("head"))
+    return heads.select(*keys, centroid("head").alias("centroid"))

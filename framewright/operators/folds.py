@@ -1,6 +1,8 @@
 """Order-dependent folds over a video's cuts, as aggregates of sorted arrays inside the JVM.
 
-A video's cuts are one array: thousands of cuts, not frames or samples. Work of different videos spreads over tasks.
+Gap rules and fragment merges start anew where neighbouring cuts are far enough apart; a window finds these places, and each
+piece between them is folded for itself, so that neither an array nor a task grows with the video. The scan for bursts,
+which skips by numbers of cuts, folds a video's cuts as one array: thousands of cuts, not frames or samples.
 """
 
 from __future__ import annotations
@@ -9,8 +11,15 @@ from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 
-def _cuts(cuts: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    return cuts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__cuts"))
+def _cuts(cuts: DataFrame, key: str, fields: list[str], *piece: str) -> DataFrame:
+    return cuts.groupBy(key, *piece).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__cuts"))
+
+
+def _pieces(cuts: DataFrame, key: str, t: str, apart) -> DataFrame:
+    """Adds __piece: cuts of a video are in one piece until one is `apart` from the one before."""
+    order = W.partitionBy(key).orderBy(t)
+    starts = F.coalesce(apart(F.col(t) - F.lag(t).over(order)), F.lit(True)).cast("long")
+    return cuts.withColumn("__start", starts).withColumn("__piece", F.sum("__start").over(order.rangeBetween(W.unboundedPreceding, 0))).drop("__start")
 
 
 def gap_dedupe(cuts: DataFrame, key: str, t: str, preferred: str, gap) -> DataFrame:
@@ -22,8 +31,8 @@ def gap_dedupe(cuts: DataFrame, key: str, t: str, preferred: str, gap) -> DataFr
         far = (F.size(kept) == 0) | (x["t"] - last["t"] > gap)
         return F.when(far, F.concat(kept, F.array(x))).when(x["p"] & ~last["p"], F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(x))).otherwise(kept)
 
-    named = cuts.select(key, F.col(t).alias("t"), F.col(preferred).alias("p"))
-    folded = _cuts(named, key, ["t", "p"]).select(key, F.aggregate("__cuts", F.array().cast(f"array<{kind}>"), step).alias("k"))
+    named = _pieces(cuts.select(key, F.col(t).alias("t"), F.col(preferred).alias("p")), key, "t", lambda step: step > gap)
+    folded = _cuts(named, key, ["t", "p"], "__piece").select(key, F.aggregate("__cuts", F.array().cast(f"array<{kind}>"), step).alias("k"))
     return folded.select(key, F.explode("k").alias("k")).select(key, F.col("k.t").alias(t), F.col("k.p").alias(preferred))
 
 
@@ -35,8 +44,8 @@ def zone_min_gap(cuts: DataFrame, key: str, t: str, in_zone: str, gap_inside, ga
         least = F.when(x["z"], F.lit(gap_inside)).otherwise(F.lit(gap_outside))
         return F.when((F.size(kept) == 0) | (x["t"] - F.try_element_at(kept, F.lit(-1))["t"] >= least), F.concat(kept, F.array(x))).otherwise(kept)
 
-    named = cuts.select(key, F.col(t).alias("t"), F.col(in_zone).alias("z"))
-    folded = _cuts(named, key, ["t", "z"]).select(key, F.aggregate("__cuts", F.array().cast(f"array<{kind}>"), step).alias("k"))
+    named = _pieces(cuts.select(key, F.col(t).alias("t"), F.col(in_zone).alias("z")), key, "t", lambda step: step >= max(gap_inside, gap_outside))
+    folded = _cuts(named, key, ["t", "z"], "__piece").select(key, F.aggregate("__cuts", F.array().cast(f"array<{kind}>"), step).alias("k"))
     return folded.select(key, F.explode("k").alias("k")).select(key, F.col("k.t").alias(t), F.col("k.z").alias(in_zone))
 
 
@@ -62,9 +71,15 @@ def burst_zones(cuts: DataFrame, key: str, t: str, seq: str, span: int, least: i
 def merge_fragments(bounds: DataFrame, key: str, t: str, least) -> DataFrame:
     """Merge scenes shorter than `least` until none is left: always the first such scene, into its shorter neighbour (a tie: the one before).
 
-    On the boundaries of the scenes each step takes away one inner boundary; returns the scenes left.
+    On the boundaries of the scenes each step takes away one inner boundary; returns the scenes left. A boundary between two scenes that are long
+    enough is never taken away, so that the boundaries between two such ones are folded for themselves.
     """
-    held = bounds.groupBy(key).agg(F.array_sort(F.collect_set(t)).alias("bs"))
+    order = W.partitionBy(key).orderBy(t)
+    once = bounds.select(key, t).distinct()
+    firm = F.coalesce((F.col(t) - F.lag(t).over(order) >= least) & (F.lead(t).over(order) - F.col(t) >= least), F.lit(False)).cast("long")
+    pieces = once.withColumn("__firm", firm).withColumn("__piece", F.sum("__firm").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    both = F.when(F.col("__firm") == 1, F.array(F.col("__piece") - 1, F.col("__piece"))).otherwise(F.array("__piece"))  # it ends one piece and starts the next
+    held = pieces.select(key, t, F.explode(both).alias("__piece")).groupBy(key, "__piece").agg(F.array_sort(F.collect_list(t)).alias("bs"))
 
     def step(a, _):
         n = F.size(a)
@@ -74,5 +89,6 @@ def merge_fragments(bounds: DataFrame, key: str, t: str, least) -> DataFrame:
         return F.when(n <= 2, a).otherwise(F.coalesce(F.try_element_at(left, F.lit(1)), a))
 
     done = held.select(key, F.aggregate(F.sequence(F.lit(1), F.size("bs")), F.col("bs"), step).alias("bs"))
-    pairs = F.when(F.size("bs") > 1, F.transform(F.sequence(F.lit(1), F.size("bs") - 1), lambda i: F.struct(i.cast("long").alias("id"), F.element_at("bs", i).alias("start"), F.element_at("bs", i + 1).alias("end"))))
-    return done.select(key, F.explode(pairs).alias("p")).select(key, "p.id", "p.start", "p.end")
+    pairs = F.when(F.size("bs") > 1, F.transform(F.sequence(F.lit(1), F.size("bs") - 1), lambda i: F.struct(F.element_at("bs", i).alias("start"), F.element_at("bs", i + 1).alias("end"))))
+    scenes = done.select(key, F.explode(pairs).alias("p")).select(key, "p.start", "p.end")
+    return scenes.select(key, F.row_number().over(W.partitionBy(key).orderBy("start")).cast("long").alias("id"), "start", "end")

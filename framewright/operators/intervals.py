@@ -58,39 +58,80 @@ def band(a: DataFrame, b: DataFrame, key: str, t: str, tolerance: float, inside:
     return a.join(near, on, "left_semi" if inside else "left_anti").drop("__bucket")
 
 
-def in_zone(points: DataFrame, zones: DataFrame, key: str, t: str, inside: bool = True) -> DataFrame:
+def _cells(low: Column, high: Column, width: float) -> Column:
+    """The cells of an axis, `width` long, that the closed interval [low, high] touches; none for an empty one."""
+    first, last = F.floor(low / width), F.floor(high / width)
+    return F.when(last >= first, F.sequence(first, last))
+
+
+def spread_cells(points: DataFrame, t: Column, intervals: DataFrame, low: Column, high: Column, width: float | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Points and closed intervals with the cell that they share as a further key of their join; without a width a single cell."""
+    if width is None:
+        return points.withColumn("__cell", F.lit(0)), intervals.withColumn("__cell", F.lit(0)), ["__cell"]
+    return points.withColumn("__cell", F.floor(t / width)), intervals.withColumn("__cell", F.explode(_cells(low, high, width))), ["__cell"]
+
+
+def in_zone(points: DataFrame, zones: DataFrame, key: str, t: str, inside: bool = True, width: float | None = None) -> DataFrame:
     """Rows whose t lies in some closed zone [zs, ze] of the key, or in none."""
-    z = zones.select(F.col(key).alias("__k"), "zs", "ze")
-    return points.join(z, (F.col(key) == F.col("__k")) & (F.col(t) >= F.col("zs")) & (F.col(t) <= F.col("ze")), "left_semi" if inside else "left_anti")
+    p, z, _ = spread_cells(points, F.col(t), zones.select(F.col(key).alias("__k"), "zs", "ze"), F.col("zs"), F.col("ze"), width)
+    z = z.withColumnRenamed("__cell", "__c")
+    meets = (F.col(key) == F.col("__k")) & (F.col("__cell") == F.col("__c")) & (F.col(t) >= F.col("zs")) & (F.col(t) <= F.col("ze"))
+    return p.join(z, meets, "left_semi" if inside else "left_anti").drop("__cell")
 
 
-def as_of(probes: DataFrame, segments: DataFrame, key: str, t: str, probe_id: str) -> DataFrame:
+def as_of(probes: DataFrame, segments: DataFrame, key: str, t: str, probe_id: str, width: int | None = None) -> DataFrame:
     """probes with the first segment (key, start, end, text) that ends after t, where it has started by then; else null text.
 
-    A sorted merge: probes and segment ends share one window per video, in which each probe
-    looks at the next segment. Probes at a segment's very end no longer see it.
+    A sorted merge: probes and segment ends share one window per video, in which each probe looks at the last segment
+    of a descending order. Probes at a segment's very end no longer see it. With a width the windows
+    hold one cell of time; a probe with no segment left in its cell takes the first one of the later cells.
     """
     left = probes.select(F.col(key), F.col(probe_id), F.col(t).alias("__at"), F.lit(None).cast("struct<start:bigint,end:bigint,text:string>").alias("__s"), F.lit(1).alias("__side"))
     right = segments.select(F.col(key), F.lit(None).cast(probes.schema[probe_id].dataType).alias(probe_id), F.col("end").alias("__at"), F.struct("start", "end", "text").alias("__s"), F.lit(0).alias("__side"))
-    ahead = W.partitionBy(key).orderBy("__at", "__side", "__s.start", "__s.text").rowsBetween(1, W.unboundedFollowing)
-    seen = left.unionByName(right).withColumn("__next", F.first("__s", ignorenulls=True).over(ahead)).where(F.col("__side") == 1)
+    both = left.unionByName(right).withColumn("__cell", F.lit(0).cast("long") if width is None else F.floor(F.col("__at") / width))
+    before = W.partitionBy(key, "__cell").orderBy(*[F.col(c).desc() for c in ("__at", "__side", "__s.start", "__s.text")]).rowsBetween(W.unboundedPreceding, -1)
+    seen = both.withColumn("__next", F.last("__s", ignorenulls=True).over(before)).where(F.col("__side") == 1)
+    if width is not None:
+        first = both.groupBy(key, "__cell").agg(F.min(F.when(F.col("__side") == 0, F.struct("__at", "__s.start", "__s.text", "__s")))["__s"].alias("__first"))
+        later = W.partitionBy(key).orderBy(F.col("__cell").desc()).rowsBetween(W.unboundedPreceding, -1)
+        carried = first.select(F.col(key).alias("__k"), F.col("__cell").alias("__c"), F.last("__first", ignorenulls=True).over(later).alias("__later"))
+        seen = seen.join(carried, (F.col(key) == F.col("__k")) & (F.col("__cell") == F.col("__c"))).withColumn("__next", F.coalesce("__next", "__later"))
     hit = F.col("__next.start") <= F.col("__at")
     return seen.select(key, probe_id, F.col("__at").alias(t), F.when(hit, F.col("__next.text")).alias("text"))
 
 
-def position_of_time(times: DataFrame, layout: DataFrame, key: str, t: str, probe_id: str) -> DataFrame:
+def position_of_time(times: DataFrame, layout: DataFrame, key: str, t: str, probe_id: str, width: float | None = None) -> DataFrame:
     """Linear position of t in layout (key, start, end, y_start, y_end, total, last_end), first closed interval first; beyond the end the total, in gaps 0."""
     bounds = layout.groupBy(key).agg(F.max("last_end").alias("__end"), F.max("total").alias("__total"))
-    inside = times.join(layout.drop("total", "last_end"), key).where((F.col(t) >= F.col("start")) & (F.col(t) <= F.col("end")))
+    p, i, cell = spread_cells(times, F.col(t), layout.drop("total", "last_end"), F.col("start"), F.col("end"), width)
+    inside = p.join(i, [key, *cell]).where((F.col(t) >= F.col("start")) & (F.col(t) <= F.col("end")))
     y = F.col("y_start") + F.try_divide((F.col(t) - F.col("start")) * (F.col("y_end") - F.col("y_start")), F.col("end") - F.col("start"))
     best = inside.groupBy(key, probe_id).agg(F.min_by(y, F.struct("start", "end")).alias("__y"))
     return times.join(bounds, key).join(best, [key, probe_id], "left").select(key, probe_id, t, F.when(F.col(t) >= F.col("__end"), F.col("__total")).otherwise(F.coalesce("__y", F.lit(0.0))).alias("y"))
 
 
-def time_of_position(places: DataFrame, layout: DataFrame, key: str, y: str, probe_id: str) -> DataFrame:
-    """The inverse: below 0 the time 0, past the layout its end."""
+def time_of_position(places: DataFrame, layout: DataFrame, key: str, y: str, probe_id: str, width: float | None = None) -> DataFrame:
+    """The inverse: below 0 the time 0, past the layout its end. width is a length of the layout."""
     bounds = layout.groupBy(key).agg(F.max("last_end").alias("__end"))
-    inside = places.join(layout.drop("total", "last_end"), key).where((F.col(y) >= F.col("y_start")) & (F.col(y) <= F.col("y_end")))
+    p, i, cell = spread_cells(places, F.col(y), layout.drop("total", "last_end"), F.col("y_start"), F.col("y_end"), width)
+    inside = p.join(i, [key, *cell]).where((F.col(y) >= F.col("y_start")) & (F.col(y) <= F.col("y_end")))
     t = F.col("start") + F.try_divide((F.col(y) - F.col("y_start")) * (F.col("end") - F.col("start")), F.col("y_end") - F.col("y_start"))
     best = inside.groupBy(key, probe_id).agg(F.min_by(t, F.struct("y_start", "y_end")).alias("__t"))
     return places.join(bounds, key).join(best, [key, probe_id], "left").select(key, probe_id, y, F.when(F.col(y) < 0, F.lit(0.0)).otherwise(F.coalesce("__t", F.col("__end").cast("double"))).alias("t"))
+
+
+def near_points(a: DataFrame, b: DataFrame, key: str, t: str, other: str, reach: int) -> DataFrame:
+    """Rows of a with each row of b of their key at most `reach` away; cells of the axis spread a long video's rows."""
+    width = max(1, 8 * reach)
+    p, i, cell = spread_cells(b, F.col(other), a, F.col(t) - reach, F.col(t) + reach, width)
+    return i.join(p, [key, *cell]).where(F.abs(F.col(other) - F.col(t)) <= reach).drop(*cell)
+
+
+def replace_long(scenes: DataFrame, parts: DataFrame, key: str, longest) -> DataFrame:
+    """Scenes (key, start, end) with those longer than `longest` replaced by their parts (key, of_start, start, end), where there is more than one."""
+    several = parts.groupBy(key, "of_start").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select(F.col(key).alias("__k"), F.col("of_start").alias("__of"))
+    long = F.col("end") - F.col("start") > longest
+    cut = scenes.where(long).join(several, (F.col(key) == F.col("__k")) & (F.col("start") == F.col("__of"))).select("__k", "__of")
+    gone = (F.col(key) == F.col("__k")) & (F.col("start") == F.col("__of"))
+    inside = parts.join(cut, (F.col(key) == F.col("__k")) & (F.col("of_start") == F.col("__of")), "left_semi").select(key, "start", "end")
+    return scenes.select(key, "start", "end").join(cut, gone, "left_anti").unionByName(inside)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from framewright.functions.arrays import cosine, pearson
+from framewright.operators.intervals import spread_cells, near_points
 
 
 def lag_similarity(frames: DataFrame, keys: list[str], frame: str, hist: str, lag: int, kind: str, flat: float | None = None) -> DataFrame:
@@ -55,10 +56,10 @@ def run_bounds(series: DataFrame, keys: list[str], n: str, value: str, below: fl
 
 def neighbourhood(candidates: DataFrame, frames: DataFrame, key: str, n: str, reach: int) -> DataFrame:
     """Each candidate (key, cand, vs, ve) with the frames within reach of its valley, tagged pre, in or post."""
-    f = frames.withColumnRenamed(n, "f_n")
+    f, c, cell = spread_cells(frames.withColumnRenamed(n, "f_n"), F.col("f_n"), candidates, F.col("vs") - reach, F.col("ve") + reach - 1, 8 * reach)
     where = (F.col("f_n") >= F.col("vs") - reach) & (F.col("f_n") < F.col("ve") + reach)
     part = F.when(F.col("f_n") < F.col("vs"), "pre").when(F.col("f_n") < F.col("ve"), "in").otherwise("post")
-    return candidates.join(f, key).where(where).withColumn("part", part)
+    return c.join(f, [key, *cell]).where(where).withColumn("part", part).drop(*cell)
 
 
 def transition_stats(near: DataFrame, key: str, cand: str, channels: list[str]) -> DataFrame:
@@ -81,7 +82,7 @@ def monotone_share(near: DataFrame, key: str, cand: str, n: str, channel: str, d
 
 def refine_argmin(candidates: DataFrame, series: DataFrame, key: str, cand: str, at: str, n: str, value: str, reach: int, below: float = 1.0) -> DataFrame:
     """The place of the first least value within reach of a candidate's place, where it is below the bound; else its own place."""
-    s = series.select(key, F.col(n).alias("__n"), F.col(value).alias("__v"))
-    near = candidates.join(s, key).where((F.abs(F.col("__n") - F.col(at)) <= reach) & (F.col("__v") < below))
+    s = series.select(key, F.col(n).alias("__n"), F.col(value).alias("__v")).where(F.col("__v") < below)
+    near = near_points(candidates, s, key, at, "__n", reach)
     best = near.groupBy(key, cand).agg(F.min(F.struct("__v", "__n")).alias("__best"))
     return candidates.join(best, [key, cand], "left").select(key, cand, at, F.coalesce("__best.__n", at).alias("refined"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from framewright.operators import folds, intervals, series
 
 SECOND = 1_000_000
+MINUTE = 60 * SECOND
 
 
 @dataclass(frozen=True)
@@ -42,10 +43,10 @@ def histogram_cuts(coarse: DataFrame, fine: DataFrame, psd: DataFrame, s: Settin
     least similarity of the fine series (video_id, n, t, sim) around them."""
     sim = series.lag_similarity(coarse, ["video_id"], "frame_no", "hist", 1, "cosine").where(F.col("sim") < s.coarse)
     raw = sim.join(coarse.select("video_id", "frame_no", "t"), ["video_id", "frame_no"]).select("video_id", F.col("frame_no").alias("seq"), "t")
-    close = intervals.band(raw, psd, "video_id", "t", s.near, True)
-    loose = intervals.band(raw, psd, "video_id", "t", s.near, False)
+    close = intervals.band(raw, psd, "video_id", "t", s.near, True, MINUTE)
+    loose = intervals.band(raw, psd, "video_id", "t", s.near, False, MINUTE)
     f = fine.select("video_id", F.col("t").alias("ft"), "sim").where(F.col("sim") < 1.0)
-    around = loose.join(f, "video_id").where(F.abs(F.col("ft") - F.col("t")) <= s.near)
+    around = intervals.near_points(loose, f, "video_id", "t", "ft", s.near)
     best = around.groupBy("video_id", "seq").agg(F.min(F.struct("sim", "ft"))["ft"].alias("best"))
     moved = loose.join(best, ["video_id", "seq"], "left").select("video_id", "seq", F.coalesce("best", "t").alias("t"))
     return close.unionByName(moved)
@@ -57,8 +58,8 @@ def merge_cuts(psd: DataFrame, hist: DataFrame, s: Settings = Settings()) -> tup
     both = psd.select("video_id", "t", F.lit(True).alias("is_psd")).unionByName(hist.select("video_id", "t", F.lit(False).alias("is_psd")))
     one = both.groupBy("video_id", "t").agg(F.max("is_psd").alias("is_psd"))
     kept = folds.gap_dedupe(one, "video_id", "t", "is_psd", s.gap)
-    inside = intervals.in_zone(kept, zones, "video_id", "t").withColumn("in_zone", F.lit(True))
-    outside = intervals.in_zone(kept, zones, "video_id", "t", False).withColumn("in_zone", F.lit(False))
+    inside = intervals.in_zone(kept, zones, "video_id", "t", width=MINUTE).withColumn("in_zone", F.lit(True))
+    outside = intervals.in_zone(kept, zones, "video_id", "t", False, MINUTE).withColumn("in_zone", F.lit(False))
     return folds.zone_min_gap(inside.unionByName(outside), "video_id", "t", "in_zone", s.gap_inside, s.gap_outside).select("video_id", "t"), zones
 
 
@@ -66,8 +67,8 @@ def long_shot_cuts(cuts: DataFrame, zones: DataFrame, durations: DataFrame, fine
     """Changes of the fine series inside long shots that do not start in a burst."""
     bounds = intervals.with_sentinels(cuts, durations, "video_id", "t", F.lit(0).cast("long"))
     spans = intervals.boundaries_to_intervals(bounds, "video_id", "t").where(F.col("end") - F.col("start") >= s.long_shot)
-    calm = intervals.in_zone(spans, zones, "video_id", "start", False).select("video_id", "start", "end")
-    return intervals.point_in_interval(fine.where(F.col("sim") < s.fine), calm, "video_id", "t").where(F.col("t") > F.col("start")).select("video_id", "t")
+    calm = intervals.in_zone(spans, zones, "video_id", "start", False, MINUTE).select("video_id", "start", "end")
+    return intervals.point_in_interval(fine.where(F.col("sim") < s.fine), calm, "video_id", "t", MINUTE).where(F.col("t") > F.col("start")).select("video_id", "t")
 
 
 def dissolve_cuts(slow: DataFrame, frames: DataFrame, cuts: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -77,7 +78,7 @@ def dissolve_cuts(slow: DataFrame, frames: DataFrame, cuts: DataFrame, s: Settin
     v = series.run_bounds(series.low_runs(v, ["video_id"], ["n"], "sim", s.low), ["video_id"], "n", "sim", s.low)
     found = v.where("is_valley AND has_shoulders").where(F.col("run_length") / s.fps < 1.0)
     rounded = cuts.select("video_id", (F.round(F.col("t") / (SECOND // 10)) * (SECOND // 10)).cast("long").alias("t"))
-    free = intervals.band(found.select("video_id", F.col("n").alias("cand"), "t", "vs", "ve"), rounded, "video_id", "t", s.apart, False)
+    free = intervals.band(found.select("video_id", F.col("n").alias("cand"), "t", "vs", "ve"), rounded, "video_id", "t", s.apart, False, MINUTE)
     near = series.neighbourhood(free, frames.select("video_id", "n", "b", "g", "r"), "video_id", "n", s.lag)
     stats = series.transition_stats(near, "video_id", "cand", ["b", "g", "r"])
     steady = stats.where("n_pre >= 5 AND n_post >= 5 AND n_in >= 3 AND dev_pre < 8 AND dev_post < 8")
@@ -102,3 +103,11 @@ def detect_shots(psd: DataFrame, coarse: DataFrame, fine: DataFrame, slow: DataF
     bounds = intervals.with_sentinels(final, durations, "video_id", "t", F.lit(0).cast("long"))
     shots = intervals.number_intervals(intervals.boundaries_to_intervals(bounds, "video_id", "t").select("video_id", "start", "end"), "video_id", F.lit(s.least_shot))
     return shots.withColumn("duration", F.col("end") - F.col("start"))
+
+
+def refined_scenes(scenes: DataFrame, parts: DataFrame, longest: int = 8 * SECOND, least: int = 12 * SECOND // 10) -> DataFrame:
+    """Detection in two stages: long scenes (video_id, start, end) give way to their parts (video_id, of_start, start, end), then fragments are merged."""
+    held = intervals.replace_long(scenes, parts, "video_id", longest)
+    bounds = held.select("video_id", F.explode(F.array("start", "end")).alias("t"))
+    merged = folds.merge_fragments(bounds, "video_id", "t", least)
+    return merged.withColumn("duration", F.col("end") - F.col("start"))

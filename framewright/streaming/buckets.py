@@ -23,7 +23,11 @@ def interval_stream(stream: DataFrame, intervals: DataFrame, key: str, t: str) -
 
 
 def _place(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 

@@ -231,3 +231,70 @@ def test_media_table_and_writers(spark, tmp_path):
     rows = spark.createDataFrame([("v", 1, "vocals", 0.123456, 0.5, 10.04), ("v", 1, "bass", 1.0, 0.5, 0.0)], "video_id string, id int, stem string, energy double, ratio double, centroid double")
     folded = contracts.profile_rows(rows, "video_id").first()
     assert folded["energies"] == {"vocals": 0.1235, "bass": 1.0} and folded["spectral_centroid"] == {"vocals": 10.0, "bass": 0.0}
+
+
+def test_one_long_video(spark):
+    """A video of 10^5 rows: lookups spread over cells of its axis and give what a plain scan gives."""
+    n = 100_000
+    probes = spark.range(n).select(F.lit(1).alias("v"), F.col("id").alias("pid"), (F.col("id") * 7 % n * 10).alias("t"))
+    seg = spark.range(n // 50).select(F.lit(1).alias("v"), (F.col("id") * 500).alias("start"), (F.col("id") * 500 + 200 + F.col("id") % 7 * 40).alias("end"), F.col("id").cast("string").alias("text"))
+    ends = [i * 500 + 200 + i % 7 * 40 for i in range(n // 50)]
+    for width in (None, 1000):
+        out = {r["t"]: r["text"] for r in intervals.as_of(probes, seg, "v", "t", "pid", width).collect()}
+        for t in range(0, n * 10, 9130):
+            i = next((k for k in range(max(0, t // 500 - 1), len(ends)) if ends[k] > t), None)
+            assert out[t] == (str(i) if i is not None and i * 500 <= t else None)
+    zones = seg.select("v", F.col("start").alias("zs"), F.col("end").alias("ze"))
+    assert intervals.in_zone(probes, zones, "v", "t", True, 1000).count() == intervals.in_zone(probes, zones, "v", "t").count()
+    assert intervals.in_zone(probes, zones, "v", "t", False, 1000).count() == intervals.in_zone(probes, zones, "v", "t", False).count()
+    frames = spark.range(n).select(F.lit(1).alias("v"), F.col("id").alias("n"), (F.col("id") * 31 % 101 / 100).alias("x"))
+    best = series.refine_argmin(frames.where("n % 10 = 0").select("v", F.col("n").alias("cand"), F.col("n").alias("at")), frames, "v", "cand", "at", "n", "x", 5).collect()
+    assert len(best) == n // 10
+    for r in best[::997]:
+        assert r["refined"] == min(range(max(0, r["at"] - 5), min(n, r["at"] + 6)), key=lambda k: (k * 31 % 101, k))
+
+
+def plain_gaps(times, gap):
+    out = []
+    for t, p in sorted(times):
+        if not out or t - out[-1][0] > gap:
+            out.append((t, p))
+        elif p and not out[-1][1]:
+            out[-1] = (t, p)
+    return out
+
+
+def test_folds_in_pieces(spark):
+    rng = random.Random(3)
+    cut = sorted({(rng.randint(0, 4000), rng.random() < 0.3) for _ in range(700)})
+    df = spark.createDataFrame([(1, t, p) for t, p in cut], "v int, t long, p boolean")
+    assert times(folds.gap_dedupe(df, "v", "t", "p", 9), "t", "p") == plain_gaps(cut, 9)
+    kept = []
+    for t, z in cut:
+        if not kept or t - kept[-1][0] >= (4 if z else 11):
+            kept.append((t, z))
+    assert times(folds.zone_min_gap(df, "v", "t", "p", 4, 11), "t", "p") == sorted(kept)
+
+
+def test_long_scenes_give_way_to_their_parts(spark):
+    from framewright.plans.detect import refined_scenes
+
+    scenes = spark.createDataFrame([(1, 0, 10), (1, 10, 30), (1, 30, 60), (1, 60, 64)], "video_id int, start long, end long")
+    parts = spark.createDataFrame([(1, 10, 10, 30), (1, 30, 30, 41), (1, 30, 41, 43), (1, 30, 43, 60), (1, 0, 0, 5), (1, 0, 5, 10)], "video_id int, of_start long, start long, end long")
+    assert times(intervals.replace_long(scenes, parts, "video_id", 10), "start", "end") == [(0, 10), (10, 30), (30, 41), (41, 43), (43, 60), (60, 64)]
+    assert times(refined_scenes(scenes, parts, 10, 5), "id", "start", "end") == [(1, 0, 10), (2, 10, 30), (3, 30, 43), (4, 43, 64)]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from framewright.__main__ import main
+    from tests.conftest import DATA
+
+    main(["queries"])
+    assert "long_shots" in capsys.readouterr().out
+    main(["query", "long_shots", DATA, str(tmp_path / "out")])
+    n = spark.read.parquet(str(tmp_path / "out")).count()
+    assert n > 0 and f"long_shots: {n} rows" in capsys.readouterr().out
+    spark.createDataFrame([(1, 0, 9_000_000)], "video_id int, start long, end long").write.parquet(str(tmp_path / "in/scenes"))
+    spark.createDataFrame([(1, 0, 0, 4_000_000), (1, 0, 4_000_000, 9_000_000)], "video_id int, of_start long, start long, end long").write.parquet(str(tmp_path / "in/parts"))
+    main(["detect", str(tmp_path / "in"), str(tmp_path / "shots"), "--stages", "2"])
+    assert spark.read.parquet(str(tmp_path / "shots")).count() == 2
