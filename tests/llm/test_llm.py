@@ -368,6 +368,38 @@ def test_components(spark):
     assert {r["node"]: r["root"] for r in out.collect()} == {x: root[x] for x in linked}
 
 
+def test_forest_shortens_prefixes_and_leaves_boilerplate_apart(spark):
+    """400 documents share a third of their words: many meet under some node, none is joined; near copies among them are."""
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 6)))
+    common = [word() for _ in range(90)]
+    items = [(i, " ".join(common + [word() for _ in range(110)])) for i in range(400)]
+    items += [(1000 + i, items[i][1] + f" more{i}") for i in range(0, 400, 10)] + [(2000 + i, f"short {i % 3} text") for i in range(9)]
+    df = jaccard._clean(spark.createDataFrame(items, "doc_id long, text string"))
+    held = jaccard.materialize(jaccard.sketches(df), "sketches")
+    assert {r["depth"] for r in held.select("depth").distinct().collect()} == {5, 8}
+    edges = {tuple(r) for r in jaccard.forest_edges(held.select(F.col("doc_id").alias("rep"), "depth", "labels", "bits")).distinct().collect()}
+    assert {(b, a) for a, b in edges if 1000 <= a < 2000} == {(i, 1000 + i) for i in range(0, 400, 10)}
+    assert {(a, b) for a, b in edges if not 1000 <= a < 2000} == {(2000 + i, 2000 + i % 3) for i in range(3, 9)}
+    assert [jaccard.least_similarity(n) for n in (1, 3, 4, 5, 9)] == [1, 1, 0.8, 0.8, 0.8]
+
+
+def test_forest_compares_a_large_node_in_blocks(spark):
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(words + [f"x{i}"])) for i in range(900)]
+    found = rows(jaccard.near_duplicates(spark.createDataFrame(items, "doc_id long, text string").repartition(7)))
+    assert {(r["class_id"], r["n_links"]) for r in found} == {(0, 899)} and len(found) == 900
+
+
+def test_the_judged_text_of_a_repeated_id_stays(spark):
+    base = " ".join(f"w{i}" for i in range(80))
+    items = [(1, base), (2, "quite another text of a few words"), (2, base + " again"), (3, base + " end")]
+    df = spark.createDataFrame(items, "doc_id long, text string")
+    judged = {r["doc_id"]: r["text"] for r in rows(df.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")))}
+    want = {1} if judged[2] != items[1][1] else {1, 2}
+    assert {(r["doc_id"], r["text"]) for r in rows(jaccard.drop_near_duplicates(df))} == {(i, judged[i]) for i in want}
+
+
 # 6 ------------------------------------------------------------------------------------------------------
 
 PAGES = [
