@@ -7,7 +7,7 @@ holds the hash of the whole text and, for 64 classes of span hashes, the least s
 points, so that the share of classes on which two fingerprints agree estimates how many spans the texts share.
 
 Defined cases: a null text is the empty text; texts shorter than SPAN are one span; rows that repeat
-a doc_id follow each other in the order of their texts' hashes; a null doc_id comes last; a
+a doc_id follow each other in the order of their texts' hashes, and so do rows without one, which come last; a
 single document follows itself; an empty table gives an empty table; only doc_id and text are read.
 """
 
@@ -29,7 +29,7 @@ BASES = (911_382_323, 972_663_749)
 SPAN, CLASSES = 16, 64
 EMPTY_CLASS = 0xFFFF
 BUCKET_BYTES, BUCKET_ROWS = 12 << 20, 20_000
-MOST_BROADCAST = 100_000  # rows of 16 bytes
+MOST_BUCKETS = 20_000
 
 
 def _reduce(x: np.ndarray) -> np.ndarray:
@@ -123,28 +123,54 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
+class Slots:
+    """Ranges of doc_id in ascending order, numbered from 0; an id that fills several ranges has slots of its own by text hash, as have rows without an id, below 0."""
+
+    def __init__(self, bounds: list[float], null_slots: int):
+        self.bounds, times = np.unique(np.asarray(bounds, np.int64), return_counts=True)
+        self.own, self.null_slots = np.where(times > 1, times, 0), null_slots
+        self.before = np.concatenate([[0], np.cumsum(self.own)])
+        self.many = len(self.bounds) + 1 + int(self.before[-1])
+
+    def of(self, ids: pd.Series, hashes: pd.Series) -> np.ndarray:
+        """Less hashes come first in the descending order, so they lie in higher slots."""
+        share = (hashes.to_numpy(np.int64) / 2.0**64 + 0.5).clip(0, 1 - 2.0**-50)
+        known = ids.fillna(0).to_numpy(np.int64)
+        k = np.searchsorted(self.bounds, known, side="right")
+        slot = k + self.before[k]
+        if self.own.any():
+            at = np.maximum(k - 1, 0)
+            own = np.where((k > 0) & (self.bounds[at] == known), self.own[at], 0)
+            slot = np.where(own > 0, k + self.before[at] + own - 1 - np.floor(share * own).astype(np.int64), slot)
+        return np.where(ids.isna(), -1 - np.floor(share * self.null_slots).astype(np.int64), slot)
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) as runs of descending doc_id, each row with the run's bucket; a run ends with the first row of the next one as `guest`.
 
-    Buckets are ranges of doc_id between approximate quantiles, a partition each; the text is shuffled once.
+    Buckets are ranges of doc_id between approximate quantiles, a partition each, and at most MOST_BUCKETS, so that the driver's table of them
+    does not grow with the corpus (larger ones are streamed and their sort spills); the text is shuffled once.
     """
-    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b"), F.max("doc_id").alias("top")).first()
-    many = max(1, -(-(size["b"] or 0) // BUCKET_BYTES), -(-size["n"] // BUCKET_ROWS))
-    found = docs.approxQuantile("doc_id", [i / many for i in range(1, many)], 0.25 / many) if many > 1 and size["top"] is not None else []
-    bounds = np.unique(np.asarray(found, np.int64))
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b"), F.count("doc_id").alias("known")).first()
+    many = min(MOST_BUCKETS, max(1, -(-(size["b"] or 0) // BUCKET_BYTES), -(-size["n"] // BUCKET_ROWS)))
+    null_slots = max(1, round(many * (size["n"] - size["known"]) / max(1, size["n"])))
+    ranges = max(1, many - null_slots) if size["known"] else 1
+    slots = Slots(docs.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else [], null_slots)
 
     @F.pandas_udf("long")
-    def bucket(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.where(ids.isna(), -1, np.searchsorted(bounds, ids.fillna(0).astype("int64"), side="right")))
-
-    held = docs.select(bucket(F.col("doc_id")).alias("bucket"), F.lit(False).alias("guest"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    tops = docs.select("doc_id", bucket(F.col("doc_id")).alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top")).orderBy("bucket").collect()
-    led = [(tops[(i + 1) % len(tops)]["bucket"], t["top"]) for i, t in enumerate(tops)]
-    leads = docs.sparkSession.createDataFrame(led, "to long, top long")
-    if len(led) <= MOST_BROADCAST:
-        leads = F.broadcast(leads)
-    guests = docs.join(leads, docs["doc_id"].eqNullSafe(leads["top"])).select(F.col("to").alias("bucket"), F.lit(True).alias("guest"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return held.unionByName(guests).repartitionById(len(bounds) + 2, (F.col("bucket") + 1).cast("int")).sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    def bucket(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(slots.of(ids, hashes))
+
+    text = F.coalesce("text", F.lit(""))
+    h = F.xxhash64(text)
+    held = docs.select(bucket(F.col("doc_id"), h).alias("bucket"), F.lit(False).alias("guest"), "doc_id", text.alias("text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.bitwise_not("doc_id"), "doc_id", "h"))  # descending doc_id, ascending hash
+    leads = docs.select("doc_id", h.alias("h")).groupBy(bucket("doc_id", "h").alias("bucket")).agg(first.alias("lead")).orderBy("bucket").collect()
+    led = [(leads[(i + 1) % len(leads)]["bucket"], r["lead"]["doc_id"], r["lead"]["h"]) for i, r in enumerate(leads)]
+    tops = docs.sparkSession.createDataFrame(led, "to long, top long, top_h long")  # at most MOST_BUCKETS rows of 24 bytes
+    guests = docs.join(F.broadcast(tops), docs["doc_id"].eqNullSafe(tops["top"]) & (h == tops["top_h"])).select(F.col("to").alias("bucket"), F.lit(True).alias("guest"), "doc_id", text.alias("text"))
+    place = (F.col("bucket") + slots.null_slots).cast("int")
+    return held.unionByName(guests).repartitionById(slots.many + slots.null_slots, place).sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

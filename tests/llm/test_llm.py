@@ -161,6 +161,18 @@ def test_spans_and_extensions():
     assert fingerprints.common_extension(a, 2, b, 0) == 7 and fingerprints.common_extension(a, 0, b, 0) == 0
 
 
+def test_fingerprints_split_null_and_repeated_ids(spark, monkeypatch):
+    """A third of the rows has no id, a third the same one: neither lies in a single partition, and the order goes on across them."""
+    monkeypatch.setattr(fingerprints, "BUCKET_ROWS", 20)
+    items = [(None, f"no id {i} {'x' * i}") for i in range(100)] + [(50, f"same id {i} " * (i % 5 + 1)) for i in range(100)] + [(i, f"document {i}") for i in range(100) if i != 50]
+    df = spark.createDataFrame(items, "doc_id long, text string")
+    order = [r["text"] for r in df.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text")).collect()]
+    want = Counter((d, hashlib.sha256(fingerprints.edited(t, n).encode()).hexdigest()) for (d, t), n in zip([(r["doc_id"], r["text"]) for r in df.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text")).collect()], order[1:] + order[:1], strict=True))
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in rows(fingerprints.fingerprint_documents(df))) == want
+    held = Counter(r["p"] for r in fingerprints.in_order(df).select(F.spark_partition_id().alias("p")).collect())
+    assert max(held.values()) <= 60
+
+
 # 3 ------------------------------------------------------------------------------------------------------
 
 
