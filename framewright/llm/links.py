@@ -28,6 +28,7 @@ from framewright.llm.common import materialize, table
 #: (rule, verdict): a host, then the path's start.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 DAMPING, TOLERANCE, ROUND = 0.85, 1e-5, 8
+TASK_EDGES = 100_000
 LEAST = 1e-300  # ranks below are beyond a double's precision
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -74,10 +75,11 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, toleran
     ways = way("trust", "src", "dst").unionByName(way("distrust", "dst", "src"))
     total = ways.groupBy(F.col("kind").alias("k"), F.col("from").alias("f")).agg(F.sum("w").alias("all"))
     flow = ways.join(total, (F.col("kind") == F.col("k")) & (F.col("from") == F.col("f"))).select("kind", "from", "to", (F.col("w") / F.col("all")).alias("part"))
-    flow = materialize(flow, "links-flow")
+    tasks = max(1, -(-2 * edges.count() // TASK_EDGES))  # ranks are far smaller than pages: their tables and shuffles get tasks by their own size
+    flow = materialize(flow.coalesce(tasks), "links-flow")
     nodes = flow.select(F.col("to").alias("host")).unionByName(flow.select(F.col("from").alias("host"))).unionByName(seeds.select("host")).distinct()
     first = nodes.join(seeds, "host", "left").select("host", F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.coalesce(c, F.lit(0.0)).alias("seed")) for c in ("trust", "distrust")])).alias("e"))
-    base = materialize(first.select("host", "e.*"), "links-seeds")
+    base = materialize(first.select("host", "e.*").coalesce(tasks), "links-seeds")
     ranks = base.select("host", "kind", F.col("seed").alias("rank"))
     for done in range(0, bound if most_steps is None else most_steps, ROUND):
         before = ranks
@@ -85,7 +87,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, toleran
             moved = flow.join(ranks.withColumnRenamed("kind", "k"), (F.col("kind") == F.col("k")) & (F.col("from") == F.col("host")))
             sums = moved.groupBy(F.col("to").alias("t"), F.col("kind").alias("k")).agg(F.sum(F.col("rank") * F.col("part")).alias("got"))
             step = (1 - damping) * F.col("seed") + damping * F.coalesce("got", F.lit(0.0))
-            ranks = base.join(sums, (F.col("host") == F.col("t")) & (F.col("kind") == F.col("k")), "left").select("host", "kind", step.alias("rank"))
+            ranks = base.join(sums, (F.col("host") == F.col("t")) & (F.col("kind") == F.col("k")), "left").select("host", "kind", step.alias("rank")).coalesce(tasks)
         ranks = materialize(ranks, f"links-ranks{done}")
         was = before.select(F.col("host").alias("h"), F.col("kind").alias("k"), F.col("rank").alias("was"))
         change = F.abs(F.col("rank") - F.col("was"))
