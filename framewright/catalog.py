@@ -564,6 +564,15 @@ def stream_current_shot(spark, d):
     return drained(interval_stream(timed, shots(spark, d), "video_id", "t").select("event_id", "id"), "append")
 
 
+@query(ORACLE["lag15_pearson"])
+def stream_lag15_pearson(spark, d):
+    from framewright.streaming.buckets import drained, read_stream
+    from framewright.streaming.similarity import lag_stream
+
+    sim = drained(lag_stream(read_stream(spark, f"{d}/embeddings.parquet"), "label", "vec_id", "embedding", 15), "append")
+    return sim.select("label", "vec_id", F.round("sim", 6).alias("sim"))
+
+
 # Report rules ------------------------------------------------------------------------------------------------
 
 
@@ -627,10 +636,67 @@ def long_scene_parts(spark, d):
     return intervals.replace_long(scenes, parts, "video_id", 3 * DAY)
 
 
-@query("""WITH p AS (SELECT d.doc_id, d.lang, d.text, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))
-SELECT doc_id, '#' || doc_id AS label, CASE WHEN quality IS NULL THEN '' ELSE quality || ' - ' || toxic END AS times, length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS escaped FROM p""")
+ESCAPED = "replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+
+
+def escaped(x: str) -> str:
+    return ESCAPED.format(x=f"coalesce({x}, '')")
+
+
+@query(f"""WITH p AS (SELECT d.doc_id, d.lang, d.source, d.text, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, md5('<div class="card prompt"><b>#' || doc_id || '</b><p>' || CASE WHEN quality IS NULL OR toxic IS NULL THEN '' ELSE quality || '.0s - ' || toxic || '.0s' END || '</p></div><i>language</i> '
+|| {escaped("lang")} || chr(10) || '<i>source</i> ' || {escaped("source")} || {escaped("substring(text, 1, 200)")} || '<pre>' || {escaped("text")} || '</pre>') AS card_md5 FROM p""")
 def prompt_report(spark, d):
-    held = docs_ops.with_times(table(spark, d, "documents").select("doc_id", "lang", "text"), table(spark, d, "labels"), "doc_id", ["quality", "toxic"])
-    times = F.when(F.col("quality").isNull(), "").otherwise(F.concat(F.col("quality").cast("string"), F.lit(" - "), F.col("toxic").cast("string")))
-    escaped = F.length(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))).cast("long")
-    return held.select("doc_id", F.concat(F.lit("#"), F.col("doc_id").cast("string")).alias("label"), times.alias("times"), escaped.alias("escaped"))
+    from framewright.functions.shots import excerpt
+    from framewright.sources.reports import prompt_card
+
+    held = docs_ops.with_times(table(spark, d, "documents").select("doc_id", "lang", "source", "text"), table(spark, d, "labels"), "doc_id", ["quality", "toxic"])
+    start, end = (F.col(c).cast("double") for c in ("quality", "toxic"))
+    page = prompt_card(F.col("doc_id"), start, end, {"language": F.col("lang"), "source": F.col("source")}, excerpt(F.col("text")), F.col("text"))
+    return held.select("doc_id", F.md5(page).alias("card_md5"))
+
+
+@query(f"""{HOURLY} SELECT video_id, id, '<div class="card ' || CASE WHEN en - st < 12 THEN 'short' WHEN en - st > 240 THEN 'long' ELSE '' END || '"><b>#' || id || '</b><p>' || round(st, 1) || 's - ' || round(en, 1) || 's</p></div>' AS card FROM rel""")
+def shot_cards(spark, d):
+    from framewright.sources.reports import shot_card
+
+    _, rel = relative(spark, d)
+    css = layout.duration_class(F.col("end") - F.col("start"), 12, 240)
+    return rel.select("video_id", "id", shot_card(F.col("id"), F.round("start", 1), F.round("end", 1), css).alias("card"))
+
+
+@query(f"""WITH {ENERGY}, shares AS (SELECT video_id, id, string_agg(stem || ' ' || CAST(round(round(ratio, 4) * 100) AS INTEGER) || '%', ', ' ORDER BY stem) AS shares FROM ratio GROUP BY video_id, id)
+SELECT t.video_id, t.id, '<div style="color:' || CASE dominant_type WHEN 'dialogue' THEN '#58a6ff' WHEN 'bgm' THEN '#3fb950' WHEN 'sfx' THEN '#d29922' ELSE '#8b949e' END || '"><div class="card ' || dominant_type || '"><b>#' || t.id || ' '
+|| CASE dominant_type WHEN 'dialogue' THEN '💬' WHEN 'bgm' THEN '🎵' WHEN 'sfx' THEN '🔊' ELSE '🔀' END || '</b><p>' || shares || '</p></div></div>' AS card FROM typed t JOIN shares s ON s.video_id = t.video_id AND s.id = t.id""")
+def audio_cards(spark, d):
+    """The profile's maps of a shot's stems, as rounded there, and the card of the sound report from them."""
+    from framewright.sources.contracts import profile_rows
+    from framewright.sources.reports import audio_card
+
+    e = energy.stem_ratios(energy.interval_rms(shots(spark, d), samples(spark, d), "video_id", "t", width=DAY), "video_id")
+    maps = profile_rows(e.withColumn("centroid", F.lit(0.0)), "video_id")
+    w = energy.wide_ratios(e, "video_id")
+    held = maps.join(w, ["video_id", "id"])
+    kind = energy.dominant_type(F.col("vocals"), F.col("drums"), F.col("bass"), F.col("other"))
+    return held.select("video_id", "id", audio_card(F.col("id"), kind, F.col("ratios"), F.lit(None).cast("string")).alias("card"))
+
+
+@query(f"""WITH rows_ AS ({ORACLE["dialogue_alignment"]}), places AS ({LAID} SELECT video_id, id, y_start, h FROM lay)
+SELECT r.video_id, r.id, '<div id="srow-' || r.id || '" style="top:' || CAST(round(round(y_start, 4)) AS BIGINT) || 'px;height:' || CAST(round(round(h, 4)) AS BIGINT) || 'px">'
+|| CASE type WHEN 'dialogue' THEN '💬' WHEN 'bgm' THEN '🎵' WHEN 'sfx' THEN '🔊' WHEN 'mixed' THEN '🔀' ELSE '❓' END || ' ' || {escaped("substring(dialogue, 1, 200)")} || '</div>' AS row_html
+FROM rows_ r JOIN places p ON p.video_id = r.video_id AND p.id = r.id""")
+def timeline_report(spark, d):
+    from framewright.sources.reports import timeline_row
+
+    held = dialogue_alignment(spark, d).join(laid(spark, d).select("video_id", "id", "y_start", "h"), ["video_id", "id"])
+    page = timeline_row(F.col("id"), F.round("y_start", 4), F.round("h", 4), F.col("type"), F.col("dialogue"))
+    return held.select("video_id", "id", page.alias("row_html"))
+
+
+@query("""SELECT 'shot_' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(3, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') || '_first.jpg' AS name, octet_length(encode(text)) AS bytes, md5(text) AS content_md5 FROM documents WHERE text IS NOT NULL""")
+def frame_cache_files(spark, d):
+    """Texts as data URLs of a frame cache, and the files that come out of it."""
+    from framewright.sources.reports import frame_files
+
+    cache = table(spark, d, "documents").select(F.col("doc_id").alias("id"), txt.data_url(F.encode("text", "UTF-8")).alias("first_frame"), F.lit("").alias("last_frame"))
+    return frame_files(cache).select("name", F.octet_length("content").cast("long").alias("bytes"), F.md5("content").alias("content_md5"))

@@ -298,3 +298,23 @@ def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame([(1, 0, 0, 4_000_000), (1, 0, 4_000_000, 9_000_000)], "video_id int, of_start long, start long, end long").write.parquet(str(tmp_path / "in/parts"))
     main(["detect", str(tmp_path / "in"), str(tmp_path / "shots"), "--stages", "2"])
     assert spark.read.parquet(str(tmp_path / "shots")).count() == 2
+
+
+def test_lag_of_a_stream_over_several_batches(spark, tmp_path):
+    from framewright.streaming.buckets import drained
+    from framewright.streaming.similarity import lag_stream
+
+    rng = np.random.default_rng(5)
+    rows = [(v, n, None if n == 7 else [1.0, 1.0, 1.0] if n == 9 else rng.random(3).tolist()) for v in ("a", "b") for n in range(20)]
+    rows = [r for r in rows if r[0] == "a" or r[1] < 2]  # the second video is shorter than the lag
+    for part, few in enumerate((rows[:6], rows[6:8], rows[8:])):
+        spark.createDataFrame(few, "v string, n long, h array<double>").coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
+    stored = spark.read.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    found = drained(lag_stream(stream, "v", "n", "h", 3, 1.0), "append")
+    theirs = series.lag_similarity(stored, ["v"], "n", "h", 3, "pearson", 1.0)
+    plain = lambda df: [(r["v"], r["n"], None if r["sim"] is None else round(r["sim"], 9)) for r in df.orderBy("v", "n").collect()]
+    held = dict(((v, n), h) for v, n, h in rows)
+    want = plain(theirs.where("n <> 7"))
+    assert len(want) > 10 and [r for r in plain(found) if r[1] != 7] == want
+    assert [r for r in plain(found) if r[1] == 7] == [("a", 7, None)] and held["a", 7] is None
