@@ -85,6 +85,34 @@ def write_prompts(prompts: DataFrame, path: str) -> None:
     prompts.write.option("ignoreNullFields", False).json(path)
 
 
+def profile_documents(shots: DataFrame, profile: DataFrame, segments: DataFrame, stems: list[str]) -> DataFrame:
+    """The audio profile, one row a video, for write.json: shots (video_id, id, start, end) with their maps and dominant_type of
+    `profile` (video_id, id) and the dialogue of `segments` (video_id, id, start, end, text).
+
+    A video lasts to the end of its last shot; its types are counted, the most frequent first. Shots without a profile are mixed
+    and have no maps; shots without segments have no dialogue. A row holds one video's shots.
+    """
+    key = ["video_id", "id"]
+    said = segments.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("dialogue"))
+    held = shots.select(*key, "start", "end").join(profile.select(*key, "energies", "ratios", "spectral_centroid", "dominant_type"), key, "left").join(said, key, "left")
+    rows = held.withColumn("dominant_type", F.coalesce("dominant_type", F.lit("mixed"))).withColumn("duration", F.col("end") - F.col("start"))
+    counts = rows.groupBy("video_id", "dominant_type").agg(F.count(F.lit(1)).alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("place"), F.col("dominant_type").alias("key"), F.col("n").alias("value"))))
+    types = counts.groupBy("video_id").agg(F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["key"], e["value"]))).alias("type_distribution"))
+    dialogue = F.coalesce("dialogue", F.array().cast("array<struct<start:double,end:double,text:string>>"))
+    shot = F.struct(
+        F.col("id").cast("int").alias("shot_id"), F.col("start").alias("start_sec"), F.col("end").alias("end_sec"), "duration", "energies", "ratios", "spectral_centroid", "dominant_type", dialogue.alias("dialogue")
+    )
+    # maps have no order, so that rows are sorted by a struct of the number and the rest is carried beside it
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("id", F.to_json(shot).alias("shot")))), lambda s: s["shot"])
+    videos = rows.groupBy("video_id").agg(F.max_by("end", "id").alias("duration"), listed.alias("shots")).join(types, "video_id")
+    kind = PROFILE.partition("shots ")[2]
+    return videos.select(
+        F.col("video_id").cast("string").alias("episode"), F.col("duration").cast("double").alias("duration"), F.array(*[F.lit(s) for s in stems]).alias("stems"), "type_distribution",
+        F.from_json(F.concat(F.lit("["), F.array_join("shots", ","), F.lit("]")), kind).alias("shots"),
+    )
+
+
 def profile_rows(energies: DataFrame, key: str) -> DataFrame:
     """Fold long energies (key, id, stem, energy, ratio, centroid) into the profile's maps, rounded as it stores them."""
     entry = lambda c, n: F.map_from_entries(F.array_sort(F.collect_list(F.struct("stem", F.round(c, n).alias("v")))))

@@ -318,3 +318,21 @@ def test_lag_of_a_stream_over_several_batches(spark, tmp_path):
     want = plain(theirs.where("n <> 7"))
     assert len(want) > 10 and [r for r in plain(found) if r[1] != 7] == want
     assert [r for r in plain(found) if r[1] == 7] == [("a", 7, None)] and held["a", 7] is None
+
+
+def test_profile_documents(spark, tmp_path):
+    shots = spark.createDataFrame([("v", 2, 1.0, 3.0), ("v", 1, 0.0, 1.0), ("v", 3, 3.0, 4.5), ("w", 1, 0.0, 2.0)], "video_id string, id int, start double, end double")
+    longs = spark.createDataFrame([("v", 1, "bass", 1.0, 1.0, 9.0), ("v", 2, "vocals", 0.12345, 1.0, 0.0)], "video_id string, id int, stem string, energy double, ratio double, centroid double")
+    kinds = spark.createDataFrame([("v", 1, "bgm"), ("v", 2, "mixed")], "video_id string, id int, dominant_type string")
+    said = spark.createDataFrame([("v", 2, 2.0, 2.5, 'b "c"'), ("v", 2, 1.0, 1.5, None)], "video_id string, id int, start double, end double, text string")
+    made = contracts.profile_documents(shots, contracts.profile_rows(longs, "video_id").join(kinds, ["video_id", "id"]), said, ["vocals", "bass"])
+    v = made.where("episode = 'v'").first()
+    assert v["duration"] == 4.5 and v["stems"] == ["vocals", "bass"] and v["type_distribution"] == {"mixed": 2, "bgm": 1}
+    assert [(s["shot_id"], s["duration"], s["dominant_type"], len(s["dialogue"])) for s in v["shots"]] == [(1, 1.0, "bgm", 0), (2, 2.0, "mixed", 2), (3, 1.5, "mixed", 0)]
+    assert v["shots"][1]["energies"] == {"vocals": 0.1235} and [d["text"] for d in v["shots"][1]["dialogue"]] == [None, 'b "c"'] and v["shots"][2]["energies"] is None
+    made.write.json(str(tmp_path / "p"))
+    written = [line for f in (tmp_path / "p").glob("part-*") for line in f.read_text().splitlines() if '"v"' in line]
+    assert '"type_distribution":{"mixed":2,"bgm":1}' in written[0]  # the most frequent first
+    read = contracts.read_profile(spark, str(tmp_path / "p"))
+    assert times(read, "episode", "shot_id", "dominant_type") == [("v", 1, "bgm"), ("v", 2, "mixed"), ("v", 3, "mixed"), ("w", 1, "mixed")]
+    assert contracts.profile_documents(shots.limit(0), contracts.profile_rows(longs, "video_id").join(kinds, ["video_id", "id"]), said, ["vocals"]).count() == 0
