@@ -17,15 +17,19 @@ PROMPT = PART + ", start_sec DOUBLE, end_sec DOUBLE, duration DOUBLE"
 WAVEFORM = "vocals ARRAY<INT>, drums ARRAY<INT>, other ARRAY<INT>"
 
 
-def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def _json(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """One JSON document a file or, as the writers below leave rows, one a line."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
 def video_of(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
-def read_shots(spark: SparkSession, path: str) -> DataFrame:
+def read_shots(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Shots of one array a file, which is named after its video, or the lines of write_shots, which name it themselves."""
+    if lines:
+        return _json(spark, path, SHOT + ", video_id STRING", True)
     return _json(spark, path, SHOT).withColumn("video_id", video_of(F.col("_metadata.file_path")))
 
 
@@ -46,8 +50,8 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
     return _json(spark, path, FRAMES)
 
 
-def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path, PROMPT)
+def read_prompts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    return _json(spark, path, PROMPT, lines)
 
 
 def read_parts(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,7 +90,7 @@ def write_prompts(prompts: DataFrame, path: str) -> None:
 
 
 def profile_documents(shots: DataFrame, profile: DataFrame, segments: DataFrame, stems: list[str]) -> DataFrame:
-    """The audio profile, one row a video, for write.json: shots (video_id, id, start, end) with their maps and dominant_type of
+    """The audio profile, one row a video, for write_profile: shots (video_id, id, start, end) with their maps and dominant_type of
     `profile` (video_id, id) and the dialogue of `segments` (video_id, id, start, end, text).
 
     A video lasts to the end of its last shot; its types are counted, the most frequent first. Shots without a profile are mixed
@@ -113,6 +117,11 @@ def profile_documents(shots: DataFrame, profile: DataFrame, segments: DataFrame,
     )
 
 
+def write_profile(documents: DataFrame, path: str) -> None:
+    """Each video's profile as a document in a file and folder of its own, which read_profile reads again."""
+    documents.write.partitionBy("episode").json(path)
+
+
 def profile_rows(energies: DataFrame, key: str) -> DataFrame:
     """Fold long energies (key, id, stem, energy, ratio, centroid) into the profile's maps, rounded as it stores them."""
     entry = lambda c, n: F.map_from_entries(F.array_sort(F.collect_list(F.struct("stem", F.round(c, n).alias("v")))))

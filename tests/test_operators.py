@@ -330,9 +330,18 @@ def test_profile_documents(spark, tmp_path):
     assert v["duration"] == 4.5 and v["stems"] == ["vocals", "bass"] and v["type_distribution"] == {"mixed": 2, "bgm": 1}
     assert [(s["shot_id"], s["duration"], s["dominant_type"], len(s["dialogue"])) for s in v["shots"]] == [(1, 1.0, "bgm", 0), (2, 2.0, "mixed", 2), (3, 1.5, "mixed", 0)]
     assert v["shots"][1]["energies"] == {"vocals": 0.1235} and [d["text"] for d in v["shots"][1]["dialogue"]] == [None, 'b "c"'] and v["shots"][2]["energies"] is None
-    made.write.json(str(tmp_path / "p"))
-    written = [line for f in (tmp_path / "p").glob("part-*") for line in f.read_text().splitlines() if '"v"' in line]
+    contracts.write_profile(made, str(tmp_path / "p"))
+    written = [f.read_text() for f in (tmp_path / "p" / "episode=v").glob("part-*")]
     assert '"type_distribution":{"mixed":2,"bgm":1}' in written[0]  # the most frequent first
     read = contracts.read_profile(spark, str(tmp_path / "p"))
     assert times(read, "episode", "shot_id", "dominant_type") == [("v", 1, "bgm"), ("v", 2, "mixed"), ("v", 3, "mixed"), ("w", 1, "mixed")]
     assert contracts.profile_documents(shots.limit(0), contracts.profile_rows(longs, "video_id").join(kinds, ["video_id", "id"]), said, ["vocals"]).count() == 0
+
+
+def test_written_rows_are_read_again(spark, tmp_path):
+    rows = spark.createDataFrame([("v", 1, 0.0, 1.0, 1.0, "x"), ("v", 2, 1.0, 3.0, 2.0, None)], "video_id string, id int, start_sec double, end_sec double, duration double, first_frame string").coalesce(1)
+    contracts.write_shots(rows, str(tmp_path / "s"))
+    assert times(contracts.read_shots(spark, str(tmp_path / "s"), lines=True), "video_id", "id", "end_sec") == [("v", 1, 1.0), ("v", 2, 3.0)]
+    prompts = spark.createDataFrame([(1, "a"), (2, None)], "shot_id int, subject string").coalesce(1)
+    contracts.write_prompts(prompts, str(tmp_path / "q"))
+    assert times(contracts.read_prompts(spark, str(tmp_path / "q"), lines=True), "shot_id", "subject") == [(1, "a"), (2, None)]
