@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+EQUAL_ROWS = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,23 +42,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dense_number(df: DataFrame, keys: list[str], order: list[Column], out: str, chunk: Column, label: str) -> DataFrame:
+def dense_number(df: DataFrame, keys: list[str], order: list[Column], out: str, by: list[str], chunks: int) -> DataFrame:
     """Number rows 0.. without gaps inside each key, without bringing a key's rows into one task.
 
-    chunk must be a non-negative integer that splits a key's rows into pieces of bounded size;
-    pieces are numbered in ascending chunk order, rows inside a piece by order. The offsets of the
-    pieces come from a table of one row per (key, chunk).
+    Equal rows are counted before the shuffle and travel as blocks of at most EQUAL_ROWS. A key's blocks are dealt by a
+    hash of the columns `by` over `chunks` pieces; pieces are numbered one after another, blocks inside a piece by order.
+    The offsets of the pieces come from a table of one row per (key, piece).
     """
-    held = df.withColumn("__chunk", chunk)
-    sizes = held.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
+    equal = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    blocks = equal.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / EQUAL_ROWS))).alias("__block"))
+    times = F.least(F.lit(EQUAL_ROWS).cast("long"), F.col("__n") - F.col("__block") * EQUAL_ROWS)
+    held = blocks.select(*df.columns, "__block", times.alias("__times"), F.pmod(F.xxhash64(*by, "__block"), F.lit(chunks)).alias("__chunk"))
+    sizes = held.groupBy(*keys, "__chunk").agg(F.sum("__times").alias("__size"))
     before = W.partitionBy(*keys).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inner = W.partitionBy(*keys, "__chunk").orderBy(*order)
-    ranked = held.withColumn("__in", F.row_number().over(inner) - 1)
+    offsets = sizes.select(*keys, "__chunk", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    inner = W.partitionBy(*keys, "__chunk").orderBy(*order, "__block").rowsBetween(W.unboundedPreceding, -1)
+    ranked = held.withColumn("__in", F.coalesce(F.sum("__times").over(inner), F.lit(0)))
     same = reduce(lambda a, b: a & b, [ranked[k].eqNullSafe(offsets[k]) for k in [*keys, "__chunk"]])
-    return ranked.join(offsets, same, "left").select(
-        *[ranked[c] for c in df.columns], (F.col("__before") + F.col("__in")).cast("long").alias(out)
-    )
+    first = F.col("__before") + F.col("__in")
+    placed = ranked.join(offsets, same, "left").select(*[ranked[c] for c in df.columns], first.alias("__first"), "__times")
+    return placed.select(*df.columns, F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__times") - 1)).alias(out))
 
 
 def unit(*cols: Column) -> Column:

@@ -10,7 +10,7 @@ of two, where sequences are not padded. Each such step uses up at least one leng
 plan stays small and is broadcast (at most capacity times sqrt(2 * capacity) rows). Pieces are then
 numbered within their length and look up their window and offset in the plan.
 
-Defined cases: a null or empty text has the end id alone; rows that repeat a doc_id are packed each;
+Defined cases: a null or empty text has the end id alone; rows that repeat a doc_id are packed each, equal rows among them in blocks;
 an empty table gives an empty table; extra columns are ignored, only doc_id and text are read.
 """
 
@@ -164,7 +164,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     most = max(counts.values(), default=0)
     chunks = max(1, -(-most // max(CHUNK_ROWS, isqrt(most))))  # so that neither a chunk nor the table of a length's chunks outgrows a task
     order = [F.col("doc_id"), F.col("start"), F.col("ids_crc32")]
-    numbered = dense_number(pieces, ["length"], order, "number", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(chunks)), "pack-numbers")
+    numbered = dense_number(pieces, ["length"], order, "number", ["doc_id", "start", "ids_crc32", "doc_tokens"], chunks)
     nth = F.col("number") - F.col("low")
     meets = (F.col("length") == F.col("p_length")) & (F.col("number") >= F.col("low")) & (F.col("number") < F.col("high"))
     return numbered.join(F.broadcast(plan), meets).select(

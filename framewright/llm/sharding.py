@@ -173,7 +173,7 @@ def shard_documents(docs: DataFrame, shards: int | None = None, target_bytes: in
         shards = max(1, ceil((rows.agg(F.sum("size")).first()[0] or 0) / target_bytes))
     placed = materialize(shard_rows(rows, shards), "shard-placed")
     pieces = max(1, placed.count() // (shards * 50_000))
-    numbered = dense_number(placed, ["shard"], [F.col("doc_id"), F.col("text_hash")], "slot", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(pieces)), "shard-slots")
+    numbered = dense_number(placed, ["shard"], [F.col("doc_id"), F.col("text_hash")], "slot", ["doc_id", "text_hash"], pieces)
     return numbered.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 

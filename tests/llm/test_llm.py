@@ -15,7 +15,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from framewright.llm import components, fingerprints, jaccard, langid, links, media, mixing, packing, queries, sharding, substrings, suffixes, surrogates
+from framewright.llm import common, components, fingerprints, jaccard, langid, links, media, mixing, packing, queries, sharding, substrings, suffixes, surrogates
 from tests.conftest import DATA
 
 LONG = "".join(f"w{i * i % 977} " for i in range(30_000))
@@ -376,8 +376,29 @@ def test_components(spark):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     linked = {x for a, b in edges if a != b for x in (a, b)}
-    out = components.components(spark.createDataFrame(edges, "a long, b long"))
+    held = edges + edges[:5] + [(None, 7), (7, None), (None, None)]
+    out = components.components(spark.createDataFrame(held, "a long, b long"))
     assert {r["node"]: r["root"] for r in out.collect()} == {x: root[x] for x in linked}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    """A path of shuffled names, whose diameter is far above the number of rounds."""
+    names = np.random.default_rng(8).permutation(700).tolist()
+    out = components.components(spark.createDataFrame(list(zip(names, names[1:])), "a long, b long"))
+    assert {r["node"]: r["root"] for r in out.collect()} == dict.fromkeys(range(700), 0)
+
+
+def test_numbers_without_gaps_over_equal_rows(spark, monkeypatch):
+    """A row that repeats over several blocks, null keys and distinct rows: each key's numbers are 0.. and no row is lost."""
+    monkeypatch.setattr(common, "EQUAL_ROWS", 7)
+    items = [("k", 1, None)] * 50 + [("k", i, "x") for i in range(40)] + [(None, None, None)] * 8 + [("j", 3, "y")]
+    df = spark.createDataFrame(items, "key string, v long, w string")
+    out = rows(common.dense_number(df, ["key"], [F.col("v"), F.col("w")], "number", ["v", "w"], 3))
+    assert Counter((r["key"], r["v"], r["w"]) for r in out) == Counter(items)
+    for key, n in Counter(k for k, *_ in items).items():
+        assert sorted(r["number"] for r in out if r["key"] == key) == list(range(n))
+    assert common.dense_number(df.limit(0), ["key"], [F.col("v")], "number", ["v"], 3).count() == 0
 
 
 def test_forest_shortens_prefixes_and_leaves_boilerplate_apart(spark):
