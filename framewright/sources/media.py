@@ -2,43 +2,56 @@
 
 from __future__ import annotations
 
-import io
 import wave
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
+from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.text import frame_rate
 
 BLOCK = 8192
+PART_BYTES = 1 << 25
 PCM = "path string, rate int, block_no long, samples array<float>"
 FRAME = "video_id string, frame_no long, t double, hist array<float>, b double, g double, r double"
 
 
-def pcm_blocks(raw: bytes) -> Iterator[tuple[int, int, np.ndarray]]:
-    """rate, block number and mono samples in [-1, 1) of 16-bit WAV bytes; two channels are averaged, more are left interleaved."""
-    with wave.open(io.BytesIO(raw)) as w:
-        rate, channels, n = w.getframerate(), w.getnchannels(), 0
-        while chunk := w.readframes(BLOCK):
-            x = np.frombuffer(chunk, "<i2").astype(np.float32) / 32768
+def open_input(path: str) -> BinaryIO:
+    """A file at a path or URI of any file system that pyarrow knows, read from where the reader seeks to."""
+    system, inner = fs.FileSystem.from_uri(quote(path, safe="/:@")) if ":/" in path else (fs.LocalFileSystem(), path)
+    return system.open_input_file(inner)
+
+
+def pcm_blocks(raw: BinaryIO, part: int = 0, parts: int = 1) -> Iterator[tuple[int, int, np.ndarray]]:
+    """rate, block number and mono samples in [-1, 1) of one of `parts` runs of blocks of a 16-bit WAV file; two channels are averaged, more are left interleaved."""
+    with wave.open(raw) as w:
+        rate, channels, blocks = w.getframerate(), w.getnchannels(), -(-w.getnframes() // BLOCK)
+        first, end = blocks * part // parts, blocks * (part + 1) // parts
+        w.setpos(first * BLOCK)
+        for n in range(first, end):
+            x = np.frombuffer(w.readframes(BLOCK), "<i2").astype(np.float32) / 32768
             yield rate, n, x.reshape(-1, 2).mean(axis=1) if channels == 2 else x
-            n += 1
 
 
-def read_wav(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks of samples of the WAV files below a path; files spread over tasks."""
+def read_wav(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] = open_input, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Blocks of samples of the WAV files below a path. Parts of about part_bytes of a file spread over tasks, each of which seeks to its own blocks."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, raw in zip(batch["path"], batch["content"], strict=True):
-                for rate, n, x in pcm_blocks(raw):
-                    yield pd.DataFrame({"path": [name], "rate": [rate], "block_no": [n], "samples": [x]})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path).select("path", "content")
-    return files.mapInPandas(decode, PCM)
+            for name, part, parts in zip(batch["path"], batch["part"], batch["parts"], strict=True):
+                with opener(name) as raw:
+                    for rate, n, x in pcm_blocks(raw, part, parts):
+                        yield pd.DataFrame({"path": [name], "rate": [rate], "block_no": [n], "samples": [x]})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path)
+    parts = files.select("path", F.greatest(F.lit(1), F.ceil(F.col("length") / part_bytes)).cast("int").alias("parts"))
+    spread = parts.select("path", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts").repartition("path", "part")
+    return spread.mapInPandas(decode, PCM)
 
 
 def samples_of(blocks: DataFrame) -> DataFrame:

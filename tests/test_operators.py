@@ -155,6 +155,13 @@ def test_sources_and_sinks(spark, tmp_path):
         w.setnchannels(2), w.setsampwidth(2), w.setframerate(8)
         w.writeframes(np.array([16384, 0, -32768, -32768], "<i2").tobytes())
     assert times(media.samples_of(media.read_wav(spark, str(tmp_path))), "number", "t", "amplitude") == [(0, 0.0, 0.25), (1, 0.125, -1.0)]
+    sound, folder = np.random.default_rng(2).integers(-32768, 32768, 50_001).astype("<i2"), tmp_path / "long sound"
+    folder.mkdir()
+    with wave.open(str(folder / "b 1.wav"), "wb") as w:
+        w.setnchannels(1), w.setsampwidth(2), w.setframerate(8)
+        w.writeframes(sound.tobytes())
+    blocks = media.read_wav(spark, str(folder), part_bytes=30_000).orderBy("block_no").collect()
+    assert [r["block_no"] for r in blocks] == list(range(7)) and np.allclose(np.concatenate([r["samples"] for r in blocks]), sound / 32768)
     (tmp_path / "frames").mkdir()
     for i in range(2):
         (tmp_path / "frames" / f"f{i:06d}.raw").write_bytes(bytes([255 * i] * 48))
