@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 EQUAL_ROWS = 1000
 
@@ -87,5 +87,8 @@ def attach(docs: DataFrame, decided: DataFrame, value: str, by: str = "doc_id")
     return left.join(right, "__key", "left").select(*kept, F.try_element_at("__values", F.col("__k")).alias(value))
 
 
-def empty_like(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def driver_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows that the driver decided, as a table that the JVM makes by itself (createDataFrame starts Python workers). schema: `name type, ...`, numbers only."""
+    names = [field.split()[0] for field in schema.split(",")]
+    held = F.from_json(F.lit(json.dumps([dict(zip(names, r, strict=True)) for r in rows])), f"array<struct<{schema}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(held))

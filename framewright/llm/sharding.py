@@ -23,7 +23,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import dense_number, materialize, table, utf8
+from framewright.llm.common import dense_number, driver_rows, materialize, table, utf8
 
 KEY_BITS, TIE_BITS = 63, 32
 WIDE, FINE = 512, 4096
@@ -51,7 +51,7 @@ def _placed(rules: dict[int, tuple[int, int]], n: int = 0) -> Column:
 
 def _histogram(points: DataFrame, node: Column, dims: int, asked: dict[tuple[int, int], tuple[int, int]], buckets: int) -> dict[tuple[int, int], list[tuple]]:
     """asked: (node, dimension) -> range of keys. One scan: for each the occupied buckets of the range in order, as (weight, least key, largest key)."""
-    ranges = points.sparkSession.createDataFrame([(n, d, low, (high - low) // buckets + 1) for (n, d), (low, high) in asked.items()], "n int, d int, low long, width long")
+    ranges = driver_rows(points.sparkSession, [(n, d, low, (high - low) // buckets + 1) for (n, d), (low, high) in asked.items()], "n int, d int, low long, width long")
     keys = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(f"key{d}").alias("key")) for d in range(dims)]))
     live = points.select("weight", node.alias("node"), keys.alias("k")).select("weight", "node", "k.*")
     near = live.join(F.broadcast(ranges), (F.col("node") == F.col("n")) & (F.col("dim") == F.col("d")))  # a row for each open node and dimension
@@ -149,7 +149,7 @@ def shard_rows(rows: DataFrame, shards: int) -> DataFrame:
     where, load = place_heavy([w for *_, w in heavy], shards)
     room = room_left(load, b["all"] - sum(load))
     free = [s for s, r in enumerate(room) if r > 0] or [0]
-    fixed = rows.sparkSession.createDataFrame([(h, z, s) for (h, z, _), s in zip(heavy, where, strict=True)], "g_hash long, g_size long, fixed int")
+    fixed = driver_rows(rows.sparkSession, [(h, z, s) for (h, z, _), s in zip(heavy, where, strict=True)], "g_hash long, g_size long, fixed int")
     shared = shared.join(F.broadcast(fixed), ["g_hash", "g_size"], "left") if heavy else shared.withColumn("fixed", F.lit(None).cast("int"))
     led = rows.join(shared, (rows["text_hash"] == shared["g_hash"]) & (rows["size"] == shared["g_size"]), "left")
     own = lambda c: F.when(F.col("lead").isNotNull(), F.col(f"lead.{c}")).otherwise(F.col(c))
