@@ -43,3 +43,59 @@ FROM r0 CROSS JOIN (SELECT DISTINCT k FROM rk WHERE k < {steps}) p LEFT JOIN (SE
 LEFT JOIN (SELECT src AS host, sum(rk.d * back) AS d FROM fl JOIN rk ON rk.host = fl.dst GROUP BY src) y ON y.host = r0.host)""")
     parts.append(f"last AS (SELECT host, t, d FROM rk WHERE k = {steps})")
     return f"WITH RECURSIVE {', '.join(parts)} SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN coalesce(d, 0) > coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict FROM j LEFT JOIN last USING (host)"
+
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATIONS = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+tot AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+ks AS (SELECT unnest(range(1, 6)) AS k),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, ks WHERE len(ws) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+x AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+inner_phrases AS (SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM (SELECT lang, a, ws, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM x))),
+longer AS (SELECT lang, phrase, max(a) AS b FROM inner_phrases GROUP BY lang, phrase),
+kept AS (SELECT x.* FROM x LEFT JOIN longer USING (lang, phrase) WHERE b IS NULL OR 100 * b < 100 * a),
+cut AS (SELECT lang, phrase, a, c, array_to_string(ws[1:c], ' ') AS lp, array_to_string(ws[c + 1:], ' ') AS rp FROM (SELECT *, unnest(range(1, k)) AS c FROM kept)),
+s AS (SELECT cut.lang, cut.phrase, cut.a, cut.c, fl.a AS l, fr.a AS r, tot.n, CAST((CAST(1000 AS HUGEINT) * cut.a * tot.n) // (CAST(fl.a AS HUGEINT) * fr.a) AS BIGINT) AS score
+FROM cut JOIN f fl ON fl.lang = cut.lang AND fl.phrase = cut.lp JOIN f fr ON fr.lang = cut.lang AND fr.phrase = cut.rp JOIN tot ON tot.lang = cut.lang),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low) WHERE rank <= 2000
+"""
+
+#: Windows as joined words; the words of documents are sorted out by the first word of a window's length of text.
+DECONTAMINATE = rf"""
+WITH b AS (SELECT item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS MATERIALIZED (SELECT DISTINCT item_id, least(len(ws), 10) AS m, array_to_string(ws[i:i + 9], ' ') AS g FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+g AS (SELECT doc_id, m, i, array_to_string(ws[i:i + m - 1], ' ') AS g FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM win) WHERE len(ws) >= m)),
+occ AS MATERIALIZED (SELECT doc_id, i, g.m, item_id FROM g JOIN win ON win.m = g.m AND win.g = g.g),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS at FROM occ) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+def merkle_sql() -> str:
+    """Levels by a recursion over runs of two; the proof and the tampered root by one over the levels."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    leaf = lambda n: f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang'))} || {n} || {field('text')})"
+    crc = "4294967295 - list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_prepend(CAST(ascii(c) AS BIGINT), list_transform(range(8), lambda x: CAST(-1 AS BIGINT)))))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, coalesce('=' || lang, '') AS part, {leaf(field('n_chars'))} AS leaf, {leaf(field(f'(n_chars + CASE WHEN ({crc}) % 7 = 0 THEN 1 ELSE 0 END)'))} AS forged FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY part) AS m FROM d),
+t AS (SELECT part, 0 AS lev, pos, m, leaf AS node FROM p UNION ALL
+SELECT part, lev + 1, pos // 2, (m + 1) // 2, sha256(min(CASE WHEN pos % 2 = 0 THEN node END) || coalesce(min(CASE WHEN pos % 2 = 1 THEN node END), '')) FROM t WHERE m > 1 GROUP BY part, lev, pos // 2, m),
+subs AS MATERIALIZED (SELECT part, node, row_number() OVER (ORDER BY part) - 1 AS pos, count(*) OVER () AS m FROM t WHERE m = 1),
+u AS (SELECT 0 AS lev, pos, m, node FROM subs UNION ALL
+SELECT lev + 1, pos // 2, (m + 1) // 2, sha256(min(CASE WHEN pos % 2 = 0 THEN node END) || coalesce(min(CASE WHEN pos % 2 = 1 THEN node END), '')) FROM u WHERE m > 1 GROUP BY lev, pos // 2, m),
+low AS MATERIALIZED (SELECT p.part, p.pos, t.lev AS lev, (p.pos >> t.lev) & 1 AS odd, s.node AS sib FROM p JOIN (SELECT DISTINCT part, lev FROM t WHERE m > 1) t ON t.part = p.part LEFT JOIN t s ON s.part = p.part AND s.lev = t.lev AND s.pos = xor(p.pos >> t.lev, 1)),
+high AS MATERIALIZED (SELECT subs.part, 100 + u.lev AS lev, (subs.pos >> u.lev) & 1 AS odd, s.node AS sib FROM subs JOIN (SELECT DISTINCT lev FROM u WHERE m > 1) u ON true LEFT JOIN u s ON s.lev = u.lev AND s.pos = xor(subs.pos >> u.lev, 1)),
+way AS MATERIALIZED (SELECT part, pos, list(CASE odd WHEN 1 THEN 'l' ELSE 'r' END || coalesce(sib, '') ORDER BY lev) AS path FROM (SELECT * FROM low UNION ALL SELECT p.part, p.pos, high.lev, odd, sib FROM p JOIN high ON high.part = p.part) GROUP BY part, pos),
+r AS (SELECT p.doc_id, leaf, subs.node AS subroot, (SELECT node FROM u WHERE m = 1) AS root, sha256(array_to_string(list_transform(coalesce(path, []), lambda x: x[2:]), '')) AS proof_sha256,
+list_reduce(list_prepend(forged, coalesce(path, [])), lambda c, x: CASE WHEN x[1] = 'l' THEN sha256(x[2:] || c) ELSE sha256(c || x[2:]) END) AS folded_root FROM p JOIN subs USING (part) LEFT JOIN way ON way.part = p.part AND way.pos = p.pos)
+SELECT *, folded_root = root AS verified FROM r
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import fingerprints, jaccard, langid, links, media, mixing, oracles, packing, sharding, substrings, surrogates
+from framewright.llm import collocations, decontaminate, fingerprints, jaccard, langid, links, media, merkle, mixing, oracles, packing, sharding, substrings, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": substrings.op1_substrings,
@@ -19,7 +19,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": langid.op8_language,
     "op9_sharding": sharding.op9_sharding,
     "op10_media": media.op10_media,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_decontaminate": decontaminate.op12_decontaminate,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 #: op1 in SQL took 100 s on 1000 documents, so it has none; the others without SQL are random, learned, hashed or use tokenizers.
-ORACLE: dict[str, str] = {"op5_jaccard": oracles.JACCARD, "op6_links": oracles.link_sql()}
+ORACLE: dict[str, str] = {
+    "op5_jaccard": oracles.JACCARD,
+    "op6_links": oracles.link_sql(),
+    "op11_collocations": oracles.COLLOCATIONS,
+    "op12_decontaminate": oracles.DECONTAMINATE,
+    "op13_merkle": oracles.merkle_sql(),
+}
