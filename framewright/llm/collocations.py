@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from framewright.llm.common import materialize, table
-from framewright.llm.words import byte_kinds, chunks, mixed, name_hashes, split_words
+from framewright.llm.words import Words, byte_kinds, chunks, mixed, name_hashes, split_words
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 SHARE = 100
 FILTER_BITS = 1 << 26
+CHUNK = 6 << 20
 STRIPE = 4096
 KINDS = byte_kinds(b"\x20\x09", b".,;:!?\n\x0b\x0c\r")
 SCORE = "1000BD * (cast(a as decimal(17,0)) * cast(n as decimal(17,0))) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))"
@@ -44,58 +45,77 @@ def _stripes(k: int, bitmap, longest: int) -> Callable[[Iterator[pa.RecordBatch]
     """Stripes of prefixes of k - 1 words; bitmap: broadcast, of the frequent phrases of k - 1 words (none at k = 1); longest: of a stripe's part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK):
             words = split_words(batch.column("text"), KINDS)
-            if len(words.ids):
+            if len(words):
                 yield from _counted(words, batch.column("lang").dictionary_encode(), k, None if bitmap is None else bitmap.value, longest)
 
     return run
 
 
-def _counted(words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray | None, longest: int) -> Iterator[pa.RecordBatch]:
+def _known(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have both their bits set."""
+    out = np.ones(len(hashes), bool)
+    live = slice(None)
+    for bits in _bits(hashes, 8 * len(bitmap)):
+        bits = bits[live]
+        out[live] = (bitmap[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        live = np.flatnonzero(out)
+    return out
+
+
+def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray | None, longest: int) -> Iterator[pa.RecordBatch]:
     lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.row]
-    n, size = len(words.ids), len(words.names) + 1
-    nothing = size - 1  # stands for no word: the prefix itself
-    if k == 1:
-        at, prefix = np.arange(n), lang
-        follows = np.ones(n, bool)
-    else:
+    n = len(words)
+    at, follows = np.arange(n), np.ones(n, bool)  # where prefixes start, and whether a word that counts comes after
+    if k > 1:
         if n < k - 1:
             return
-        hashes = name_hashes(words.names.to_pylist())[words.ids]
-        state = name_hashes([x.encode() for x in langs.dictionary.to_pylist()])[lang][: n - k + 2]
+        hashes = words.hashes()
+        state = name_hashes([x.encode() for x in langs.dictionary.to_pylist()])[lang[: n - k + 2]]
         for j in range(k - 1):
             state = mixed(state, hashes[j : n - k + 2 + j])
-        low, high = _bits(state, 8 * len(bitmap))
-        ok = (bitmap[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & (bitmap[high >> np.uint64(3)] >> (high & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        ok &= words.piece[: n - k + 2] == words.piece[k - 2 :]
+        ok = (words.piece[: n - k + 2] == words.piece[k - 2 :]) & _known(bitmap, state)
         at = np.flatnonzero(ok)
         follows = np.zeros(len(at), bool)
         inside = at + k - 1 < n
         follows[inside] = ok[at[inside] + 1] & (words.piece[at[inside]] == words.piece[at[inside] + k - 1])
-        prefix = lang[at] * size + words.ids[at]
-        for j in range(1, k - 1):
-            prefix = np.unique(prefix, return_inverse=True)[1] * size + words.ids[at + j]
-        prefix = np.unique(prefix, return_inverse=True)[1]
     if not len(at):
         return
-    key, first, count = np.unique(prefix[follows] * size + words.ids[(at[follows] + max(k - 1, 0))], return_index=True, return_counts=True)
-    whole, where, total = np.unique(prefix, return_index=True, return_counts=True)
-    first = at[follows][first]
-    keys = np.concatenate([key, whole * size + nothing])
-    first, count = np.concatenate([first, at[where]]), np.concatenate([count, total])
+    used = np.zeros(n + 1, bool)
+    for j in range(k - 1):
+        used[at + j] = True
+    after = at[follows] + max(k - 1, 0)
+    used[after] = True
+    places = np.flatnonzero(used)
+    names, coded = words.coded(places)
+    ids = np.zeros(n + 1, np.int64)
+    ids[places] = coded
+    size = len(names) + 1
+    nothing = size - 1  # stands for no word: the prefix itself
+    prefix = lang[at] * size + ids[at] if k > 1 else lang
+    for j in range(1, k - 1):
+        prefix = np.unique(prefix, return_inverse=True)[1] * size + ids[at + j]
+    if k > 2:
+        prefix = np.unique(prefix, return_inverse=True)[1]
+    where = np.zeros(int(prefix.max()) + 1, np.int64)
+    where[prefix] = at  # some place of each prefix
+    key, count = np.unique(prefix[follows] * size + ids[after], return_counts=True)
+    total = np.bincount(prefix)
+    whole = np.flatnonzero(total)
+    keys, count = np.concatenate([key, whole * size + nothing]), np.concatenate([count, total[whole]])
     order = np.argsort(keys, kind="stable")
-    keys, first, count = keys[order], first[order], count[order]
+    keys, count = keys[order], count[order]
     owner, following = keys // size, keys % size
-    cut = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    place = np.arange(len(keys)) - np.repeat(cut, np.diff(np.append(cut, len(keys))))
+    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    place = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
     cut = np.flatnonzero(place % longest == 0)  # a long stripe travels in parts
-    names = pa.concat_arrays([words.names, pa.nulls(1, words.names.type)]).cast(pa.large_string())
+    names = pa.concat_arrays([names, pa.nulls(1, names.type)]).cast(pa.large_string())
     offsets = pa.array(np.append(cut, len(keys)).astype(np.int32))
-    heads = first[cut]
+    heads = where[owner[cut]]
     text = pa.array([""] * len(cut), pa.large_string())
     if k > 1:
-        parts = [names.take(pa.array(words.ids[heads + j])) for j in range(k - 1)]
+        parts = [names.take(pa.array(ids[heads + j])) for j in range(k - 1)]
         text = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 2 else parts[0]
     nexts = pa.ListArray.from_arrays(offsets, names.take(pa.array(following)).cast(pa.string()))
     counts = pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int64)))
@@ -112,13 +132,11 @@ def _set_bits(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for batch in batches:
             if not batch.num_rows:
                 continue
+            words = split_words(batch.column("phrase"), byte_kinds(b" "))
+            hashes = words.hashes().reshape(batch.num_rows, -1)
             state = name_hashes([x.encode() for x in batch.column("lang").to_pylist()])
-            phrases = [x.encode().split(b" ") for x in batch.column("phrase").to_pylist()]
-            known: dict[bytes, int] = {}
-            ids = np.array([[known.setdefault(w, len(known)) for w in p] for p in phrases])
-            hashes = name_hashes(list(known))
-            for j in range(ids.shape[1]):
-                state = mixed(state, hashes[ids[:, j]])
+            for j in range(hashes.shape[1]):
+                state = mixed(state, hashes[:, j])
             bits = np.unique(np.concatenate(_bits(state, size)))
             yield pa.record_batch([pa.array((bits >> np.uint64(5)).astype(np.int64)), pa.array(np.uint64(1) << (bits & np.uint64(31))).cast(pa.int64())], ["word", "bits"])
 

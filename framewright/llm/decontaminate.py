@@ -92,8 +92,9 @@ def load_block(pieces: DataFrame, block: int, window: int = WINDOW) -> Block:
 
 def _runs(words: Words, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The places of the words of kept runs, whether a run ends at each, and their numbers in the block."""
-    number = pc.index_in(words.names, value_set=block.names).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    ids = number[words.ids] if len(words.ids) else words.ids
+    names, ids = words.coded()
+    number = pc.index_in(names, value_set=block.names).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    ids = number[ids] if len(ids) else ids
     n = len(ids)
     linked = np.zeros(n, bool)  # to the word after
     both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0) & (words.row[:-1] == words.row[1:])) if n else np.zeros(0, np.int64)

@@ -40,14 +40,16 @@ def random_texts(seed: int, n: int, vocabulary: str = "a b C é. d\t,x") -> list
 
 
 def test_words_match_a_pattern():
-    texts = [None, "", "A b", " .x.é  y\n", "Z"] + random_texts(1, 50)
+    texts = [None, "", "A b", " .x.é  y\n", "Z"] + random_texts(1, 50) + ["x" * n + " " + "y" * n for n in (7, 8, 9, 16, 17, 4000)]
     found = words.split_words(pa.array(texts, pa.string()).slice(1), collocations.KINDS)
-    names = found.names.to_pylist()
+    names, ids = found.coded()
+    names = names.to_pylist()
+    assert len({(h, i) for h, i in zip(found.hashes().tolist(), ids.tolist())}) == len(names) == len(set(found.hashes().tolist()))
     for r, text in enumerate(texts[1:]):
         own = found.row == r
-        assert [names[i].decode() for i in found.ids[own]] == re.findall(r"[^\x20\x09.,;:!?\n-\r]+", text.translate(LOWER))
+        assert [names[i].decode() for i in ids[own]] == re.findall(r"[^\x20\x09.,;:!?\n-\r]+", text.translate(LOWER))
         raw = text.translate(LOWER).encode()
-        assert [raw[a:b] for a, b in zip(found.start[own], found.end[own])] == [names[i] for i in found.ids[own]]
+        assert [raw[a:b] for a, b in zip(found.start[own], found.end[own])] == [names[i] for i in ids[own]]
 
 
 def test_chunks_keep_rows_and_bound():
