@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from framewright.functions import text as txt
 from framewright.operators import documents as docs_ops
-from framewright.operators import energy, folds, intervals, layout, series
+from framewright.operators import energy, folds, intervals, layout, scans, series
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
+#: Cells of two-level scans: of the time axis, and of numbered rows.
+CELL, CELL_ROWS = 32 * DAY, 4096
 STEM = {"click": "vocals", "view": "drums", "purchase": "bass", "signup": "other"}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,8 +48,8 @@ def events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
 
 
 def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = intervals.boundaries_to_intervals(events(spark, sf_dir, "signup"), "video_id", "t", "event_id")
-    return intervals.number_intervals(held.select("video_id", "start", "end"), "video_id")
+    held = intervals.boundaries_to_intervals(events(spark, sf_dir, "signup").select("video_id", "t", "event_id"), "video_id", "t", "event_id", width=CELL)
+    return intervals.number_intervals(held.select("video_id", "start", "end"), "video_id", width=CELL)
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +74,8 @@ typed AS (SELECT video_id, id, CASE WHEN vocals > 0.5 THEN 'dialogue' WHEN drums
 @query(f"""WITH {EV}, iv AS (SELECT video_id, t AS st, lead(t) OVER (PARTITION BY video_id ORDER BY t, event_id) AS en FROM ev WHERE event_type = 'signup')
 SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY st, en) AS id, st AS start_us, en AS end_us, en - st AS dur_us FROM iv WHERE en - st >= {6 * HOUR}""")
 def shot_intervals(spark, d):
-    held = intervals.boundaries_to_intervals(events(spark, d, "signup"), "video_id", "t", "event_id").select("video_id", "start", "end")
-    kept = intervals.number_intervals(held, "video_id", F.lit(6 * HOUR))
+    held = intervals.boundaries_to_intervals(events(spark, d, "signup").select("video_id", "t", "event_id"), "video_id", "t", "event_id", width=CELL).select("video_id", "start", "end")
+    kept = intervals.number_intervals(held, "video_id", F.lit(6 * HOUR), CELL)
     return kept.select("video_id", "id", F.col("start").alias("start_us"), F.col("end").alias("end_us"), (F.col("end") - F.col("start")).alias("dur_us"))
 
 
@@ -141,8 +143,7 @@ def shot_zones(spark, d):
 @query(f"""WITH {SHOTS} SELECT e.video_id, e.event_id, EXISTS (SELECT 1 FROM shots s WHERE s.video_id = e.video_id AND e.t BETWEEN s.st AND s.st + {6 * HOUR}) AS in_zone FROM ev e WHERE e.event_type = 'view'""")
 def zone_membership(spark, d):
     views, zones = events(spark, d, "view"), shot_zones(spark, d)
-    inside = intervals.in_zone(views, zones, "video_id", "t", width=DAY).select("video_id", "event_id", F.lit(True).alias("in_zone"))
-    return inside.unionByName(intervals.in_zone(views, zones, "video_id", "t", False, DAY).select("video_id", "event_id", F.lit(False).alias("in_zone")))
+    return intervals.zone_flags(views.select("video_id", "event_id", "t"), zones, "video_id", "t", CELL).drop("t")
 
 
 @query(f"""WITH RECURSIVE {EV}, seq AS (SELECT video_id, t, row_number() OVER (PARTITION BY video_id ORDER BY t) AS i, count(*) OVER w AS k, max(t) OVER w AS mx FROM ev WHERE event_type = 'click' WINDOW w AS (PARTITION BY video_id ORDER BY t RANGE BETWEEN CURRENT ROW AND {36 * HOUR - 1} FOLLOWING)),
@@ -165,7 +166,7 @@ f AS (SELECT video_id, list_reduce(list([struct_pack(t := t, z := z)] ORDER BY t
 u AS (SELECT video_id, unnest(m) AS k FROM f) SELECT video_id, k.t AS t, k.z AS in_zone FROM u""")
 def zone_min_gap(spark, d):
     cuts, zones = events(spark, d, "click"), shot_zones(spark, d)
-    flagged = intervals.in_zone(cuts, zones, "video_id", "t", width=DAY).withColumn("in_zone", F.lit(True)).unionByName(intervals.in_zone(cuts, zones, "video_id", "t", False, DAY).withColumn("in_zone", F.lit(False)))
+    flagged = intervals.zone_flags(cuts.select("video_id", "t"), zones, "video_id", "t", CELL)
     return folds.zone_min_gap(flagged, "video_id", "t", "in_zone", 3 * HOUR, 12 * HOUR)
 
 
@@ -197,7 +198,7 @@ def long_shots(spark, d):
     lim = events(spark, d).groupBy("video_id").agg(F.min("t").alias("s"), F.max("t").alias("e"))
     ends = lim.select("video_id", F.explode(F.array("s", "e")).alias("t"))
     bounds = events(spark, d, "signup").select("video_id", "t").unionByName(ends).distinct()
-    return intervals.boundaries_to_intervals(bounds, "video_id", "t").where(F.col("end") - F.col("start") >= 3 * DAY).select("video_id", "start", "end")
+    return intervals.boundaries_to_intervals(bounds, "video_id", "t", width=CELL).where(F.col("end") - F.col("start") >= 3 * DAY).select("video_id", "start", "end")
 
 
 # Similarity series ---------------------------------------------------------------------------------
@@ -240,8 +241,7 @@ SERIES = f"WITH {EV}, s AS (SELECT *, row_number() OVER (PARTITION BY video_id O
 
 
 def value_series(spark, d):
-    n = F.row_number().over(W.partitionBy("video_id").orderBy("t", "event_id")).cast("long")
-    return events(spark, d).withColumn("n", n)
+    return scans.numbered(events(spark, d), ["video_id"], ["t", "event_id"], CELL)
 
 
 VALLEY = """v AS (SELECT *, coalesce(value < 50 AND value <= min(value) OVER l AND value <= min(value) OVER r AND count(value) OVER l >= 3 AND count(value) OVER r >= 3, false) AS is_valley FROM s
@@ -254,13 +254,13 @@ w AS (SELECT *, CASE WHEN low THEN count(*) OVER (PARTITION BY video_id, low, is
 
 @query(f"{SERIES}, {VALLEY} SELECT video_id, event_id, value FROM v WHERE is_valley")
 def local_valley(spark, d):
-    return series.local_valley(value_series(spark, d), ["video_id"], ["n"], "value", 50).where("is_valley").select("video_id", "event_id", "value")
+    return series.local_valley(value_series(spark, d), ["video_id"], ["n"], "value", 50, width=CELL_ROWS).where("is_valley").select("video_id", "event_id", "value")
 
 
 @query(f"{SERIES}, {VALLEY}, {SHOULDER} SELECT video_id, event_id, value FROM h WHERE is_valley AND has_shoulders")
 def valley_shoulder(spark, d):
-    v = series.local_valley(value_series(spark, d), ["video_id"], ["n"], "value", 50)
-    return series.shoulders(v, ["video_id"], ["n"], "value", 150).where("is_valley AND has_shoulders").select("video_id", "event_id", "value")
+    v = series.local_valley(value_series(spark, d), ["video_id"], ["n"], "value", 50, width=CELL_ROWS)
+    return series.shoulders(v, ["video_id"], ["n"], "value", 150, width=CELL_ROWS).where("is_valley AND has_shoulders").select("video_id", "event_id", "value")
 
 
 @query(f"{SERIES}, {RUNS.format(src='s')} SELECT video_id, event_id, run_length FROM w")
@@ -269,8 +269,8 @@ def valley_width(spark, d):
 
 
 def candidates(spark, d):
-    v = series.local_valley(value_series(spark, d), ["video_id"], ["n"], "value", 50)
-    h = series.shoulders(v, ["video_id"], ["n"], "value", 150)
+    v = series.local_valley(value_series(spark, d), ["video_id"], ["n"], "value", 50, width=CELL_ROWS)
+    h = series.shoulders(v, ["video_id"], ["n"], "value", 150, width=CELL_ROWS)
     w = series.run_bounds(series.low_runs(h, ["video_id"], ["n"], "value", 80), ["video_id"], "n", "value", 80)
     return w.where("is_valley AND has_shoulders AND run_length < 30").select("video_id", F.col("event_id").alias("cand"), "t", "n", "vs", "ve")
 
@@ -544,6 +544,21 @@ def shot_navigation(spark, d):
     return layout.neighbours(shots(spark, d), "video_id").select("video_id", "id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("prev_id", "next_id")])
 
 
+#: The exact value of a double, in units of 2**-60, is a whole number here.
+EXACT = "CAST(x * 1152921504606846976.0 AS HUGEINT) * {scale}"
+
+
+@query(f"""WITH x AS (SELECT event_id, CAST(event_id % 4000 AS DOUBLE) / 200 AS x FROM events), p AS (SELECT event_id, {EXACT.format(scale=100)} AS p2, {EXACT.format(scale=10)} AS p1, CAST(1152921504606846976 AS HUGEINT) AS u FROM x),
+q AS (SELECT event_id, p2 // u AS q2, p2 % u AS r2, p1 // u AS q1, p1 % u AS r1, u FROM p)
+SELECT event_id, CAST(q2 + CASE WHEN 2 * r2 > u OR (2 * r2 = u AND q2 % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 100 AS hundredths, CAST(q1 + CASE WHEN 2 * r1 > u OR (2 * r1 = u AND q1 % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 10 AS tenths FROM q""")
+def exact_rounding(spark, d):
+    """Steps of 0.005 to hundredths and tenths, by the exact value of the double."""
+    from framewright.functions.rounding import round_exact
+
+    x = (F.col("event_id") % 4000).cast("double") / 200
+    return table(spark, d, "events").select("event_id", round_exact(x, 2).alias("hundredths"), round_exact(x, 1).alias("tenths"))
+
+
 # Streams -----------------------------------------------------------------------------------------------------
 
 
@@ -561,7 +576,7 @@ def stream_current_shot(spark, d):
 
     clicks = read_stream(spark, f"{d}/events.parquet").where("event_type = 'click'")
     timed = clicks.select("event_id", F.col("user_id").alias("video_id"), F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").alias("t"))
-    return drained(interval_stream(timed, shots(spark, d), "video_id", "t").select("event_id", "id"), "append")
+    return drained(interval_stream(timed, shots(spark, d), "video_id", "t", DAY).select("event_id", "id"), "append")
 
 
 @query(ORACLE["lag15_pearson"])
@@ -573,6 +588,35 @@ def stream_lag15_pearson(spark, d):
     return sim.select("label", "vec_id", F.round("sim", 6).alias("sim"))
 
 
+def timed_stream(spark, d, event_type):
+    from framewright.streaming.buckets import read_stream
+
+    t = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
+    held = read_stream(spark, f"{d}/events.parquet").where(F.col("event_type") == event_type)
+    return held.select("event_id", F.col("user_id").alias("video_id"), t.alias("t"), "value", "props")
+
+
+@query(ORACLE["burst_zones"])
+def stream_burst_zones(spark, d):
+    from framewright.streaming.buckets import drained, ended
+    from framewright.streaming.timers import burst_stream
+
+    cuts = ended(timed_stream(spark, d, "click").select("video_id", "t"), "video_id", "t")
+    return drained(burst_stream(cuts, "video_id", "t", 36 * HOUR, 3, HOUR, 2 * HOUR), "append")
+
+
+@query(ORACLE["caption_asof"])
+def stream_caption_asof(spark, d):
+    from framewright.streaming.buckets import drained, ended
+    from framewright.streaming.timers import caption_stream
+
+    length = F.floor(F.col("value") * 1000000).cast("long")
+    seg = timed_stream(spark, d, "click").select("video_id", F.col("t").alias("start"), (F.col("t") + length).alias("end"), F.col("props").alias("text"))
+    probes = timed_stream(spark, d, "purchase").select("video_id", "event_id", "t")
+    found = caption_stream(probes, ended(seg, "video_id", "end"), "video_id", "t", "event_id", HOUR)
+    return drained(found, "append").select("video_id", "event_id", "t", "text")
+
+
 # Report rules ------------------------------------------------------------------------------------------------
 
 
@@ -626,7 +670,7 @@ SELECT video_id, st AS start, en AS "end" FROM sc WHERE en IS NOT NULL AND NOT E
 UNION ALL SELECT video_id, st, en FROM pa WHERE n > 2 AND en IS NOT NULL""")
 def long_scene_parts(spark, d):
     """Scenes between signups; those of over three days give way to their parts between clicks, where a click lies inside."""
-    scenes = intervals.boundaries_to_intervals(events(spark, d, "signup").select("video_id", "t").distinct(), "video_id", "t").select("video_id", "start", "end")
+    scenes = intervals.boundaries_to_intervals(events(spark, d, "signup").select("video_id", "t").distinct(), "video_id", "t", width=CELL).select("video_id", "start", "end")
     long = scenes.where(F.col("end") - F.col("start") > 3 * DAY)
     inner = intervals.point_in_interval(events(spark, d, "click").select("video_id", "t").distinct(), long, "video_id", "t", DAY).where(F.col("t") > F.col("start"))
     ends = long.select("video_id", F.col("start").alias("of_start"), F.explode(F.array("start", "end")).alias("t"))

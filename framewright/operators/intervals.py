@@ -1,7 +1,8 @@
 """Intervals on a time axis per video: construction, membership, bands, as-of lookups and positions.
 
 Times are BIGINT microseconds or DOUBLE seconds alike. Every join has the video as its key; where a single video
-may hold very many rows, `width` adds a bucket of time to the key, so that its rows spread over tasks.
+may hold very many rows, `width` adds cells of time to the key, so that its rows spread over tasks: intervals lie in the nodes of a binary hierarchy of
+cells (twice as many at most as the logarithm of their cells), and a point probes its node on each level that is in use. Orders of a video are scanned in two levels.
 """
 
 from __future__ import annotations
@@ -9,9 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from framewright.operators.scans import Scan, numbered, scans
 
-def boundaries_to_intervals(points: DataFrame, key: str, t: str, *ties: str) -> DataFrame:
+
+def boundaries_to_intervals(points: DataFrame, key: str, t: str, *ties: str, width: float | None = None) -> DataFrame:
     """Consecutive points as [start, end); the last point of a key starts none."""
+    if width is not None:
+        after = scans(points, [key], [t, *ties], width, __end=Scan("nearest", F.col(t), forward=False))
+        return after.withColumn("start", F.col(t)).withColumn("end", F.col("__end")).where(F.col("end").isNotNull()).drop("__end")
     order = W.partitionBy(key).orderBy(t, *ties)
     return points.withColumn("start", F.col(t)).withColumn("end", F.lead(t).over(order)).where(F.col("end").isNotNull())
 
@@ -22,24 +28,48 @@ def with_sentinels(cuts: DataFrame, durations: DataFrame, key: str, t: str, zero
     return cuts.select(key, t).unionByName(ends).distinct()
 
 
-def number_intervals(intervals: DataFrame, key: str, least: Column | None = None) -> DataFrame:
+def number_intervals(intervals: DataFrame, key: str, least: Column | None = None, width: float | None = None) -> DataFrame:
     """Dense ids from 1 in order of start; intervals below the least length are dropped, not merged."""
     kept = intervals if least is None else intervals.where(F.col("end") - F.col("start") >= least)
+    if width is not None:
+        return numbered(kept, [key], ["start", "end"], width, "id")
     return kept.withColumn("id", F.row_number().over(W.partitionBy(key).orderBy("start", "end")).cast("long"))
 
 
-def _keyed(points: DataFrame, intervals: DataFrame, key: str, t: str, width: int | None) -> tuple[DataFrame, DataFrame, list[str]]:
+def cell_nodes(low: Column, high: Column, width: float) -> Column:
+    """The nodes (level, cell) of a binary hierarchy that make up the cells, `width` long, of the closed interval [low, high]: at most two a level. Node c of level k is the cells c * 2**k up to the next."""
+    first, end = F.floor(low / width).cast("long"), F.floor(high / width).cast("long") + 1
+
+    def of(k: Column) -> Column:
+        left, right = -F.call_function("shiftright", -first, k), F.call_function("shiftright", end, k)
+        node = lambda c, odd: F.when((left < right) & (F.pmod(odd, F.lit(2)) == 1), F.struct(k.alias("level"), c.alias("cell")))
+        return F.array(node(left, left), node(right - 1, right))
+
+    levels = F.sequence(F.lit(0), F.length(F.bin(end - first)))
+    return F.when(end > first, F.array_compact(F.flatten(F.transform(levels, of))))
+
+
+def spread_nodes(points: DataFrame, t: Column, intervals: DataFrame, low: Column, high: Column, width: float | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Points and closed intervals with the node that they share as further keys of their join; a point meets an interval in one node at most. Without a width a single node.
+
+    The levels in use, at most 64 numbers, are looked up at once.
+    """
     if width is None:
-        return points, intervals, [key]
-    span = F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))
-    spread = intervals.where(F.col("end") > F.col("start")).withColumn("__bucket", F.explode(span))
-    return points.withColumn("__bucket", F.floor(F.col(t) / width)), spread, [key, "__bucket"]
+        return points.withColumn("__cell", F.lit(0)), intervals.withColumn("__cell", F.lit(0)), ["__cell"]
+    spread = intervals.withColumn("__node", F.explode(cell_nodes(low, high, width)))
+    spread = spread.withColumns({"__level": F.col("__node.level"), "__cell": F.col("__node.cell")}).drop("__node")
+    used = sorted(r[0] for r in spread.select("__level").distinct().collect())
+    own = F.floor(t / width).cast("long")
+    probes = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(own, k).alias("cell")) for k in used]).cast("array<struct<level:int,cell:bigint>>")
+    probed = points.withColumn("__node", F.explode(probes)).withColumns({"__level": F.col("__node.level"), "__cell": F.col("__node.cell")}).drop("__node")
+    return probed, spread, ["__level", "__cell"]
 
 
 def point_in_interval(points: DataFrame, intervals: DataFrame, key: str, t: str, width: int | None = None, first: list[str] | None = None) -> DataFrame:
     """points with the interval that holds t in [start, end); `first` names the point's identity where intervals may overlap: the earliest wins."""
-    p, i, on = _keyed(points, intervals, key, t, width)
-    found = p.join(i, on).where((F.col(t) >= F.col("start")) & (F.col(t) < F.col("end"))).drop("__bucket")
+    live = intervals.where(F.col("end") > F.col("start"))
+    p, i, node = spread_nodes(points, F.col(t), live, F.col("start"), F.col("end"), width)
+    found = p.join(i, [key, *node]).where((F.col(t) >= F.col("start")) & (F.col(t) < F.col("end"))).drop(*node)
     if first is None:
         return found
     nth = F.row_number().over(W.partitionBy(key, *first).orderBy("start", "end"))
@@ -59,7 +89,7 @@ def band(a: DataFrame, b: DataFrame, key: str, t: str, tolerance: float, inside:
 
 
 def _cells(low: Column, high: Column, width: float) -> Column:
-    """The cells of an axis, `width` long, that the closed interval [low, high] touches; none for an empty one."""
+    """The cells of an axis, `width` long, that the closed interval [low, high] touches; none for an empty one. For intervals of a bounded number of cells."""
     first, last = F.floor(low / width), F.floor(high / width)
     return F.when(last >= first, F.sequence(first, last))
 
@@ -71,12 +101,20 @@ def spread_cells(points: DataFrame, t: Column, intervals: DataFrame, low: Column
     return points.withColumn("__cell", F.floor(t / width)), intervals.withColumn("__cell", F.explode(_cells(low, high, width))), ["__cell"]
 
 
+def zone_flags(points: DataFrame, zones: DataFrame, key: str, t: str, width: float, out: str = "in_zone") -> DataFrame:
+    """Adds whether t lies in some closed zone [zs, ze] of the key: the furthest end of the zones that have started is not before it. A zone is one row however long it is."""
+    p = points.withColumns({"__at": F.col(t), "__side": F.lit(1)})
+    z = zones.where(F.col("zs").isNotNull() & F.col("ze").isNotNull() & F.col(key).isNotNull()).select(key, F.col("zs").alias("__at"), F.lit(0).alias("__side"), F.col("ze").alias("__ze"))
+    seen = scans(p.unionByName(z, allowMissingColumns=True), [key], ["__at", "__side"], width, __top=Scan("max", F.col("__ze"))).where("__side = 1")
+    return seen.select(*points.columns, F.coalesce(F.col("__top") >= F.col(t), F.lit(False)).alias(out))
+
+
 def in_zone(points: DataFrame, zones: DataFrame, key: str, t: str, inside: bool = True, width: float | None = None) -> DataFrame:
     """Rows whose t lies in some closed zone [zs, ze] of the key, or in none."""
-    p, z, _ = spread_cells(points, F.col(t), zones.select(F.col(key).alias("__k"), "zs", "ze"), F.col("zs"), F.col("ze"), width)
-    z = z.withColumnRenamed("__cell", "__c")
-    meets = (F.col(key) == F.col("__k")) & (F.col("__cell") == F.col("__c")) & (F.col(t) >= F.col("zs")) & (F.col(t) <= F.col("ze"))
-    return p.join(z, meets, "left_semi" if inside else "left_anti").drop("__cell")
+    if width is not None:
+        return zone_flags(points, zones, key, t, width, "__in").where(F.col("__in") == inside).drop("__in")
+    z = zones.select(F.col(key).alias("__k"), "zs", "ze")
+    return points.join(z, (F.col(key) == F.col("__k")) & (F.col(t) >= F.col("zs")) & (F.col(t) <= F.col("ze")), "left_semi" if inside else "left_anti")
 
 
 def as_of(probes: DataFrame, segments: DataFrame, key: str, t: str, probe_id: str, width: int | None = None) -> DataFrame:
@@ -103,7 +141,7 @@ def as_of(probes: DataFrame, segments: DataFrame, key: str, t: str, probe_id: st
 def position_of_time(times: DataFrame, layout: DataFrame, key: str, t: str, probe_id: str, width: float | None = None) -> DataFrame:
     """Linear position of t in layout (key, start, end, y_start, y_end, total, last_end), first closed interval first; beyond the end the total, in gaps 0."""
     bounds = layout.groupBy(key).agg(F.max("last_end").alias("__end"), F.max("total").alias("__total"))
-    p, i, cell = spread_cells(times, F.col(t), layout.drop("total", "last_end"), F.col("start"), F.col("end"), width)
+    p, i, cell = spread_nodes(times, F.col(t), layout.drop("total", "last_end"), F.col("start"), F.col("end"), width)
     inside = p.join(i, [key, *cell]).where((F.col(t) >= F.col("start")) & (F.col(t) <= F.col("end")))
     y = F.col("y_start") + F.try_divide((F.col(t) - F.col("start")) * (F.col("y_end") - F.col("y_start")), F.col("end") - F.col("start"))
     best = inside.groupBy(key, probe_id).agg(F.min_by(y, F.struct("start", "end")).alias("__y"))
@@ -113,7 +151,7 @@ def position_of_time(times: DataFrame, layout: DataFrame, key: str, t: str, prob
 def time_of_position(places: DataFrame, layout: DataFrame, key: str, y: str, probe_id: str, width: float | None = None) -> DataFrame:
     """The inverse: below 0 the time 0, past the layout its end. width is a length of the layout."""
     bounds = layout.groupBy(key).agg(F.max("last_end").alias("__end"))
-    p, i, cell = spread_cells(places, F.col(y), layout.drop("total", "last_end"), F.col("y_start"), F.col("y_end"), width)
+    p, i, cell = spread_nodes(places, F.col(y), layout.drop("total", "last_end"), F.col("y_start"), F.col("y_end"), width)
     inside = p.join(i, [key, *cell]).where((F.col(y) >= F.col("y_start")) & (F.col(y) <= F.col("y_end")))
     t = F.col("start") + F.try_divide((F.col(y) - F.col("y_start")) * (F.col("end") - F.col("start")), F.col("y_end") - F.col("y_start"))
     best = inside.groupBy(key, probe_id).agg(F.min_by(t, F.struct("y_start", "y_end")).alias("__t"))

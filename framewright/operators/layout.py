@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from framewright.operators.scans import Scan, scans
+
 PIXELS, LEAST_HEIGHT, TICK, TILE = 396.0, 280.0, 10, 60_000
 
 
-def offsets(shots: DataFrame, key: str, duration: Column, pixels: float = PIXELS, least: float = LEAST_HEIGHT) -> DataFrame:
-    """Adds h, y_start, y_end and total: heights proportional to the duration with a floor, stacked in order of id."""
-    order = W.partitionBy(key).orderBy("id")
+def offsets(shots: DataFrame, key: str, duration: Column, pixels: float = PIXELS, least: float = LEAST_HEIGHT, width: int = 4096) -> DataFrame:
+    """Adds h, y_start, y_end and total: heights proportional to the duration with a floor, stacked in order of id, `width` ids to a cell."""
     tall = shots.withColumn("h", F.greatest(duration * pixels, F.lit(least)))
-    top = F.coalesce(F.sum("h").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    return tall.withColumn("y_start", top).withColumn("y_end", top + F.col("h")).withColumn("total", F.sum("h").over(W.partitionBy(key)))
+    stacked = scans(tall, [key], ["id"], width, y_start=Scan("sum", F.col("h")))
+    total = tall.groupBy(F.col(key).alias("__k")).agg(F.sum("h").alias("total"))
+    return stacked.withColumns({"y_start": F.col("y_start").cast("double"), "y_end": F.col("y_start") + F.col("h")}).join(total, F.col(key).eqNullSafe(F.col("__k"))).drop("__k")
 
 
 def ticks(durations: DataFrame, key: str, every: int = TICK) -> DataFrame:

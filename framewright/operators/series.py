@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from framewright.functions.arrays import cosine, pearson
-from framewright.operators.intervals import spread_cells, near_points
+from framewright.operators.intervals import near_points, spread_cells
+from framewright.operators.scans import numbered, runs, with_halo
+
+CELL_ROWS = 4096
 
 
 def lag_similarity(frames: DataFrame, keys: list[str], frame: str, hist: str, lag: int, kind: str, flat: float | None = None) -> DataFrame:
@@ -22,36 +25,37 @@ def _rows(keys: list[str], order: list[str], low: int, high: int) -> object:
     return W.partitionBy(*keys).orderBy(*order).rowsBetween(low, high)
 
 
-def local_valley(series: DataFrame, keys: list[str], order: list[str], value: str, below: float, left: int = 9, right: int = 8, least: int = 3) -> DataFrame:
+def _around(series: DataFrame, keys: list[str], order: list[str], left: int, right: int, width: int | None, added) -> DataFrame:
+    """Adds columns that look at `left` rows before and `right` after, given by added(keys). With a width the first column of the order numbers the rows without gaps, and the windows hold one cell of so many rows."""
+    if width is None:
+        return series.withColumns(added(keys))
+    near, cell = with_halo(series, keys, F.col(order[0]), width, left, right)
+    return near.withColumns(added(cell)).where("__own").drop("__own", "__cell")
+
+
+def local_valley(series: DataFrame, keys: list[str], order: list[str], value: str, below: float, left: int = 9, right: int = 8, least: int = 3, width: int | None = None) -> DataFrame:
     """Adds is_valley: below the threshold and no higher than the rows on both sides, of which there are enough; ties all count."""
-    l, r = _rows(keys, order, -left, -1), _rows(keys, order, 1, right)
     low = lambda w: F.coalesce(F.col(value) <= F.min(value).over(w), F.lit(False)) & (F.count(value).over(w) >= least)
-    return series.withColumn("is_valley", (F.col(value) < below) & low(l) & low(r))
+    added = lambda of: {"is_valley": (F.col(value) < below) & low(_rows(of, order, -left, -1)) & low(_rows(of, order, 1, right))}
+    return _around(series, keys, order, left, right, width, added)
 
 
-def shoulders(series: DataFrame, keys: list[str], order: list[str], value: str, above: float, left: int = 15, right: int = 14) -> DataFrame:
+def shoulders(series: DataFrame, keys: list[str], order: list[str], value: str, above: float, left: int = 15, right: int = 14, width: int | None = None) -> DataFrame:
     """Adds has_shoulders: some row on each side lies above the threshold."""
-    top = lambda low, high: F.coalesce(F.max(value).over(_rows(keys, order, low, high)) > above, F.lit(False))
-    return series.withColumn("has_shoulders", top(-left, -1) & top(1, right))
+    top = lambda of, low, high: F.coalesce(F.max(value).over(_rows(of, order, low, high)) > above, F.lit(False))
+    return _around(series, keys, order, left, right, width, lambda of: {"has_shoulders": top(of, -left, -1) & top(of, 1, right)})
 
 
-def low_runs(series: DataFrame, keys: list[str], order: list[str], value: str, below: float) -> DataFrame:
-    """Adds run_length: the length of the contiguous run of rows below the threshold that a low row lies in, else 0."""
-    low = F.col(value) < below
-    n = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    m = F.row_number().over(W.partitionBy(*keys, low).orderBy(*order))
-    islands = series.withColumn("__low", low).withColumn("__island", n - m)
-    size = F.count(F.lit(1)).over(W.partitionBy(*keys, "__low", "__island"))
-    return islands.withColumn("run_length", F.when(F.col("__low"), size).otherwise(F.lit(0)).cast("long")).drop("__low", "__island")
+def low_runs(series: DataFrame, keys: list[str], order: list[str], value: str, below: float, width: float = CELL_ROWS) -> DataFrame:
+    """Adds run_length: the length of the contiguous run of rows below the threshold that a low row lies in, else 0. Cells are `width` long on the first column of the order."""
+    named = numbered(series, keys, order, width, "__n")
+    found = runs(named, keys, "__n", F.col(value) < below, CELL_ROWS)
+    return found.select(*series.columns, F.coalesce(F.col("ve") - F.col("vs"), F.lit(0)).cast("long").alias("run_length"))
 
 
 def run_bounds(series: DataFrame, keys: list[str], n: str, value: str, below: float) -> DataFrame:
-    """Adds vs and ve: the first row number of a low row's run and the one after its last."""
-    low = F.col(value) < below
-    m = F.row_number().over(W.partitionBy(*keys, low).orderBy(n))
-    islands = series.withColumn("__low", low).withColumn("__island", F.col(n) - m)
-    w = W.partitionBy(*keys, "__low", "__island")
-    return islands.withColumn("vs", F.min(n).over(w)).withColumn("ve", F.max(n).over(w) + 1).drop("__low", "__island")
+    """Adds vs and ve: the first row number of a low row's run and the one after its last; rows are numbered without gaps."""
+    return runs(series, keys, n, F.col(value) < below, CELL_ROWS)
 
 
 def neighbourhood(candidates: DataFrame, frames: DataFrame, key: str, n: str, reach: int) -> DataFrame:

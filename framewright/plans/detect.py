@@ -14,6 +14,8 @@ from framewright.operators import folds, intervals, series
 
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
+HOUR = 60 * MINUTE
+CELL_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -58,23 +60,22 @@ def merge_cuts(psd: DataFrame, hist: DataFrame, s: Settings = Settings()) -> tup
     both = psd.select("video_id", "t", F.lit(True).alias("is_psd")).unionByName(hist.select("video_id", "t", F.lit(False).alias("is_psd")))
     one = both.groupBy("video_id", "t").agg(F.max("is_psd").alias("is_psd"))
     kept = folds.gap_dedupe(one, "video_id", "t", "is_psd", s.gap)
-    inside = intervals.in_zone(kept, zones, "video_id", "t", width=MINUTE).withColumn("in_zone", F.lit(True))
-    outside = intervals.in_zone(kept, zones, "video_id", "t", False, MINUTE).withColumn("in_zone", F.lit(False))
-    return folds.zone_min_gap(inside.unionByName(outside), "video_id", "t", "in_zone", s.gap_inside, s.gap_outside).select("video_id", "t"), zones
+    flagged = intervals.zone_flags(kept, zones, "video_id", "t", HOUR)
+    return folds.zone_min_gap(flagged, "video_id", "t", "in_zone", s.gap_inside, s.gap_outside).select("video_id", "t"), zones
 
 
 def long_shot_cuts(cuts: DataFrame, zones: DataFrame, durations: DataFrame, fine: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Changes of the fine series inside long shots that do not start in a burst."""
     bounds = intervals.with_sentinels(cuts, durations, "video_id", "t", F.lit(0).cast("long"))
-    spans = intervals.boundaries_to_intervals(bounds, "video_id", "t").where(F.col("end") - F.col("start") >= s.long_shot)
-    calm = intervals.in_zone(spans, zones, "video_id", "start", False, MINUTE).select("video_id", "start", "end")
+    spans = intervals.boundaries_to_intervals(bounds, "video_id", "t", width=HOUR).where(F.col("end") - F.col("start") >= s.long_shot)
+    calm = intervals.in_zone(spans, zones, "video_id", "start", False, HOUR).select("video_id", "start", "end")
     return intervals.point_in_interval(fine.where(F.col("sim") < s.fine), calm, "video_id", "t", MINUTE).where(F.col("t") > F.col("start")).select("video_id", "t")
 
 
 def dissolve_cuts(slow: DataFrame, frames: DataFrame, cuts: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Middles of gradual transitions: valleys of the lag series (video_id, n, t, sim) between steady, shifted and monotone colours (frames: video_id, n, b, g, r)."""
-    v = series.local_valley(slow, ["video_id"], ["n"], "sim", s.valley)
-    v = series.shoulders(v, ["video_id"], ["n"], "sim", s.shoulder)
+    v = series.local_valley(slow, ["video_id"], ["n"], "sim", s.valley, width=CELL_ROWS)
+    v = series.shoulders(v, ["video_id"], ["n"], "sim", s.shoulder, width=CELL_ROWS)
     v = series.run_bounds(series.low_runs(v, ["video_id"], ["n"], "sim", s.low), ["video_id"], "n", "sim", s.low)
     found = v.where("is_valley AND has_shoulders").where(F.col("run_length") / s.fps < 1.0)
     rounded = cuts.select("video_id", (F.round(F.col("t") / (SECOND // 10)) * (SECOND // 10)).cast("long").alias("t"))
@@ -101,7 +102,7 @@ def detect_shots(psd: DataFrame, coarse: DataFrame, fine: DataFrame, slow: DataF
     third = merged.unionByName(long_shot_cuts(merged, zones, durations, fine, s)).distinct()
     final = third.unionByName(dissolve_cuts(slow, frames, third, s)).distinct()
     bounds = intervals.with_sentinels(final, durations, "video_id", "t", F.lit(0).cast("long"))
-    shots = intervals.number_intervals(intervals.boundaries_to_intervals(bounds, "video_id", "t").select("video_id", "start", "end"), "video_id", F.lit(s.least_shot))
+    shots = intervals.number_intervals(intervals.boundaries_to_intervals(bounds, "video_id", "t", width=HOUR).select("video_id", "start", "end"), "video_id", F.lit(s.least_shot), HOUR)
     return shots.withColumn("duration", F.col("end") - F.col("start"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,7 +42,7 @@ def report(rows: DataFrame, title: str, body: Column, order: list[str], script:
 
 
 def write_files(files: DataFrame, folder: str) -> DataFrame:
-    """Write files (name, content) below a folder all executors share, unless they are there; one row a file: name, written."""
+    """Write files (name, content) below a folder all executors share, unless they are there; one row a file: name, written. A file appears whole, by a move; `files.save_files` commits all at once."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
@@ -51,8 +52,10 @@ def write_files(files: DataFrame, folder: str) -> DataFrame:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 there = fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound
                 if not there:
-                    with fs.open_output_stream(f"{root}/{name}") as f:
+                    aside = f"{root}/_aside-{uuid.uuid4().hex}"
+                    with fs.open_output_stream(aside) as f:
                         f.write(content)
+                    fs.move(aside, f"{root}/{name}")
                 new.append(not there)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.bool_())], names=["name", "written"])
 
