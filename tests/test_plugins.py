@@ -237,3 +237,16 @@ def test_numbers_not_clocks_decide(spark, tmp_path):
         log.commit("s", mark, f"/p{k}", k)
     assert log.latest() == {"s": ("c", "/p2")} and log.commit("s", "b", "/late", 0) == ("b", "/p1") and log.known().count() == 3
     assert np.array_equal(sorted(r["version"] for r in log.known().collect()), [1, 2, 3])
+
+
+def test_detect_takes_thresholds(spark, tmp_path, monkeypatch):
+    from framewright import __main__ as job
+    from framewright.plans.detect import SECOND, Settings
+
+    seen = []
+    monkeypatch.setattr(job, "detect_shots", lambda *tables: (seen.append(tables[-1]), spark.range(1))[1])
+    for name in ("psd", "coarse", "fine", "slow", "frames", "durations"):
+        spark.range(1).write.parquet(str(tmp_path / "in" / name))
+    job.main(["detect", str(tmp_path / "in"), str(tmp_path / "a")])
+    job.main(["detect", str(tmp_path / "in"), str(tmp_path / "b"), "--coarse", "0.8", "--gap-inside", "0.25", "--lag", "9", "--fps", "25"])
+    assert seen[0] == Settings() and seen[1] == Settings(coarse=0.8, gap_inside=SECOND // 4, lag=9, fps=25.0)
