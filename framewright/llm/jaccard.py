@@ -6,7 +6,8 @@ the same order are one class and are joined once. Each class's representative ha
 values, one per prefix trie. A trie lies sorted by label, so that what shares a prefix stands together. A document starts with its whole
 label and shortens the prefix until the chance that it meets a partner of the least similarity that its number of shingles
 allows at the threshold (1 below four shingles, as all must agree) reaches TARGET_RECALL over all trees; documents under one
-node of that depth are candidates. Boilerplate also brings together what is not alike, so pairs under a node must agree on enough of
+node of that depth are candidates. Of two documents the shorter prefix decides: a document also stands under the shorter prefixes of
+the sizes that a partner may have (only below some twenty shingles do sizes differ in their prefix). Boilerplate also brings together what is not alike, so pairs under a node must agree on enough of
 all TREES * DEPTH minhash values (six deviations below the threshold): an agreeing row keeps one edge to the least row it is connected to. Candidates' clusters are then
 verified exactly on whole shingle sets, in blocks of at most about BLOCK rows; a block reports its rows' links and one edge a row to
 the component it found, never its pairs. Nodes with many rows are compared in such blocks too.
@@ -58,6 +59,15 @@ def least_similarity(n: int, threshold: Fraction = THRESHOLD) -> float:
     return float(out)
 
 
+@cache
+def depths(n: int, threshold: Fraction = THRESHOLD) -> list[int]:
+    """The prefixes under which a set of n shingles stands: its own, and the shorter ones of sets that can be as like it as the threshold."""
+    over, under = threshold.numerator, threshold.denominator
+    own = matching_depth(least_similarity(n, threshold))
+    sizes = range(max(1, -(-n * over // under)), n * under // over + 1)
+    return sorted({own} | {d for d in (matching_depth(least_similarity(m, threshold)) for m in sizes) if d < own})
+
+
 def agreement_bound(threshold: float = float(THRESHOLD), values: int = TREES * DEPTH) -> int:
     """How many minhash values a pair at the threshold shares at least, six deviations below the mean."""
     return int(values * threshold - 6 * (values * threshold * (1 - threshold)) ** 0.5)
@@ -120,10 +130,10 @@ def _groups(rows: list[tuple]) -> Iterator[list[tuple]]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """docs: doc_id, h, text. Returns doc_id, h, digest, depth, labels (TREES labels of DEPTH minhash values, null without shingles), bits (a byte of each value)."""
+    """docs: doc_id, h, text. Returns doc_id, h, digest, depths, labels (TREES labels of DEPTH minhash values, null without shingles), bits (a byte of each value)."""
     rng = np.random.default_rng(5)
     factors = rng.integers(1 << 31, 1 << 32, TREES * DEPTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-    few = 64  # beyond, the number of shingles no longer decides the depth
+    few = 128  # beyond, the number of shingles no longer decides the depth
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,13 +151,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 for i, (doc_id, h, _) in enumerate(group):
                     n = int(at[i + 1] - at[i])
                     n = len(np.unique(shingles[at[i] : at[i + 1]])) if 0 < n <= few else few
-                    values = (doc_id, h, found[i], matching_depth(least_similarity(n)), mins[row[i]].tobytes() if i in row else None, bits[row[i]].tobytes() if i in row else None)
+                    values = (doc_id, h, found[i], depths(n), mins[row[i]].tobytes() if i in row else None, bits[row[i]].tobytes() if i in row else None)
                     for to, v in zip(held, values, strict=True):
                         to.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=["doc_id", "h", "digest", "depth", "labels", "bits"])
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=["doc_id", "h", "digest", "depths", "labels", "bits"])
 
-    return docs.mapInArrow(sketch, "doc_id long, h long, digest binary, depth int, labels binary, bits binary")
+    return docs.mapInArrow(sketch, "doc_id long, h long, digest binary, depths array<int>, labels binary, bits binary")
 
 
 def _clean(docs: DataFrame) -> DataFrame:
@@ -178,9 +188,9 @@ def _apart(i: int, j: int, side: np.ndarray) -> np.ndarray:
 
 
 def forest_edges(classes: DataFrame) -> DataFrame:
-    """classes: rep, depth, labels, bits. Returns a, b: an edge from each row of a node to the least row of the node that it is connected to by agreeing pairs."""
+    """classes: rep, depths, labels, bits. Returns a, b: an edge from each row of a node to the least row of the node that it is connected to by agreeing pairs."""
     own = lambda t, width: F.substring("labels", F.lit(4 * DEPTH * t + 1), width)
-    trees = F.array(*[F.struct(F.xxhash64(F.lit(t), F.col("depth"), own(t, 4 * F.col("depth"))).alias("node"), own(t, F.lit(4 * DEPTH)).alias("label")) for t in range(TREES)])
+    trees = F.flatten(F.transform("depths", lambda d: F.array(*[F.struct(F.xxhash64(F.lit(t), d, own(t, 4 * d)).alias("node"), own(t, F.lit(4 * DEPTH)).alias("label")) for t in range(TREES)])))
     leaves = classes.where(F.col("labels").isNotNull()).select("rep", F.explode(F.transform(trees, lambda x: x["node"])).alias("node"))
     nodes = materialize(leaves.groupBy(F.col("node").alias("n")).agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > 1), "near-nodes")
     shared = leaves.join(nodes, F.col("node") == F.col("n")).select("node", F.col("rep").alias("r"), F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
@@ -278,9 +288,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     held = materialize(sketches(clean), "near-sketches")
     ids = held.groupBy("doc_id").agg(F.min(F.struct("h", "digest"))["digest"].alias("digest"))
     first = ids.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    labels = held.groupBy(F.col("digest").alias("l_digest")).agg(F.min(F.struct("depth", "labels", "bits")).alias("l"))
+    labels = held.groupBy(F.col("digest").alias("l_digest")).agg(F.min(F.struct("depths", "labels", "bits")).alias("l"))
     classes = materialize(first.join(labels, F.col("digest") == F.col("l_digest")).select("digest", "rep", "n", "l.*"), "near-classes")
-    clusters = components(forest_edges(classes.select("rep", "depth", "labels", "bits")))
+    clusters = components(forest_edges(classes.select("rep", "depths", "labels", "bits")))
     members = materialize(classes.select("digest", "rep", "n").join(clusters, F.col("rep") == F.col("node")).select("rep", "root", "n", "digest"), "near-members")
     size = materialize(members.groupBy(F.col("root").alias("r")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "near-sizes")
     members = members.join(size, F.col("root") == F.col("r")).select("rep", "root", "blocks", "n", "digest")
