@@ -3,7 +3,7 @@
 A url is judged by the longest rule that fits its host (or a parent domain) and path. The remaining
 urls get the verdict of their host. Hosts are joined by the hyperlinks of their pages and, both
 ways, by the step from a host to its parent domain, so that subdomains of one site speak for each
-other. Trust is a personalised PageRank that starts from the pages that rules allow and follows the
+other. Steps end at a site's own domain: two labels, or three where the last two are one of SUFFIXES; addresses and hosts with a port are whole. Trust is a personalised PageRank that starts from the pages that rules allow and follows the
 edges; distrust starts from the pages that rules block and runs against them. A host is blocked where
 its distrust exceeds `margin` times its trust; a host that neither reaches is allowed.
 
@@ -27,6 +27,8 @@ from framewright.llm.common import materialize, table
 
 #: (rule, verdict): a host, then the path's start.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+#: Domains of two labels below which sites are registered.
+SUFFIXES = ["ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "net.au", "or.jp", "org.au", "org.uk"]
 DAMPING, TOLERANCE, ROUND = 0.85, 1e-5, 8
 TASK_EDGES = 100_000
 LEAST = 1e-300  # ranks below are beyond a double's precision
@@ -54,15 +56,22 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     return F.coalesce(*[F.when(fits(host, path, r), F.struct(F.lit(r).alias("rule"), F.lit(v).alias("verdict"))) for r, v in ordered])
 
 
+def site_chain(host: Column, suffixes: list[str] = SUFFIXES) -> Column:
+    """A host and its parent domains down to the site's own, as an array; only the host where it has a port or is an address."""
+    labels = F.split(host, r"\.")
+    ends = F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), ".").isin(*suffixes)
+    last = F.greatest(F.lit(1), F.size(labels) - F.when(ends, 2).otherwise(1))  # the place of the first label of the site's domain
+    chain = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.when(host.rlike(r"[:\[\]]|^[0-9.]+$"), F.array(host)).otherwise(chain)
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
-    """src, dst, w: hyperlinks between hosts (counted) and steps between a host and its parent domain."""
+    """src, dst, w: hyperlinks between hosts (counted) and steps between a host and its parent domain inside its site."""
     linked = pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all(F.col("html"), F.lit(LINK), F.lit(1))).alias("to"))
     linked = linked.select("src", F.translate("to", UPPER, LOWER).alias("dst")).where(F.col("src") != "").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
     linked = materialize(linked, "links-linked")  # pages are searched once
     known = pages.select("host").distinct().unionByName(linked.select(F.col("dst").alias("host"))).where(F.col("host") != "").distinct()
-    labels = F.split("host", r"\.")
-    chain = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    steps = known.select(chain.alias("c")).where(F.size("c") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.struct(F.element_at("c", i).alias("a"), F.element_at("c", i + 1).alias("b")))).alias("s")).distinct()
+    steps = known.select(site_chain(F.col("host")).alias("c")).where(F.size("c") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.struct(F.element_at("c", i).alias("a"), F.element_at("c", i + 1).alias("b")))).alias("s")).distinct()
     up = steps.select(F.col("s.a").alias("src"), F.col("s.b").alias("dst"), F.lit(1.0).alias("w"))
     down = steps.select(F.col("s.b").alias("src"), F.col("s.a").alias("dst"), F.lit(1.0).alias("w"))
     return linked.where(F.col("src") != F.col("dst")).unionByName(up).unionByName(down).groupBy("src", "dst").agg(F.sum("w").alias("w"))

@@ -31,8 +31,8 @@ def link_sql(rules: list[tuple[str, str]] = links.RULES, steps: int = 220, dampi
         r"""a AS (SELECT host AS src, translate(unnest(regexp_extract_all(html, '(?i)\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM u WHERE host <> '')""",
         "hy AS (SELECT src, dst, CAST(count(*) AS DOUBLE) AS w FROM a WHERE src <> dst GROUP BY src, dst)",
         "known AS (SELECT host FROM u WHERE host <> '' UNION SELECT dst FROM a WHERE dst <> '')",
-        "lab AS (SELECT string_split(host, '.') AS ls FROM known)",
-        "st AS (SELECT DISTINCT array_to_string(ls[i:], '.') AS a, array_to_string(ls[i + 1:], '.') AS b FROM (SELECT ls, unnest(range(1, len(ls))) AS i FROM lab))",
+        f"up AS (SELECT host AS a, regexp_replace(host, '^[^.]*[.]', '') AS b FROM known WHERE NOT regexp_matches(host, '[:\\[\\]]|^[0-9.]+$') UNION SELECT b, regexp_replace(b, '^[^.]*[.]', '') FROM up WHERE contains(b, '.'))",
+        f"st AS (SELECT a, b FROM up WHERE a <> b AND contains(b, '.') AND b NOT IN ({', '.join(repr(x) for x in links.SUFFIXES)}))",
         "ed AS MATERIALIZED (SELECT src, dst, sum(w) AS w FROM (SELECT * FROM hy UNION ALL SELECT a, b, 1 FROM st UNION ALL SELECT b, a, 1 FROM st) GROUP BY src, dst)",
         "fl AS MATERIALIZED (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS fore, w / sum(w) OVER (PARTITION BY dst) AS back FROM ed)",
         "ph AS (SELECT host, count(*) FILTER (ruled = 'allow') AS t, count(*) FILTER (ruled = 'block') AS d FROM j WHERE host <> '' GROUP BY host)",
