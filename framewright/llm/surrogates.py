@@ -7,9 +7,10 @@ range of digits, a name of the title's gender and the name's script; the country
 domain, the prefix of a secret and the remainder of a card's check sum stay. Each occurrence gets the surrogate of its canonical form in
 its own punctuation and case, so that mentions of one entity still agree everywhere.
 
-A person is a first name (of the title's gender) and a last name, which have a surrogate each: `Mr John Smith` and `Mr Smith` keep
-one last name, two people who share it still differ by their first names. In the document that has `Mr John Smith`,
-`John Smith` without a title is replaced too. A last name alone and names that no title ever introduces are left: nothing
+A person is first names (of the title's gender; titles as Dr tell none) and a last name, which have a surrogate each: `Mr John Smith` and `Mr Smith` keep
+one last name, two people who share it still differ by their first names. A name is all words with a capital after a title, with hyphens,
+apostrophes and particles (`van`, `de`), which stay. In the document that has `Mr John Smith`,
+`John Smith` or `JOHN SMITH` without a title is replaced too. A last name alone and names that no title ever introduces are left: nothing
 tells them from other words.
 
 Distinctness: the table of distinct entities is checked for surrogates that two entities share or
@@ -26,6 +27,8 @@ that repeat a doc_id are rewritten each; rows without a doc_id are told apart by
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +39,15 @@ QUERY_KEY = "the queries on test tables"  # fixed, so that their results can be
 SAME_SHAPE = 8
 WORDISH = r"\p{L}\p{M}\p{N}._%+\-"
 MAIL = rf"(?<![{WORDISH}])[{WORDISH}]++@[\p{{L}}\p{{N}}\-]+(?:\.[\p{{L}}\p{{N}}\-]+)+"
-SECRET = r"(?<![\p{L}\p{N}_\-])(?:[0-9a-fA-F]{32,}+(?![\p{L}\p{N}])|(?:AKIA|ghp_|sk-)[A-Za-z0-9_\-]{16,}+)"
+#: How tokens of common services start.
+STARTS = "AKIA|ghp_|github_pat_|glpat-|xox[abprs]-|AIza|sk-"
+SECRET = (
+    rf"(?<![\p{{L}}\p{{N}}_\-])(?:[0-9a-fA-F]{{32,}}+(?![\p{{L}}\p{{N}}])|(?:{STARTS})[A-Za-z0-9_\-]{{16,}}+|eyJ[A-Za-z0-9_\-]{{5,}}+\.[A-Za-z0-9_\-]{{5,}}+\.[A-Za-z0-9_\-]{{5,}}+)"
+)
+#: Account numbers: a country, two digits, groups of four with at least one digit each.
+ACCOUNT = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?(?=[A-Z]{0,3}\d)[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 GROUP = r"[0-9a-fA-F]{1,4}"
-PREFIX = "^(?:AKIA|ghp_|sk-(?:(?:proj|live|test)-)?)"
+PREFIX = f"^(?:{STARTS}|eyJ)(?:(?:proj|live|test)-)?"
 #: Eight groups, or fewer around a `::` with one of three or four digits, so that slices as 1::2 stay.
 SIX = (
     rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9a-fA-F:]*\d)(?:(?:{GROUP}:){{7}}{GROUP}|(?=[0-9a-fA-F:]*(?<![0-9a-fA-F])[0-9a-fA-F]{{3,4}}(?![0-9a-fA-F]))(?!(?::*{GROUP}(?![0-9a-fA-F])){{8}})"
@@ -62,12 +71,21 @@ NAMES = {
     ("f", "cyrillic"): ["Алла", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Инна", "Кира", "Лидия", "Мария", "Нина", "Ольга", "Полина", "Раиса", "Юлия"],
 }
 SURNAME_ENDS = {"latin": ["berg", "dale", "feld", "holm", "land", "mann", "mont", "stad"], "cyrillic": ["енко", "ич", "ко", "ский", "ук", "цев", "чук", "як"]}
+#: Titles that tell no gender, and words inside a name that are no names.
+NEUTRAL = ["Dr", "Prof", "Professor", "Доктор", "Профессор"]
+PARTICLES = ["af", "al", "av", "bin", "d", "da", "das", "de", "del", "della", "den", "der", "di", "dos", "du", "el", "ibn", "la", "le", "ten", "ter", "van", "von", "zu", "zur"]
 FEMALE += [t.upper() for t in FEMALE]
-TITLES = "|".join([*MALE, *[t.upper() for t in MALE], *FEMALE])
-NAME = rf"(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})"
-ENTITY = "|".join([MAIL, SECRET, SIX, ADDRESS, PHONE, SOCIAL, CARD, NAME])
+NEUTRAL += [t.upper() for t in NEUTRAL]
+TITLES = "|".join([*MALE, *[t.upper() for t in MALE], *FEMALE, *NEUTRAL])
+GAP = r"[ \t\u00A0]{1,3}"
+NAME_WORD = r"\p{Lu}[\p{L}\p{M}]*(?:['\u2019\-]\p{L}[\p{L}\p{M}]*)*+"
+PARTICLE = rf"(?:{'|'.join(PARTICLES)})"
+#: Possessive, so that no match ends inside a name; a single letter is no name, unless others follow it.
+NAME = rf"(?<!\p{{L}})(?:{TITLES})\.?{GAP}(?!\p{{Lu}}(?![\p{{L}}\p{{M}}'\u2019\-]|\.?{GAP}\p{{Lu}}))(?:{PARTICLE}{GAP})*+{NAME_WORD}(?:\.?{GAP}(?:{PARTICLE}{GAP})*+{NAME_WORD})*+(?!\p{{L}})"
+TITLE = rf"^(?:{TITLES})\.?{GAP}"
+ENTITY = "|".join([MAIL, SECRET, SIX, ADDRESS, ACCOUNT, PHONE, SOCIAL, CARD, NAME])
 #: What every entity has; the look-ahead spares most characters the alternatives.
-LIKELY = rf"(?=[0-9@Ags{''.join(sorted({t[0] for t in TITLES.split('|')}))}])(?:[0-9@]|AKIA|ghp_|sk-|{TITLES})"
+LIKELY = rf"(?=[0-9@Agsxe{''.join(sorted({t[0] for t in TITLES.split('|')}))}])(?:[0-9@]|{STARTS}|eyJ|{TITLES})"
 #: The letters that stand for letters.
 LATIN, CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщэюя"
 
@@ -81,17 +99,18 @@ def kind_of(found: Column) -> Column:
     whole = lambda p: found.rlike(f"^(?:{p})$")
     return (
         F.when(found.contains("@"), "mail").when(whole(ADDRESS) | whole(SIX), "ip").when(whole(SOCIAL), "social").when(whole(PHONE), "phone")
-        .when(whole(CARD), "card").when(whole(SECRET), "secret").otherwise("name")
+        .when(whole(ACCOUNT), "account").when(whole(CARD), "card").when(whole(SECRET), "secret").otherwise("name")
     )
 
 
 def canonical(kind: Column, found: Column) -> Column:
     """What two mentions of one entity have in common."""
-    titles_f = rf"^(?:{'|'.join(FEMALE)})\b"
-    name = F.concat(F.when(found.rlike(titles_f), "f ").otherwise("m "), F.lower(F.regexp_replace(found, r"^\S+ ", "")))
+    of = lambda titles: found.rlike(rf"^(?:{'|'.join(titles)})(?!\p{{L}})")
+    words = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(found, TITLE, "")), rf"\.?{GAP}", " "), "\u2019", "'")
+    name = F.concat(F.when(of(FEMALE), "f ").when(of(NEUTRAL), "n ").otherwise("m "), words)
     return (
         F.when(kind == "mail", F.lower(found)).when(kind.isin("phone", "card", "social"), F.regexp_replace(found, r"\D", ""))
-        .when(kind == "name", name).when((kind == "ip") & found.contains(":"), _eight_groups(found)).otherwise(found)
+        .when(kind == "account", F.regexp_replace(found, " ", "")).when(kind == "name", name).when((kind == "ip") & found.contains(":"), _eight_groups(found)).otherwise(found)
     )
 
 
@@ -112,8 +131,9 @@ def parts_of(kind: Column, canon: Column) -> Column:
     part = lambda k, c: F.struct((F.lit(k) if isinstance(k, str) else k).alias("kind"), c.alias("canon"))
     words = F.split(canon, " ")
     last = F.array(part("last", F.element_at(words, -1)))
-    first = F.when(F.size(words) > 2, F.array(part("first", F.concat_ws(" ", words[0], words[1]))))
-    return F.when(kind == "name", F.concat(last, F.coalesce(first, F.array().cast("array<struct<kind:string,canon:string>>")))).otherwise(F.array(part(kind, canon)))
+    given = F.filter(F.slice(words, 2, F.size(words) - 2), lambda w: ~w.isin(PARTICLES))
+    first = F.transform(given, lambda w: part("first", F.concat_ws(" ", words[0], w)))
+    return F.when((kind == "name") & (F.size(words) > 2), F.concat(last, first)).when(kind == "name", last).otherwise(F.array(part(kind, canon)))
 
 
 def _draws(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
@@ -167,9 +187,10 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         hexed = F.array_join(F.transform(_chars(grown), lambda c, i: _pick("0123456789abcdef", F.element_at(d, i + 1))), "")
         hexed = F.when(canon.rlike("[A-F]") & ~canon.rlike("[a-f]"), F.upper(hexed)).otherwise(hexed)
         start = F.regexp_extract(canon, PREFIX, 0)
+        account = F.concat(F.substring(canon, 1, 2), F.substring(same(grown), F.lit(3), F.length(grown)))
         secret = F.when(canon.rlike("^[0-9a-fA-F]+$"), hexed).otherwise(F.concat(start, F.substring(same(grown), F.length(start) + 1, F.length(grown))))
         return (
-            F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "secret", secret)
+            F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "secret", secret).when(kind == "account", account)
             .when(kind == "first", _first_name(canon, d, extra)).when(kind == "last", _last_name(canon, d, extra)).otherwise(same(grown))
         )
 
@@ -191,8 +212,8 @@ def _of_script(canon: Column, make) -> Column:
 
 
 def _first_name(canon: Column, d: Column, extra: Column) -> Column:
-    """`f first` or `m first` in lower case: a listed name of the gender and script, after syllables where that is not enough."""
-    name = lambda script: F.concat(_syllables(script, d, extra), F.when(canon.startswith("f "), _at(NAMES["f", script], d, 1)).otherwise(_at(NAMES["m", script], d, 1)))
+    """`f first`, `m first` or `n first` in lower case: a listed name of the gender and script, after syllables where that is not enough."""
+    name = lambda script: F.concat(_syllables(script, d, extra), F.when(canon.startswith("f "), _at(NAMES["f", script], d, 1)).when(canon.startswith("n "), _at(NAMES["f", script] + NAMES["m", script], d, 1)).otherwise(_at(NAMES["m", script], d, 1)))
     return F.concat(F.substring(canon, 1, 2), _of_script(canon, name))
 
 
@@ -210,18 +231,26 @@ def rendered(kind: Column, found: Column, made: Column) -> Column:
     mail = F.array_join(F.transform(_chars(found), lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substring(made, i + 1, F.lit(1)))).otherwise(F.substring(made, i + 1, F.lit(1)))), "")
     digits = F.concat(digits, F.substring(made, F.length(F.regexp_replace(found, r"\D", "")) + 1, F.length(made)))
     mail = F.concat(mail, F.substring(made, F.length(found) + 1, F.length(made)))
-    proper = F.initcap(F.substring(made, F.lit(3), F.length(made)))
-    name = F.concat(F.regexp_extract(found, r"^\S+ ", 0), F.when(F.regexp_replace(found, r"^\S+ ", "").rlike(r"\p{Ll}"), proper).otherwise(F.upper(proper)))
+    name = F.concat(F.regexp_extract(found, TITLE, 0), spoken(F.regexp_replace(found, TITLE, ""), F.split(F.substring(made, F.lit(3), F.length(made)), " ")))
+    gaps = lambda i: F.length(F.regexp_replace(F.substring(found, F.lit(1), i + 1), " ", ""))
+    account = F.array_join(F.transform(_chars(found), lambda c, i: F.when(c == " ", c).otherwise(F.substring(made, gaps(i), F.lit(1)))), "")
+    account = F.concat(account, F.substring(made, F.length(F.regexp_replace(found, " ", "")) + 1, F.length(made)))
     short = F.regexp_replace(made, r"^((?:[0-9a-f]+:)*?)0(?::0)+(?=:|$)", "$1")
     short = F.concat(F.when(short.startswith(":"), ":").otherwise(""), short, F.when(short.endswith(":"), ":").otherwise(""))
     six = F.when(found.contains("::"), short).otherwise(made)
     six = F.when(found.rlike("[A-F]") & ~found.rlike("[a-f]"), F.upper(six)).otherwise(six)
     return (
-        F.when(kind.isin("phone", "card", "social"), digits).when(kind == "mail", mail).when(kind == "name", name)
+        F.when(kind.isin("phone", "card", "social"), digits).when(kind == "mail", mail).when(kind == "name", name).when(kind == "account", account)
         .when((kind == "ip") & found.contains(":"), six).otherwise(made)
     )
 
 
+def spoken(old: Column, new: Column) -> Column:
+    """The words of a name, as an array, in the case of the old ones: small words as they were, words in capitals in capitals."""
+    word = lambda w, n: F.when(w.rlike(r"^\p{Ll}"), w).when(w.rlike(r"^\p{Lu}[\p{Lu}\p{M}'\u2019\-]+$"), F.upper(n)).otherwise(F.initcap(n))
+    return F.array_join(F.zip_with(F.split(old, rf"\.?{GAP}"), new, word), " ")
+
+
 def entities_of(text: Column) -> Column:
     """The entities of a text in order, as structs (kind, canon, found)."""
     found = F.when(text.rlike(LIKELY), F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1)))
@@ -259,40 +288,45 @@ def replace_entities(docs: DataFrame, key: str | None = None) -> DataFrame:
     text = F.col("text")
     columns = [c for c in docs.columns if c != "n_entities"]
     row = F.xxhash64("doc_id", "text")
+    own = f"pii_{uuid.uuid4().hex}"  # no column of the table has this name
     mentions = docs.select(row.alias("m_row"), F.explode(entities_of(text)).alias("e")).select("m_row", F.explode(parts_of(F.col("e.kind"), F.col("e.canon"))).alias("p")).select("m_row", "p.*")
     mentions = materialize(mentions.distinct(), "pii-mentions")
     again = materialize(redrawn(mentions.select("kind", "canon").distinct(), key), "pii-redrawn")
     held = docs.select(*columns)
     special = F.lit(None).cast("map<string,string>")
     if not again.isEmpty():
-        looked = mentions.join(again, ["kind", "canon"]).groupBy("m_row").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon").alias("k"), F.col("made").alias("v")))).alias("__special"))
-        held = held.join(looked, row == F.col("m_row"), "left")
-        special = F.col("__special")
+        looked = mentions.join(again, ["kind", "canon"]).groupBy("m_row").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon").alias("k"), F.col("made").alias("v")))).alias(f"{own}_special")).withColumnRenamed("m_row", f"{own}_row")
+        held = held.join(looked, row == F.col(f"{own}_row"), "left")
+        special = F.col(f"{own}_special")
 
     def made(kind: Column, canon: Column) -> Column:
         return F.coalesce(F.try_element_at(special, F.concat_ws("\x1f", kind, canon)), surrogate(kind, canon, F.lit(0), key))
 
     def person(canon: Column) -> Column:
         words = F.split(canon, " ")
-        first = F.substring(made(F.lit("first"), F.concat_ws(" ", words[0], words[1])), 3, 1 << 20)
-        return F.concat_ws(" ", words[0], F.when(F.size(words) > 2, first), made(F.lit("last"), F.element_at(words, -1)))
+        first = lambda w: F.when(w.isin(PARTICLES), w).otherwise(F.substring(made(F.lit("first"), F.concat_ws(" ", words[0], w)), 3, 1 << 20))
+        given = F.when(F.size(words) > 2, F.transform(F.slice(words, 2, F.size(words) - 2), first)).otherwise(F.array().cast("array<string>"))
+        return F.concat_ws(" ", words[0], F.when(F.size(given) > 0, F.array_join(given, " ")), made(F.lit("last"), F.element_at(words, -1)))
 
     def one(e: Column) -> Column:
         return _let(F.when(e["kind"] == "name", person(e["canon"])).otherwise(made(e["kind"], e["canon"])), lambda m: rendered(e["kind"], e["found"], m))
 
-    parts = held.select("*", entities_of(text).alias("__found"))
-    new = F.transform(F.col("__found"), one)
+    step = lambda name: F.col(f"{own}.{name}")
+    put = lambda df, **new: df.withColumn(own, F.struct(*([f"{own}.*"] if own in df.columns else []), *[c.alias(n) for n, c in new.items()]))
+    parts = put(held, found=entities_of(text))
+    some = F.size(F.coalesce(step("found"), F.array())) > 0
+    parts = put(parts, new=F.when(some, F.transform(step("found"), one)))
     between = F.split(text, ENTITY, -1)
-    whole = F.array_join(F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.try_element_at(F.col("__new"), i + 1), F.lit("")))), "")
-    some = F.size(F.coalesce("__found", F.array())) > 0
-    untitled = lambda name: F.regexp_replace(name, r"^\S+ ", "")
-    full = F.filter(F.transform("__found", lambda e, i: F.struct(untitled(e["found"]).alias("name"), untitled(F.col("__new")[i]).alias("new"), e["kind"].alias("kind"))), lambda x: (x["kind"] == "name") & x["name"].contains(" "))
-    bare = lambda x: F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), x["name"], F.lit(r"\E(?!\p{L})"))
-    again_named = F.aggregate("__names", F.struct(F.col("__whole").alias("text"), F.lit(0).alias("n")), lambda held, x: F.struct(F.regexp_replace(held["text"], bare(x), x["new"]).alias("text"), (held["n"] + F.regexp_count(held["text"], bare(x))).alias("n")))
-    done = parts.select("*", F.when(some, new).alias("__new")).select("*", F.when(some, whole).alias("__whole"), F.when(some, F.array_distinct(full)).alias("__names"))
-    done = done.select("*", F.when(F.size("__names") > 0, again_named).alias("__named"))
-    kept = [F.coalesce("__named.text", "__whole", text).alias(c) if c == "text" else F.col(c) for c in columns]
-    return done.select(*kept, F.when(some, F.size("__found") + F.coalesce("__named.n", F.lit(0))).otherwise(0).cast("long").alias("n_entities"))
+    whole = F.array_join(F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.try_element_at(step("new"), i + 1), F.lit("")))), "")
+    untitled = lambda name: F.regexp_replace(name, TITLE, "")
+    full = F.filter(F.transform(step("found"), lambda e, i: F.struct(untitled(e["found"]).alias("name"), untitled(step("new")[i]).alias("new"), e["kind"].alias("kind"))), lambda x: (x["kind"] == "name") & x["name"].contains(" "))
+    names = F.flatten(F.transform(full, lambda x: F.array(*[F.struct(as_(x["name"]).alias("name"), as_(x["new"]).alias("new")) for as_ in (lambda c: c, F.upper, F.initcap)])))
+    bare = lambda x: F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), x["name"], F.lit(r"\E(?![\p{L}\-])"))
+    again_named = F.aggregate(step("names"), F.struct(step("whole").alias("text"), F.lit(0).alias("n")), lambda held, x: F.struct(F.regexp_replace(held["text"], bare(x), x["new"]).alias("text"), (held["n"] + F.regexp_count(held["text"], bare(x))).alias("n")))
+    done = put(parts, whole=F.when(some, whole), names=F.when(some, F.array_distinct(names)))
+    done = put(done, named=F.when(F.size(step("names")) > 0, again_named))
+    kept = [F.coalesce(step("named.text"), step("whole"), text).alias(c) if c == "text" else F.col(c) for c in columns]
+    return done.select(*kept, F.when(some, F.size(step("found")) + F.coalesce(step("named.n"), F.lit(0))).otherwise(0).cast("long").alias("n_entities"))
 
 
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
