@@ -2,8 +2,8 @@
 
 A text is its lower-cased UTF-8 bytes; every run of 2, 3 and 4 bytes is hashed to a bucket, the
 buckets' embeddings are averaged over the whole text and a linear layer gives the languages' logits.
-Fitting sees a bounded sample: at most FIT_DOCS documents in all, shared equally among the languages
-(the MOST_LANGS commonest labels) and drawn by a hash of the text, equal texts once, of at most FIT_CHARS characters each (longer ones are not drawn).
+Fitting sees a bounded sample: FIT_DOCS documents in all, shared equally among all labels, but FIT_LEAST a label where there
+are that many labels; they are drawn by a hash of the text, equal texts once, of at most FIT_CHARS characters each (longer ones are not drawn).
 A part of the sample stays out of training and sets the softmax temperature and the score below
 which a prediction is rejected. Prediction sends only the product of embeddings and linear layer.
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from framewright.llm.common import table, unit
 
 BUCKETS, WIDTH, EPOCHS, BATCH, RATE = 1 << 14, 16, 12, 32, 0.5
-FIT_DOCS, FIT_CHARS, MOST_LANGS, CLIP = 1200, 40_000, 200, 60
+FIT_DOCS, FIT_LEAST, FIT_CHARS, CLIP = 1200, 4, 40_000, 60
 REJECT_RATE, REJECT_MOST = 0.001, 0.5
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -124,10 +124,10 @@ def fit(docs: DataFrame, seed: int = 8) -> Model:
     """Train on a bounded sample of the labelled rows of docs (text, lang)."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= FIT_CHARS))
     texts = usable.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"))
-    counts = [(r["lang"], max(1, r["n"])) for r in texts.orderBy(F.col("n").desc(), "lang").limit(MOST_LANGS).collect()]
+    counts = [(r["lang"], max(1, r["n"])) for r in texts.orderBy("lang").collect()]  # a row a label, as the model has
     if not counts:
         return train([])
-    most = max(1, FIT_DOCS // len(counts))
+    most = max(FIT_LEAST, FIT_DOCS // len(counts))
     shares = docs.sparkSession.createDataFrame([(lang, min(1.0, 1.3 * most / n)) for lang, n in counts], "known string, share double")
     drawn = usable.select("lang", "text", unit(F.col("text"), F.lit(seed)).alias("h")).join(F.broadcast(shares), F.col("lang") == F.col("known")).where(F.col("h") < F.col("share")).dropDuplicates(["lang", "text"])
     nth = F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))  # of little more than the sample
