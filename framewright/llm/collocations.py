@@ -1,12 +1,13 @@
 """Phrase collocations by stripes: each prefix keys a counter of the words that follow it.
 
 One pass over the texts for each phrase length k. A task counts a chunk of texts with exact word numbers and hands on stripes: a prefix of
-k - 1 words with the words that follow it and how often, and under no word (null) how often the prefix itself occurs. Stripes are merged element by
-element with partial sums before the shuffle, so that no stripe has to fit in a task. The merged structure holds the extensions
-(its elements), the totals of prefixes (its null elements), and the subsumption maxima (the largest element of a prefix, and of a suffix).
+k - 1 words with the words that follow it and how often (the empty prefix also with the number of all words, under null). Stripes are merged element by
+element with partial sums before the shuffle, so that no stripe has to fit in a task. The merged stripes, nested by their prefixes, hold the extensions
+(their elements), the totals of prefixes (a prefix is an element itself, of the stripe of its own prefix), and the subsumption maxima (the largest element of a prefix, and of a suffix).
 
 A phrase of k words can only reach `least` where both its phrases of k - 1 words do. Tasks test this with a bitmap of FILTER_BITS bits, made
-in Spark from the phrases that reached it and of the same size whatever the corpus; a false hit costs time and changes nothing.
+in Spark from the phrases that reached it and of the same size whatever the corpus; a false hit costs time and changes nothing. Pairs of words are by far the most numerous, so
+they are first counted as 64-bit hashes, and only pairs whose hash reached `least` travel as stripes; a hash shared by two pairs lets both through, and their own counts decide.
 
 Defined cases: a null text is empty; a null lang counts as `und`; equal rows count each; a word of bytes beyond ASCII is whole between separators; a score is
 exact (38 digits); an empty table gives an empty table; other columns are not read.
@@ -41,14 +42,14 @@ def _bits(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(hashes >> np.uint64(shift)) & np.uint64(bits - 1) for shift in (0, 32)]
 
 
-def _stripes(k: int, bitmap, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Stripes of prefixes of k - 1 words; bitmap: broadcast, of the frequent phrases of k - 1 words (none at k = 1); longest: of a stripe's part."""
+def _stripes(k: int, bitmap, longest: int, pairs=None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Stripes of prefixes of k - 1 words; bitmap: broadcast, of the frequent phrases of k - 1 words (none at k = 1); longest: of a stripe's part; pairs: broadcast, a bitmap of phrases of k words that may be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", CHUNK):
             words = split_words(batch.column("text"), KINDS)
             if len(words):
-                yield from _counted(words, batch.column("lang").dictionary_encode(), k, None if bitmap is None else bitmap.value, longest)
+                yield from _counted(words, batch.column("lang").dictionary_encode(), k, None if bitmap is None else bitmap.value, longest, None if pairs is None else pairs.value)
 
     return run
 
@@ -64,48 +65,71 @@ def _known(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray | None, longest: int) -> Iterator[pa.RecordBatch]:
+def _states(words: Words, langs: pa.DictionaryArray, lang: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """Hashes of the phrases of 1, 2, .. k words at each place, as far as the texts' words go."""
+    hashes = words.hashes()
+    state = name_hashes([x.encode() for x in langs.dictionary.to_pylist()])[lang]
+    for j in range(k):
+        state = mixed(state[: len(words) - j], hashes[j:])
+        yield state
+
+
+def _hashed_pairs(bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Hashes and counts of the pairs of words that are both in the bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text", CHUNK):
+            words, langs = split_words(batch.column("text"), KINDS), batch.column("lang").dictionary_encode()
+            lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.row]
+            if len(words) < 2:
+                continue
+            one, two = _states(words, langs, lang, 2)
+            ok = _known(bitmap.value, one)
+            found, count = np.unique(two[ok[:-1] & ok[1:] & (words.piece[:-1] == words.piece[1:])], return_counts=True)
+            cut = pa.array(np.append(np.arange(0, len(found), STRIPE), len(found)).astype(np.int32))
+            out = [pa.ListArray.from_arrays(cut, pa.array(x.view(np.int64))) for x in (found, count.astype(np.int64))]
+            yield pa.record_batch(out, ["hashes", "counts"])
+
+    return run
+
+
+def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray | None, longest: int, pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.row]
     n = len(words)
-    at, follows = np.arange(n), np.ones(n, bool)  # where prefixes start, and whether a word that counts comes after
+    at = np.arange(n)  # where phrases start
     if k > 1:
-        if n < k - 1:
+        if n < k:
             return
-        hashes = words.hashes()
-        state = name_hashes([x.encode() for x in langs.dictionary.to_pylist()])[lang[: n - k + 2]]
-        for j in range(k - 1):
-            state = mixed(state, hashes[j : n - k + 2 + j])
-        ok = (words.piece[: n - k + 2] == words.piece[k - 2 :]) & _known(bitmap, state)
+        *_, before, whole = _states(words, langs, lang, k)
+        ok = _known(bitmap, before)
+        ok = ok[:-1] & ok[1:] & (words.piece[: n - k + 1] == words.piece[k - 1 :])
         at = np.flatnonzero(ok)
-        follows = np.zeros(len(at), bool)
-        inside = at + k - 1 < n
-        follows[inside] = ok[at[inside] + 1] & (words.piece[at[inside]] == words.piece[at[inside] + k - 1])
+        at = at if pairs is None else at[_known(pairs, whole[at])]
     if not len(at):
         return
-    used = np.zeros(n + 1, bool)
-    for j in range(k - 1):
+    last = at + k - 1
+    used = np.zeros(n, bool)
+    for j in range(k):
         used[at + j] = True
-    after = at[follows] + max(k - 1, 0)
-    used[after] = True
     places = np.flatnonzero(used)
     names, coded = words.coded(places)
-    ids = np.zeros(n + 1, np.int64)
+    ids = np.zeros(n, np.int64)
     ids[places] = coded
     size = len(names) + 1
-    nothing = size - 1  # stands for no word: the prefix itself
     prefix = lang[at] * size + ids[at] if k > 1 else lang
     for j in range(1, k - 1):
         prefix = np.unique(prefix, return_inverse=True)[1] * size + ids[at + j]
+    where = np.zeros(int(prefix.max()) + 1, np.int64) if k < 3 else None
     if k > 2:
-        prefix = np.unique(prefix, return_inverse=True)[1]
-    where = np.zeros(int(prefix.max()) + 1, np.int64)
+        distinct, prefix = np.unique(prefix, return_inverse=True)
+        where = np.zeros(len(distinct), np.int64)
     where[prefix] = at  # some place of each prefix
-    key, count = np.unique(prefix[follows] * size + ids[after], return_counts=True)
-    total = np.bincount(prefix)
-    whole = np.flatnonzero(total)
-    keys, count = np.concatenate([key, whole * size + nothing]), np.concatenate([count, total[whole]])
-    order = np.argsort(keys, kind="stable")
-    keys, count = keys[order], count[order]
+    keys, count = np.unique(prefix * size + ids[last], return_counts=True)
+    if k == 1:  # the number of all words
+        total = np.bincount(prefix)
+        keys, count = np.concatenate([keys, np.arange(len(total)) * size + size - 1]), np.concatenate([count, total])
+        order = np.argsort(keys, kind="stable")
+        keys, count = keys[order], count[order]
     owner, following = keys // size, keys % size
     first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     place = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
@@ -126,17 +150,19 @@ def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray
 
 
 def _set_bits(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The places of phrases in a bitmap of so many bits, as words of 32 bits."""
+    """The places of phrases (lang, phrase) or of their hashes in a bitmap of so many bits, as words of 32 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            words = split_words(batch.column("phrase"), byte_kinds(b" "))
-            hashes = words.hashes().reshape(batch.num_rows, -1)
-            state = name_hashes([x.encode() for x in batch.column("lang").to_pylist()])
-            for j in range(hashes.shape[1]):
-                state = mixed(state, hashes[:, j])
+            if "hash" in batch.schema.names:
+                state = batch.column("hash").to_numpy().view(np.uint64)
+            else:
+                hashes = split_words(batch.column("phrase"), byte_kinds(b" ")).hashes().reshape(batch.num_rows, -1)
+                state = name_hashes([x.encode() for x in batch.column("lang").to_pylist()])
+                for j in range(hashes.shape[1]):
+                    state = mixed(state, hashes[:, j])
             bits = np.unique(np.concatenate(_bits(state, size)))
             yield pa.record_batch([pa.array((bits >> np.uint64(5)).astype(np.int64)), pa.array(np.uint64(1) << (bits & np.uint64(31))).cast(pa.int64())], ["word", "bits"])
 
@@ -144,29 +170,30 @@ def _set_bits(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def frequent_bitmap(phrases: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS bits of phrases (lang, phrase: all of as many words): what reaches the driver has at most FILTER_BITS / 32 rows."""
-    found = phrases.select("lang", "phrase").mapInArrow(_set_bits(FILTER_BITS), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    """A bitmap of FILTER_BITS bits of phrases (lang, phrase: all of as many words; or hash): what reaches the driver has at most FILTER_BITS / 32 rows."""
+    found = phrases.mapInArrow(_set_bits(FILTER_BITS), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 32, "<u4")
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype("<u4")
     return out.view(np.uint8)
 
 
 def merged_stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> dict[int, DataFrame]:
-    """k -> elements (lang, prefix, next, a) of the stripes of prefixes of k - 1 words with a >= least; next is null for the prefix's own total.
-
-    At k = 1 the one prefix is empty: its null element is the number of all words.
-    """
+    """k -> elements (lang, prefix, next, a) of the stripes of prefixes of k - 1 words with a >= least. At k = 1 the prefix is empty, and its null element the number of all words."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text"))
     out: dict[int, DataFrame] = {}
+    share = docs.sparkSession.sparkContext.broadcast
     for k in range(1, longest + 1):
-        bitmap = None
+        bitmap = pairs = None
         if k > 1:
             grown = out[k - 1].where(F.col("next").isNotNull()).select("lang", _phrase(k - 1).alias("phrase"))
             bitmap = frequent_bitmap(grown)
             if not bitmap.any():
                 break
-            bitmap = docs.sparkSession.sparkContext.broadcast(bitmap)
-        sent = texts.mapInArrow(_stripes(k, bitmap, STRIPE), STRIPES)
+            bitmap = share(bitmap)
+        if k == 2:
+            hashed = texts.mapInArrow(_hashed_pairs(bitmap), "hashes array<long>, counts array<long>").select(F.explode(F.arrays_zip("hashes", "counts")).alias("e"))
+            pairs = share(frequent_bitmap(hashed.groupBy(F.col("e.hashes").alias("hash")).agg(F.sum("e.counts").alias("a")).where(F.col("a") >= least).select("hash")))
+        sent = texts.mapInArrow(_stripes(k, bitmap, STRIPE, pairs), STRIPES)
         element = F.explode(F.arrays_zip("nexts", "counts")).alias("e")
         summed = sent.select("lang", "prefix", element).groupBy("lang", "prefix", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("a"))
         kept = summed.where((F.col("a") >= least) | (F.lit(k == 1) & F.col("next").isNull()))
@@ -186,7 +213,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
         return total.where("false").select("lang", F.lit(1).cast("long").alias("rank"), F.col("lang").alias("phrase"), *[F.col("n").alias(c) for c in ("a", "l", "r")], "n", F.col("n").alias("score"))
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     found = union([stripes[k].where(F.col("next").isNotNull()).select("lang", _phrase(k).alias("phrase"), F.lit(k).alias("k"), "prefix", "a") for k in range(2, longest + 1) if k in stripes])
-    totals = union([s.where(F.col("next").isNull()).select("lang", F.col("prefix").alias("phrase"), "a") for k, s in stripes.items() if k > 1])
+    totals = union([s.where(F.col("next").isNotNull()).select("lang", _phrase(k).alias("phrase"), "a") for k, s in stripes.items() if k < longest])
     longer = found.where(F.col("k") > 2)
     ends = longer.select("lang", F.col("prefix").alias("phrase"), "a").unionByName(longer.select("lang", F.expr("substr(phrase, instr(phrase, ' ') + 1)").alias("phrase"), "a"))
     most = ends.groupBy("lang", "phrase").agg(F.max("a").alias("within"))
