@@ -80,8 +80,9 @@ TITLES = "|".join([*MALE, *[t.upper() for t in MALE], *FEMALE, *NEUTRAL])
 GAP = r"[ \t\u00A0]{1,3}"
 NAME_WORD = r"\p{Lu}[\p{L}\p{M}]*(?:['\u2019\-]\p{L}[\p{L}\p{M}]*)*+"
 PARTICLE = rf"(?:{'|'.join(PARTICLES)})"
+PART = rf"(?:\p{{Lu}}\.(?={GAP}(?:{PARTICLE}{GAP})*+\p{{Lu}})|{NAME_WORD})"  # an initial or a word
 #: Possessive, so that no match ends inside a name; a single letter is no name, unless others follow it.
-NAME = rf"(?<!\p{{L}})(?:{TITLES})\.?{GAP}(?!\p{{Lu}}(?![\p{{L}}\p{{M}}'\u2019\-]|\.?{GAP}\p{{Lu}}))(?:{PARTICLE}{GAP})*+{NAME_WORD}(?:\.?{GAP}(?:{PARTICLE}{GAP})*+{NAME_WORD})*+(?!\p{{L}})"
+NAME = rf"(?<!\p{{L}})(?:{TITLES})\.?{GAP}(?!\p{{Lu}}(?![\p{{L}}\p{{M}}'\u2019\-]|\.?{GAP}\p{{Lu}}))(?:{PARTICLE}{GAP})*+{PART}(?:{GAP}(?:{PARTICLE}{GAP})*+{PART})*+(?!\p{{L}})"
 TITLE = rf"^(?:{TITLES})\.?{GAP}"
 ENTITY = "|".join([MAIL, SECRET, SIX, ADDRESS, ACCOUNT, PHONE, SOCIAL, CARD, NAME])
 #: What every entity has; the look-ahead spares most characters the alternatives.
