@@ -834,7 +834,7 @@ def test_queries_are_registered(spark):
 
     names = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert names["op6_links"](spark, DATA).count() == spark.read.parquet(f"{DATA}/pages.parquet").count()
 
 
