@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.operators import folds, intervals, series
+from framewright.storage import kept as stored
 
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
@@ -56,11 +57,12 @@ def histogram_cuts(coarse: DataFrame, fine: DataFrame, psd: DataFrame, s: Settin
 
 def merge_cuts(psd: DataFrame, hist: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
     """The merged cuts (video_id, t) and the burst zones (video_id, zs, ze)."""
-    zones = folds.burst_zones(hist, "video_id", "t", "seq", s.burst, 3, s.before, s.after)
+    hist = stored(hist, "detect-hist")
+    zones = stored(folds.burst_zones(hist, "video_id", "t", "seq", s.burst, 3, s.before, s.after), "detect-zones")
     both = psd.select("video_id", "t", F.lit(True).alias("is_psd")).unionByName(hist.select("video_id", "t", F.lit(False).alias("is_psd")))
     one = both.groupBy("video_id", "t").agg(F.max("is_psd").alias("is_psd"))
-    kept = folds.gap_dedupe(one, "video_id", "t", "is_psd", s.gap)
-    flagged = intervals.zone_flags(kept, zones, "video_id", "t", HOUR)
+    kept = stored(folds.gap_dedupe(stored(one, "detect-cuts"), "video_id", "t", "is_psd", s.gap), "detect-apart")
+    flagged = stored(intervals.zone_flags(kept, zones, "video_id", "t", HOUR), "detect-flagged")
     return folds.zone_min_gap(flagged, "video_id", "t", "in_zone", s.gap_inside, s.gap_outside).select("video_id", "t"), zones
 
 
@@ -69,6 +71,7 @@ def long_shot_cuts(cuts: DataFrame, zones: DataFrame, durations: DataFrame, fine
     bounds = intervals.with_sentinels(cuts, durations, "video_id", "t", F.lit(0).cast("long"))
     spans = intervals.boundaries_to_intervals(bounds, "video_id", "t", width=HOUR).where(F.col("end") - F.col("start") >= s.long_shot)
     calm = intervals.in_zone(spans, zones, "video_id", "start", False, HOUR).select("video_id", "start", "end")
+    calm = stored(calm, "detect-calm")
     return intervals.point_in_interval(fine.where(F.col("sim") < s.fine), calm, "video_id", "t", MINUTE).where(F.col("t") > F.col("start")).select("video_id", "t")
 
 
@@ -77,6 +80,7 @@ def dissolve_cuts(slow: DataFrame, frames: DataFrame, cuts: DataFrame, s: Settin
     v = series.local_valley(slow, ["video_id"], ["n"], "sim", s.valley, width=CELL_ROWS)
     v = series.shoulders(v, ["video_id"], ["n"], "sim", s.shoulder, width=CELL_ROWS)
     v = series.run_bounds(series.low_runs(v, ["video_id"], ["n"], "sim", s.low), ["video_id"], "n", "sim", s.low)
+    v = stored(v, "detect-runs")
     found = v.where("is_valley AND has_shoulders").where(F.col("run_length") / s.fps < 1.0)
     rounded = cuts.select("video_id", (F.round(F.col("t") / (SECOND // 10)) * (SECOND // 10)).cast("long").alias("t"))
     free = intervals.band(found.select("video_id", F.col("n").alias("cand"), "t", "vs", "ve"), rounded, "video_id", "t", s.apart, False, MINUTE)
@@ -99,8 +103,10 @@ def detect_shots(psd: DataFrame, coarse: DataFrame, fine: DataFrame, slow: DataF
     """All passes: video_id, id, start, end, duration (microseconds)."""
     psd = psd.where(F.col("t") > s.leading)
     merged, zones = merge_cuts(psd, histogram_cuts(coarse, fine, psd, s), s)
+    merged = stored(merged, "detect-merged")
     third = merged.unionByName(long_shot_cuts(merged, zones, durations, fine, s)).distinct()
-    final = third.unionByName(dissolve_cuts(slow, frames, third, s)).distinct()
+    third = stored(third, "detect-third")
+    final = stored(third.unionByName(dissolve_cuts(slow, frames, third, s)).distinct(), "detect-final")
     bounds = intervals.with_sentinels(final, durations, "video_id", "t", F.lit(0).cast("long"))
     shots = intervals.number_intervals(intervals.boundaries_to_intervals(bounds, "video_id", "t", width=HOUR).select("video_id", "start", "end"), "video_id", F.lit(s.least_shot), HOUR)
     return shots.withColumn("duration", F.col("end") - F.col("start"))
