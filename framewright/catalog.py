@@ -231,10 +231,21 @@ def lag15_pearson(spark, d):
 @query("""WITH x AS (SELECT vec_id, unnest(embedding::DOUBLE[]) AS v FROM embeddings), b AS (SELECT vec_id, CAST(least(7, greatest(0, floor((v + 1) * 4))) AS INTEGER) AS bin FROM x)
 SELECT vec_id, bin, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY vec_id), 6) AS share FROM b GROUP BY vec_id, bin""")
 def bin_histogram(spark, d):
+    from framewright.functions.arrays import bin_of
+
     x = table(spark, d, "embeddings").select("vec_id", F.explode("embedding").alias("v"))
-    v = F.col("v").cast("double")
-    bins = x.select("vec_id", F.least(F.lit(7), F.greatest(F.lit(0), F.floor((v + 1) * 4))).cast("int").alias("bin")).groupBy("vec_id", "bin").agg(F.count(F.lit(1)).alias("n"))
-    return bins.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy("vec_id")), 6))
+    return series.histogram_shares(x, ["vec_id"], bin_of(F.col("v").cast("double"), -1, 1, 8)).withColumn("share", F.round("share", 6))
+
+
+@query("""SELECT source, bin, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY source), 6) AS share
+FROM (SELECT source, (((n_chars % 256) // 32) * 8 + ((doc_id % 256) // 32)) * 8 + (octet_length(encode(text)) % 256) // 32 AS bin FROM documents WHERE n_chars IS NOT NULL AND text IS NOT NULL) GROUP BY source, bin""")
+def colour_histogram(spark, d):
+    """Documents as pixels of a source: length, number and bytes for red, green and blue."""
+    from framewright.functions.arrays import colour_bin
+
+    r, g, b = F.col("n_chars") % 256, F.col("doc_id") % 256, F.octet_length("text") % 256
+    held = table(spark, d, "documents").where("n_chars IS NOT NULL AND text IS NOT NULL")
+    return series.histogram_shares(held, ["source"], colour_bin(r, g, b).cast("long")).withColumn("share", F.round("share", 6))
 
 
 SERIES = f"WITH {EV}, s AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY t, event_id) AS n FROM ev)"
@@ -645,21 +656,40 @@ def dialogue_fallback(spark, d):
     return table(spark, d, "documents").select("doc_id", F.element_at(first_filled(said, F.array(F.lit("none"))), 1).alias("dialogue"), excerpt(F.col("text")).alias("excerpt"))
 
 
-@query(f"""{LAID}, st AS (SELECT video_id, event_type AS stem, value AS amp, row_number() OVER (PARTITION BY video_id, event_type ORDER BY t, event_id) - 1 AS n FROM ev),
+BARS = f"""{LAID}, st AS (SELECT video_id, event_type AS stem, value AS amp, row_number() OVER (PARTITION BY video_id, event_type ORDER BY t, event_id) - 1 AS n FROM ev),
 bk AS (SELECT video_id, stem, CAST(n // 4 AS BIGINT) AS bucket, sqrt(avg(amp * amp) + 1e-10) AS energy FROM st GROUP BY video_id, stem, n // 4 HAVING count(*) = 4),
 p AS (SELECT *, CAST(round_even(100 * energy / max(energy) OVER (PARTITION BY video_id, stem), 0) AS INTEGER) AS pct FROM bk), bound AS (SELECT video_id, max(en) AS e, max(total) AS total FROM lay GROUP BY video_id),
 q AS (SELECT DISTINCT video_id, unnest([bucket, bucket + 1]) AS g FROM p), hit AS (SELECT q.video_id, q.g, arg_min(l.y_start + (q.g * 6.0 - l.st) * l.h / nullif(l.en - l.st, 0), (l.st, l.en)) AS y FROM q JOIN lay l ON l.video_id = q.video_id AND q.g * 6.0 >= l.st AND q.g * 6.0 <= l.en GROUP BY q.video_id, q.g),
-pos AS (SELECT q.video_id, q.g, CASE WHEN q.g * 6.0 >= b.e THEN b.total ELSE coalesce(h.y, 0) END AS y FROM q JOIN bound b USING (video_id) LEFT JOIN hit h USING (video_id, g))
-SELECT p.video_id, p.stem, p.bucket, round(greatest(0.5, CASE WHEN y.y - x.y = 0 THEN 1 ELSE y.y - x.y END), 3) AS bar_h, round(pct / 100 * 300 * 0.45, 6) AS bar_w
+pos AS (SELECT q.video_id, q.g, CASE WHEN q.g * 6.0 >= b.e THEN b.total ELSE coalesce(h.y, 0) END AS y FROM q JOIN bound b USING (video_id) LEFT JOIN hit h USING (video_id, g))"""
+
+
+@query(f"""{BARS} SELECT p.video_id, p.stem, p.bucket, round(greatest(0.5, CASE WHEN y.y - x.y = 0 THEN 1 ELSE y.y - x.y END), 3) AS bar_h, round(pct / 100 * 300 * 0.45, 6) AS bar_w
 FROM p JOIN pos x ON x.video_id = p.video_id AND x.g = p.bucket JOIN pos y ON y.video_id = p.video_id AND y.g = p.bucket + 1""")
 def bar_geometry(spark, d):
     """Buckets of six hours; a bar stands between the positions of its bucket and of the next one."""
+    return placed_bars(spark, d).select("video_id", "stem", "bucket", F.round("bar_h", 3).alias("bar_h"), F.round("bar_w", 6).alias("bar_w"))
+
+
+def placed_bars(spark, d):
     p = energy.bucket_percent(buckets(spark, d), ["video_id", "stem"])
     at = p.select("video_id", F.explode(F.array("bucket", F.col("bucket") + 1)).alias("g")).distinct().withColumn("t", F.col("g") * 6.0)
     y = intervals.position_of_time(at, located(spark, d), "video_id", "t", "g", 24.0)
     low, high = y.select("video_id", F.col("g").alias("bucket"), "y"), y.select("video_id", (F.col("g") - 1).alias("bucket"), F.col("y").alias("y2"))
     placed = p.join(low, ["video_id", "bucket"]).join(high, ["video_id", "bucket"])
-    return layout.bars(placed, F.lit(1), "y", "y2", 300).select("video_id", "stem", "bucket", F.round("bar_h", 3).alias("bar_h"), F.round("bar_w", 6).alias("bar_w"))
+    return layout.bars(placed, F.lit(1), "y", "y2", 300)
+
+
+@query(f"""{BARS}, bars AS (SELECT p.video_id, p.stem, p.bucket, round(x.y, 6) AS y, greatest(0.5, CASE WHEN y.y - x.y = 0 THEN 1 ELSE y.y - x.y END) AS bar_h, b.total
+FROM p JOIN pos x ON x.video_id = p.video_id AND x.g = p.bucket JOIN pos y ON y.video_id = p.video_id AND y.g = p.bucket + 1 JOIN bound b ON b.video_id = p.video_id),
+tile AS (SELECT video_id, total, k AS tile, k * 1000 AS top, least(1000, total - k * 1000) AS tall FROM (SELECT video_id, total, unnest(generate_series(0, CAST(ceil(total / 1000) AS BIGINT) - 1)) AS k FROM bound))
+SELECT a.video_id, a.stem, a.bucket, t.tile, round(a.y - t.top, 3) AS y_in, round(greatest(0, least(floor(t.tall), a.y - t.top + a.bar_h) - greatest(0, a.y - t.top)), 3) AS drawn
+FROM bars a JOIN tile t ON t.video_id = a.video_id AND NOT (a.y + 1 < t.top OR a.y > t.top + t.tall)""")
+def bar_tiles(spark, d):
+    """The bars in tiles of 1000 pixels."""
+    totals = laid(spark, d).groupBy("video_id").agg(F.max("total").alias("total"))
+    held = placed_bars(spark, d).join(totals, "video_id").withColumn("y", F.round("y", 6))
+    cut = layout.bar_tiles(held, "video_id", "y", "total", 1000)
+    return cut.select("video_id", "stem", "bucket", F.col("tile").cast("long").alias("tile"), F.round("y_in", 3).alias("y_in"), F.round("drawn", 3).alias("drawn"))
 
 
 @query(f"""WITH {EV}, sg AS (SELECT DISTINCT video_id, t FROM ev WHERE event_type = 'signup'), sc AS (SELECT video_id, t AS st, lead(t) OVER (PARTITION BY video_id ORDER BY t) AS en FROM sg),

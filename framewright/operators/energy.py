@@ -79,20 +79,21 @@ def bucket_slice(buckets: DataFrame, shots: DataFrame, key: str, per_second: Col
     return cells.join(buckets, [key, "bucket"]).withColumn("bar", F.greatest(F.lit(2.0), 100 * F.col("level")))
 
 
-def spectral_centroid(samples: DataFrame, keys: list[str], number: str, rate: int, first: int = 8192, least: int = 256) -> DataFrame:
-    """Centroid of the spectrum of each group's first samples, padded to `first`; 0 for short or silent groups.
+def spectral_centroid(samples: DataFrame, keys: list[str], number: str, rate: int | str, first: int = 8192, least: int = 256) -> DataFrame:
+    """Centroid of the spectrum of each group's first samples, padded to `first`; 0 for short or silent groups. rate: samples a second, or the column that holds it.
 
     The heads are cut and collected to arrays before Python sees them, a batch of groups at a time.
     """
 
     @F.pandas_udf("double")
-    def centroid(heads: pd.Series) -> pd.Series:
-        places, out = np.fft.rfftfreq(first, 1 / rate), np.zeros(len(heads))
-        for k, x in enumerate(heads):
+    def centroid(heads: pd.Series, rates: pd.Series) -> pd.Series:
+        out, places = np.zeros(len(heads)), {r: np.fft.rfftfreq(first, 1 / r) for r in set(rates)}
+        for k, (x, r) in enumerate(zip(heads, rates, strict=True)):
             size = np.abs(np.fft.rfft(np.asarray(x, np.float64), n=first)) if len(x) >= least else np.zeros(1)
-            out[k] = round(float((places * size).sum() / size.sum()), 1) if size.sum() >= FLOOR else 0.0
+            out[k] = round(float((places[r] * size).sum() / size.sum()), 1) if size.sum() >= FLOOR else 0.0
         return pd.Series(out)
 
-    head = samples.select(*keys, F.struct(F.col(number).alias("number"), F.col("amplitude").cast("double").alias("x")).alias("s")).where(F.col("s.number") < first)
-    heads = head.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["x"]).alias("head"))
-    return heads.select(*keys, centroid("head").alias("centroid"))
+    per_second = F.col(rate) if isinstance(rate, str) else F.lit(rate)
+    head = samples.select(*keys, per_second.alias("__rate"), F.struct(F.col(number).alias("number"), F.col("amplitude").cast("double").alias("x")).alias("s")).where(F.col("s.number") < first)
+    heads = head.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["x"]).alias("head"), F.max("__rate").alias("__rate"))
+    return heads.select(*keys, centroid("head", "__rate").alias("centroid"))

@@ -54,3 +54,17 @@ def bars(buckets: DataFrame, step: Column, y: str, y_next: str, width: float) ->
     """Adds bar_h and bar_w: a bucket's height between its own and the next place (1 where they agree), its width by percentage."""
     height = F.col(y_next) - F.col(y)
     return buckets.withColumn("bar_h", F.greatest(F.lit(0.5), F.when(height == 0, 1.0).otherwise(height))).withColumn("bar_w", F.col("pct") / 100 * width * 0.45)
+
+
+def bar_tiles(bars: DataFrame, key: str, y: str, total: str, size: int = TILE, near: float = 1.0) -> DataFrame:
+    """Bars cut at the tiles that a page of height `total` is drawn in: a row for each tile that a bar's top lies in, or up to `near` above.
+
+    Adds tile, y_in (the top inside the tile; negative above it) and drawn (the height that the tile, of whole pixels, shows). A bar lies in two tiles at
+    most, and one of a page without height in none.
+    """
+    n = F.ceil(F.col(total) / size)
+    first, last = F.greatest(F.lit(0), F.ceil(F.col(y) / size) - 1), F.least(n - 1, F.floor((F.col(y) + near) / size))
+    placed = bars.withColumn("tile", F.explode(F.when(last >= first, F.sequence(first, last)))).withColumn("tile", F.col("tile").cast("int"))
+    height = F.least(F.lit(float(size)), F.col(total) - F.col("tile") * size)
+    placed = placed.withColumn("y_in", F.col(y) - F.col("tile") * size).where(F.col("y_in") <= height)
+    return placed.withColumn("drawn", F.greatest(F.lit(0.0), F.least(F.floor(height).cast("double"), F.col("y_in") + F.col("bar_h")) - F.greatest(F.lit(0.0), F.col("y_in"))))

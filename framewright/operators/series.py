@@ -90,3 +90,9 @@ def refine_argmin(candidates: DataFrame, series: DataFrame, key: str, cand: str,
     near = near_points(candidates, s, key, at, "__n", reach)
     best = near.groupBy(key, cand).agg(F.min(F.struct("__v", "__n")).alias("__best"))
     return candidates.join(best, [key, cand], "left").select(key, cand, at, F.coalesce("__best.__n", at).alias("refined"))
+
+
+def histogram_shares(values: DataFrame, keys: list[str], cell: Column) -> DataFrame:
+    """keys, bin, n, share: how often each bin occurs among the values of a key, and its share of them. Bins without values have no row."""
+    counts = values.groupBy(*keys, cell.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy(*keys)))

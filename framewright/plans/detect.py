@@ -112,6 +112,13 @@ def detect_shots(psd: DataFrame, coarse: DataFrame, fine: DataFrame, slow: DataF
     return shots.withColumn("duration", F.col("end") - F.col("start"))
 
 
+def detector_shots(psd: DataFrame, durations: DataFrame) -> DataFrame:
+    """Detection in one stage: the detector's own cuts (video_id, t) from the start of a video to its end, none dropped."""
+    bounds = intervals.with_sentinels(psd.select("video_id", "t"), durations, "video_id", "t", F.lit(0).cast("long"))
+    shots = intervals.number_intervals(intervals.boundaries_to_intervals(bounds.distinct(), "video_id", "t", width=HOUR).select("video_id", "start", "end"), "video_id", width=HOUR)
+    return shots.withColumn("duration", F.col("end") - F.col("start"))
+
+
 def refined_scenes(scenes: DataFrame, parts: DataFrame, longest: int = 8 * SECOND, least: int = 12 * SECOND // 10) -> DataFrame:
     """Detection in two stages: long scenes (video_id, start, end) give way to their parts (video_id, of_start, start, end), then fragments are merged."""
     held = intervals.replace_long(scenes, parts, "video_id", longest)

@@ -40,10 +40,11 @@ def read_profile(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 def read_segments(spark: SparkSession, path: str | None) -> DataFrame:
-    """seg_no, start, end, text of a transcript; a missing start counts as 0, missing segments as none."""
+    """video_id (of the file's name), seg_no, start, end, text of transcripts; a missing start counts as 0, missing segments as none."""
     held = _json(spark, path, TRANSCRIPT) if path else spark.createDataFrame([], TRANSCRIPT)
-    rows = held.select(F.posexplode(F.coalesce("segments", F.array())).alias("seg_no", "s"))
-    return rows.select("seg_no", F.coalesce("s.start", F.lit(0.0)).alias("start"), F.col("s.end").alias("end"), F.coalesce("s.text", F.lit("")).alias("text"))
+    video = video_of(F.col("_metadata.file_path")) if path else F.lit(None).cast("string")
+    rows = held.select(video.alias("video_id"), F.posexplode(F.coalesce("segments", F.array())).alias("seg_no", "s"))
+    return rows.select("video_id", "seg_no", F.coalesce("s.start", F.lit(0.0)).alias("start"), F.col("s.end").alias("end"), F.coalesce("s.text", F.lit("")).alias("text"))
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +57,7 @@ def read_prompts(spark: SparkSession, path: str, lines: bool = False) -> DataFra
 
 def read_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Prompt parts of part_*.json files with the file's name and the place in it, by which later ones win."""
-    held = spark.read.option("wholetext", True).option("pathGlobFilter", "part_*.json").text(folder).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), "value")
+    held = spark.read.option("pathGlobFilter", "part_*.json").text(folder, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), "value")
     rows = held.select("file", F.posexplode(F.from_json("value", f"ARRAY<STRUCT<{PART.replace(' INT', ':INT').replace(' STRING', ':STRING')}>>")).alias("pos", "p"))
     return rows.select("p.*", "file", "pos")
 

@@ -55,10 +55,10 @@ def read_wav(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] =
 
 
 def samples_of(blocks: DataFrame) -> DataFrame:
-    """path, number, t (seconds) and amplitude of every sample."""
+    """path, number, t (seconds), amplitude and rate of every sample."""
     rows = blocks.select("path", "rate", "block_no", F.posexplode("samples").alias("pos", "amplitude"))
     number = F.col("block_no") * BLOCK + F.col("pos")
-    return rows.select("path", number.alias("number"), (number / F.col("rate")).alias("t"), "amplitude")
+    return rows.select("path", number.alias("number"), (number / F.col("rate")).alias("t"), "amplitude", "rate")
 
 
 def histogram(pixels: np.ndarray, bins: int = 8) -> np.ndarray:

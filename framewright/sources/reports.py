@@ -33,12 +33,28 @@ def frame_files(cache: DataFrame) -> DataFrame:
     return rows.select(frame_name(F.col("id"), F.col("f.kind")).alias("name"), from_data_url(F.col("f.url")).alias("content"))
 
 
-def report(rows: DataFrame, title: str, body: Column, order: list[str], script: Column | None = None) -> DataFrame:
-    """One page of text from row fragments, for write.text: a report holds one video's shots, so that its rows fit one task."""
+def _page(title: Column, body: Column, order: list[str], script: Column | None, older: str | None) -> Column:
+    """An aggregate: the page of a group's rows in order. An older page lends its style, and its script with the shots replaced."""
     line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, body.alias("__b")))), lambda s: s["__b"]), "\n")
     data = F.lit("") if script is None else script_safe(F.to_json(F.array_sort(F.collect_list(script))))
-    head = F.concat(F.lit("<!DOCTYPE html><html><head><meta charset=\"utf-8\"><title>"), html_escape(F.lit(title)), F.lit("</title></head><body>\n"))
-    return rows.agg(F.concat(head, line, F.lit("\n<script>const rows = "), data, F.lit(";</script></body></html>")).alias("value"))
+    style, code = F.lit(""), F.concat(F.lit("const rows = "), data, F.lit(";"))
+    if older is not None:
+        style = F.concat(F.lit("<style>"), html_block(F.lit(older), "style"), F.lit("</style>"))
+        code = swap_shots(html_block(F.lit(older), "script"), data)
+    head = F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), html_escape(title), F.lit("</title>"), style, F.lit("</head><body>\n"))
+    return F.concat(head, line, F.lit("\n<script>"), code, F.lit("</script></body></html>"))
+
+
+def report(rows: DataFrame, title: str, body: Column, order: list[str], script: Column | None = None, older: str | None = None) -> DataFrame:
+    """One page of text from row fragments, for write.text: a report holds one video's shots, so that its rows fit one task."""
+    return rows.agg(_page(F.lit(title), body, order, script, older).alias("value"))
+
+
+def pages(rows: DataFrame, key: str, title: str, body: Column, order: list[str], script: Column | None = None, older: str | None = None) -> DataFrame:
+    """The pages of all videos for the sinks of files: key, name, content. A page holds one video's shots."""
+    named = F.concat(F.lit(f"{title} "), F.max(F.col(key).cast("string")))
+    made = rows.groupBy(key).agg(_page(named, body, order, script, older).alias("__page"))
+    return made.select(key, F.concat(F.col(key).cast("string"), F.lit(".html")).alias("name"), F.encode("__page", "UTF-8").alias("content"))
 
 
 def write_files(files: DataFrame, folder: str) -> DataFrame:

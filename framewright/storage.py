@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+LOG = logging.getLogger("framewright")
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -19,7 +23,9 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back, so that later steps survive lost executors and nothing is computed twice."""
+    """Write df to the shared folder and read it back, so that later steps survive lost executors and nothing is computed twice. Its number of rows, observed while it is written, goes to the log."""
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    seen = Observation(f"{label}-{uuid.uuid4().hex}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    LOG.info("%s: %d rows", label, seen.get["rows"])
     return df.sparkSession.read.schema(df.schema).parquet(path)
