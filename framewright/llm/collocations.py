@@ -1,7 +1,8 @@
 """Phrase collocations by stripes: each prefix keys a counter of the words that follow it.
 
-One pass over the texts for each phrase length k. A task counts a chunk of texts with exact word numbers and hands on stripes: a prefix of
-k - 1 words with the words that follow it and how often (the empty prefix also with the number of all words, under null). Stripes are merged element by
+One pass over the texts for each phrase length k. A task counts a chunk of texts with exact word numbers as stripes: a prefix of
+k - 1 words with the words that follow it and how often (the empty prefix also with the number of all words, under null). The stripes of a task's chunks are joined
+before they are handed on, as long as they fit in HELD bytes. Stripes are then merged element by
 element with partial sums before the shuffle, so that no stripe has to fit in a task. The merged stripes, nested by their prefixes, hold the extensions
 (their elements), the totals of prefixes (a prefix is an element itself, of the stripe of its own prefix), and the subsumption maxima (the largest element of a prefix, and of a suffix).
 
@@ -31,6 +32,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 SHARE = 100
 FILTER_BITS = 1 << 26
 CHUNK = 6 << 20
+HELD = 32 << 20
 STRIPE = 4096
 KINDS = byte_kinds(b"\x20\x09", b".,;:!?\n\x0b\x0c\r")
 SCORE = "1000BD * (cast(a as decimal(17,0)) * cast(n as decimal(17,0))) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))"
@@ -45,15 +47,66 @@ def _bits(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
 def _stripes(k: int, bitmap, longest: int, pairs=None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Stripes of prefixes of k - 1 words; bitmap: broadcast, of the frequent phrases of k - 1 words (none at k = 1); longest: of a stripe's part; pairs: broadcast, a bitmap of phrases of k words that may be frequent."""
 
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        words = split_words(batch.column("text"), KINDS)
+        return _counted(words, batch.column("lang").dictionary_encode(), k, None if bitmap is None else bitmap.value, longest, None if pairs is None else pairs.value) if len(words) else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", CHUNK):
-            words = split_words(batch.column("text"), KINDS)
-            if len(words):
-                yield from _counted(words, batch.column("lang").dictionary_encode(), k, None if bitmap is None else bitmap.value, longest, None if pairs is None else pairs.value)
+        held, size = [], 0
+        for found in filter(None, map(counted, chunks(batches, "text", CHUNK))):
+            if found.nbytes > HELD:
+                yield from _sliced(found)
+                continue
+            held, size = [*held, found], size + found.nbytes
+            if size > HELD:
+                held = [_joined(held, longest)]
+                size = held[0].nbytes
+                if size > HELD // 2:  # joining does not make them few: the shuffle does the rest
+                    yield from _sliced(held[0])
+                    held, size = [], 0
+        if held:
+            yield from _sliced(_joined(held, longest))
 
     return run
 
 
+def _sliced(stripes: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, stripes.num_rows, 10_000):
+        yield stripes.slice(start, 10_000)
+
+
+def _joined(stripes: list[pa.RecordBatch], longest: int) -> pa.RecordBatch:
+    """The stripes of several chunks merged element by element, so that a prefix has one stripe (a long one: its parts)."""
+    if len(stripes) == 1:
+        return stripes[0]
+    held = pa.Table.from_batches(stripes).combine_chunks().to_batches()[0]
+    (langs, lang), (prefixes, prefix), (names, following) = (_numbered(x) for x in (held.column("lang"), held.column("prefix"), held.column("nexts").flatten()))
+    heads, owner = np.unique(lang * len(prefixes) + prefix, return_inverse=True)
+    owner = np.repeat(owner, held.column("nexts").value_lengths().to_numpy(zero_copy_only=False))
+    keys = owner * len(names) + following
+    order = np.argsort(keys, kind="stable")
+    keys, count = keys[order], held.column("counts").flatten().to_numpy()[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    keys, count = keys[first], np.add.reduceat(count, first)
+    return _laid_out(langs.take(pa.array(heads // len(prefixes))), prefixes.take(pa.array(heads % len(prefixes))), keys // len(names), names.take(pa.array(keys % len(names))), count, longest)
+
+
+def _numbered(names: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct names, null among them, and each one's number."""
+    coded = names.dictionary_encode(null_encoding="encode")
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _laid_out(langs: pa.Array, prefixes: pa.Array, owner: np.ndarray, nexts: pa.Array, counts: np.ndarray, longest: int) -> pa.RecordBatch:
+    """Stripes of elements that ascend by owner, the place of their stripe's lang and prefix; a long stripe travels in parts."""
+    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    place = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
+    cut = np.flatnonzero(place % longest == 0)
+    offsets, heads = pa.array(np.append(cut, len(owner)).astype(np.int32)), pa.array(owner[cut])
+    lists = [pa.ListArray.from_arrays(offsets, x) for x in (nexts.cast(pa.string()), pa.array(counts.astype(np.int64)))]
+    return pa.record_batch([langs.take(heads).cast(pa.string()), prefixes.take(heads).cast(pa.string()), *lists], ["lang", "prefix", "nexts", "counts"])
+
+
 def _known(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes have both their bits set."""
     out = np.ones(len(hashes), bool)
@@ -93,20 +146,20 @@ def _hashed_pairs(bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray | None, longest: int, pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray | None, longest: int, pairs: np.ndarray | None) -> pa.RecordBatch | None:
     lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.row]
     n = len(words)
     at = np.arange(n)  # where phrases start
     if k > 1:
         if n < k:
-            return
+            return None
         *_, before, whole = _states(words, langs, lang, k)
         ok = _known(bitmap, before)
         ok = ok[:-1] & ok[1:] & (words.piece[: n - k + 1] == words.piece[k - 1 :])
         at = np.flatnonzero(ok)
         at = at if pairs is None else at[_known(pairs, whole[at])]
     if not len(at):
-        return
+        return None
     last = at + k - 1
     used = np.zeros(n, bool)
     for j in range(k):
@@ -131,22 +184,14 @@ def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray
         order = np.argsort(keys, kind="stable")
         keys, count = keys[order], count[order]
     owner, following = keys // size, keys % size
-    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    place = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
-    cut = np.flatnonzero(place % longest == 0)  # a long stripe travels in parts
+    owners, owner = np.unique(owner, return_inverse=True)
+    heads = where[owners]
     names = pa.concat_arrays([names, pa.nulls(1, names.type)]).cast(pa.large_string())
-    offsets = pa.array(np.append(cut, len(keys)).astype(np.int32))
-    heads = where[owner[cut]]
-    text = pa.array([""] * len(cut), pa.large_string())
+    text = pa.array([""] * len(heads), pa.large_string())
     if k > 1:
         parts = [names.take(pa.array(ids[heads + j])) for j in range(k - 1)]
         text = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 2 else parts[0]
-    nexts = pa.ListArray.from_arrays(offsets, names.take(pa.array(following)).cast(pa.string()))
-    counts = pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int64)))
-    spoken = langs.dictionary.take(pa.array(lang[heads])).cast(pa.string())
-    out = pa.record_batch([spoken, text.cast(pa.string()), nexts, counts], ["lang", "prefix", "nexts", "counts"])
-    for start in range(0, out.num_rows, 10_000):
-        yield out.slice(start, 10_000)
+    return _laid_out(langs.dictionary.take(pa.array(lang[heads])), text, owner, names.take(pa.array(following)), count, longest)
 
 
 def _set_bits(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -99,6 +99,32 @@ def test_collocation_filter_keeps_all_and_long_stripes_travel_in_parts(spark, mo
     assert sorted(tuple(r.values()) for r in rows(collocations.collocations(df, 3, 4, None))) == plain_collocations(texts, 3, 4, 10**9)
 
 
+@pytest.mark.parametrize("held", [1 << 20, 600, 1])
+@pytest.mark.parametrize("k", [1, 2, 3, 5])
+def test_stripes_of_a_tasks_chunks_are_joined(monkeypatch, k, held):
+    """A task of many chunks hands on one stripe a prefix, in parts of full length but the last; beyond HELD bytes it hands them on earlier. Counts are exact either way."""
+    monkeypatch.setattr(collocations, "CHUNK", 300)
+    monkeypatch.setattr(collocations, "HELD", held, raising=False)
+    items = [(("en", "und", "é")[i % 3], t) for i, t in enumerate(random_texts(k, 90) + ["a b b A " * n for n in range(1, 9)] * 9)]
+    batch = pa.record_batch([pa.array(x) for x in zip(*items)], ["lang", "text"])
+    every = type("Bitmap", (), {"value": np.full(16, 255, np.uint8)}) if k > 1 else None
+    out = [r for b in collocations._stripes(k, every, 2)(iter([batch])) for r in b.to_pylist()]
+    found, plain = Counter(), Counter()
+    for r in out:
+        assert len(r["nexts"]) == len(r["counts"]) <= 2
+        for word, n in zip(r["nexts"], r["counts"]):
+            found[r["lang"], r["prefix"], word] += n
+    for lang, text in items:
+        for piece in re.split("[.,;:!?\\x0A-\\x0D]", text.translate(LOWER)):
+            w = re.findall("[^\\x20\\x09]+", piece)
+            plain.update((lang, " ".join(w[i : i + k - 1]), w[i + k - 1]) for i in range(len(w) - k + 1))
+            plain.update({(lang, "", None): len(w)} if k == 1 and w else {})
+    assert found == plain
+    stripes = Counter((lang, prefix) for lang, prefix, _ in plain)
+    joined = sum((n + 1) // 2 for n in stripes.values())
+    assert len(out) == joined if held == 1 << 20 else len(out) > joined
+
+
 def test_collocation_scores_beyond_64_bits(spark):
     """Products of real counts pass 64 bits: the expression on given counts."""
     a = n = 10**12
