@@ -1,14 +1,14 @@
-"""Phrase collocations by stripes: each prefix keys a counter of the words that follow it.
+"""Phrase collocations by stripes: each word keys a counter of what follows it.
 
-One pass over the texts for each phrase length k. A task counts a chunk of texts with exact word numbers as stripes: a prefix of
-k - 1 words with the words that follow it and how often (the empty prefix also with the number of all words, under null). The stripes of a task's chunks are joined
-before they are handed on, as long as they fit in HELD bytes. Stripes are then merged element by
-element with partial sums before the shuffle, so that no stripe has to fit in a task. The merged stripes, nested by their prefixes, hold the extensions
-(their elements), the totals of prefixes (a prefix is an element itself, of the stripe of its own prefix), and the subsumption maxima (the largest element of a prefix, and of a suffix).
+One pass over the texts counts the words, in a stripe of the empty prefix (with the number of all words, under null). Then a pass for each phrase length k counts the phrases of
+k words as 64-bit hashes, and a last one hands on stripes: a word with the one to four words that follow it in phrases whose hash reached `least`, and how often. A task counts a chunk of
+texts with exact word numbers; the stripes of its chunks are joined before they are handed on, as long as they fit in HELD bytes. Stripes are then merged element by
+element with partial sums before the shuffle, so that no stripe has to fit in a task. The merged stripes hold the extensions
+(their elements), the totals of the parts of a phrase (each is an element itself), and the subsumption maxima (the largest element that a phrase begins or ends).
 
 A phrase of k words can only reach `least` where both its phrases of k - 1 words do. Tasks test this with a bitmap of FILTER_BITS bits, made
-in Spark from the phrases that reached it and of the same size whatever the corpus; a false hit costs time and changes nothing. Pairs of words are by far the most numerous, so
-they are first counted as 64-bit hashes, and only pairs whose hash reached `least` travel as stripes; a hash shared by two pairs lets both through, and their own counts decide.
+in Spark from the words or hashes that reached it and of the same size whatever the corpus; a false hit costs time and changes nothing. Most phrases whose parts are frequent are rare
+themselves, so that only hashes travel of them. A hash shared by two phrases lets both through, and their own counts decide.
 
 Defined cases: a null text is empty; a null lang counts as `und`; equal rows count each; a word of bytes beyond ASCII is whole between separators; a score is
 exact (38 digits); an empty table gives an empty table; other columns are not read.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,16 +45,16 @@ def _bits(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(hashes >> np.uint64(shift)) & np.uint64(bits - 1) for shift in (0, 32)]
 
 
-def _stripes(k: int, bitmap, longest: int, pairs=None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Stripes of prefixes of k - 1 words; bitmap: broadcast, of the frequent phrases of k - 1 words (none at k = 1); longest: of a stripe's part; pairs: broadcast, a bitmap of phrases of k words that may be frequent."""
+def _stripes(k: int, bitmap, longest: int, reach: int | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Stripes of prefixes of k - 1 words and what follows them in phrases of k .. reach words (k alone if unset); bitmap: broadcast, of the phrases that may be frequent (none at k = 1); longest: of a stripe's part."""
 
-    def counted(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    def counted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = split_words(batch.column("text"), KINDS)
-        return _counted(words, batch.column("lang").dictionary_encode(), k, None if bitmap is None else bitmap.value, longest, None if pairs is None else pairs.value) if len(words) else None
+        return _counted(words, batch.column("lang").dictionary_encode(), k, reach or k, None if bitmap is None else bitmap.value, longest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for found in filter(None, map(counted, chunks(batches, "text", CHUNK))):
+        for found in chain.from_iterable(map(counted, chunks(batches, "text", CHUNK))):
             if found.nbytes > HELD:
                 yield from _sliced(found)
                 continue
@@ -127,18 +128,18 @@ def _states(words: Words, langs: pa.DictionaryArray, lang: np.ndarray, k: int) -
         yield state
 
 
-def _hashed_pairs(bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Hashes and counts of the pairs of words that are both in the bitmap."""
+def _hashed(k: int, bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Hashes and counts of the phrases of k words whose phrases of k - 1 words are both in the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", CHUNK):
             words, langs = split_words(batch.column("text"), KINDS), batch.column("lang").dictionary_encode()
             lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.row]
-            if len(words) < 2:
+            if len(words) < k:
                 continue
-            one, two = _states(words, langs, lang, 2)
-            ok = _known(bitmap.value, one)
-            found, count = np.unique(two[ok[:-1] & ok[1:] & (words.piece[:-1] == words.piece[1:])], return_counts=True)
+            *_, before, whole = _states(words, langs, lang, k)
+            ok = _known(bitmap.value, before)
+            found, count = np.unique(whole[ok[:-1] & ok[1:] & _together(words, k)], return_counts=True)
             cut = pa.array(np.append(np.arange(0, len(found), STRIPE), len(found)).astype(np.int32))
             out = [pa.ListArray.from_arrays(cut, pa.array(x.view(np.int64))) for x in (found, count.astype(np.int64))]
             yield pa.record_batch(out, ["hashes", "counts"])
@@ -146,56 +147,65 @@ def _hashed_pairs(bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _counted(words: Words, langs: pa.DictionaryArray, k: int, bitmap: np.ndarray | None, longest: int, pairs: np.ndarray | None) -> pa.RecordBatch | None:
+def _together(words: Words, size: int) -> np.ndarray:
+    """Where as many words of one piece stand, for each place as far as the words go."""
+    return words.piece[: len(words) - size + 1] == words.piece[size - 1 :]
+
+
+def _counted(words: Words, langs: pa.DictionaryArray, k: int, reach: int, bitmap: np.ndarray | None, longest: int) -> Iterator[pa.RecordBatch]:
+    """The stripes of each phrase length k .. reach."""
     lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.row]
-    n = len(words)
-    at = np.arange(n)  # where phrases start
-    if k > 1:
-        if n < k:
-            return None
-        *_, before, whole = _states(words, langs, lang, k)
-        ok = _known(bitmap, before)
-        ok = ok[:-1] & ok[1:] & (words.piece[: n - k + 1] == words.piece[k - 1 :])
-        at = np.flatnonzero(ok)
-        at = at if pairs is None else at[_known(pairs, whole[at])]
-    if not len(at):
-        return None
-    last = at + k - 1
-    used = np.zeros(n, bool)
-    for j in range(k):
+    reach = min(reach, len(words))
+    if bitmap is None:
+        phrases = {k: np.arange(len(words))} if reach >= k else {}
+    else:
+        phrases = {size: np.flatnonzero(_together(words, size)) for size in range(k, reach + 1)}
+        phrases = {size: at[_known(bitmap, whole[at])] for size, whole in enumerate(_states(words, langs, lang, reach), 1) if (at := phrases.get(size)) is not None}
+    for size, at in phrases.items():
+        if len(at):
+            yield _counted_at(words, langs, lang, k, size, at, longest)
+
+
+def _counted_at(words: Words, langs: pa.DictionaryArray, lang: np.ndarray, k: int, size: int, at: np.ndarray, longest: int) -> pa.RecordBatch:
+    """The stripes of the phrases of so many words that start at the given places."""
+    used = np.zeros(len(words), bool)
+    for j in range(size):
         used[at + j] = True
     places = np.flatnonzero(used)
     names, coded = words.coded(places)
-    ids = np.zeros(n, np.int64)
+    names = names.cast(pa.large_string())
+    ids = np.zeros(len(words), np.int64)
     ids[places] = coded
-    size = len(names) + 1
-    prefix = lang[at] * size + ids[at] if k > 1 else lang
-    for j in range(1, k - 1):
-        prefix = np.unique(prefix, return_inverse=True)[1] * size + ids[at + j]
-    where = np.zeros(int(prefix.max()) + 1, np.int64) if k < 3 else None
-    if k > 2:
-        distinct, prefix = np.unique(prefix, return_inverse=True)
-        where = np.zeros(len(distinct), np.int64)
-    where[prefix] = at  # some place of each prefix
-    keys, count = np.unique(prefix * size + ids[last], return_counts=True)
+
+    def numbered(code: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Some place of each distinct row of the columns, and each row's number."""
+        for column in more:
+            code = np.unique(code * len(names) + column, return_inverse=True)[1]
+        some = np.zeros(int(code.max()) + 1, np.int64)
+        some[code] = at
+        return some, code
+
+    def spelled(places: np.ndarray, begin: int, end: int) -> pa.Array:
+        parts = [names.take(pa.array(ids[places + j])) for j in range(begin, end)]
+        return pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if len(parts) > 1 else parts[0] if parts else pa.array([""] * len(places), pa.large_string())
+
+    heads, prefix = numbered(lang[at], *[ids[at + j] for j in range(k - 1)])
+    tails, following = numbered(*[ids[at + j] for j in range(k - 1, size)])
+    width = len(tails) + 1
+    keys, count = np.unique(prefix * width + following, return_counts=True)
     if k == 1:  # the number of all words
         total = np.bincount(prefix)
-        keys, count = np.concatenate([keys, np.arange(len(total)) * size + size - 1]), np.concatenate([count, total])
+        keys, count = np.concatenate([keys, np.arange(len(total)) * width + width - 1]), np.concatenate([count, total])
         order = np.argsort(keys, kind="stable")
         keys, count = keys[order], count[order]
-    owner, following = keys // size, keys % size
-    owners, owner = np.unique(owner, return_inverse=True)
-    heads = where[owners]
-    names = pa.concat_arrays([names, pa.nulls(1, names.type)]).cast(pa.large_string())
-    text = pa.array([""] * len(heads), pa.large_string())
-    if k > 1:
-        parts = [names.take(pa.array(ids[heads + j])) for j in range(k - 1)]
-        text = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 2 else parts[0]
-    return _laid_out(langs.dictionary.take(pa.array(lang[heads])), text, owner, names.take(pa.array(following)), count, longest)
+    owners, owner = np.unique(keys // width, return_inverse=True)
+    heads = heads[owners]
+    nexts = pa.concat_arrays([spelled(tails, k - 1, size), pa.nulls(1, pa.large_string())])
+    return _laid_out(langs.dictionary.take(pa.array(lang[heads])), spelled(heads, 0, k - 1), owner, nexts.take(pa.array(keys % width)), count, longest)
 
 
 def _set_bits(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The places of phrases (lang, phrase) or of their hashes in a bitmap of so many bits, as words of 32 bits."""
+    """The places of words (lang, word) or of hashes of phrases in a bitmap of so many bits, as words of 32 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,10 +214,8 @@ def _set_bits(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             if "hash" in batch.schema.names:
                 state = batch.column("hash").to_numpy().view(np.uint64)
             else:
-                hashes = split_words(batch.column("phrase"), byte_kinds(b" ")).hashes().reshape(batch.num_rows, -1)
-                state = name_hashes([x.encode() for x in batch.column("lang").to_pylist()])
-                for j in range(hashes.shape[1]):
-                    state = mixed(state, hashes[:, j])
+                hashes = split_words(batch.column("next"), byte_kinds(b" ")).hashes()
+                state = mixed(name_hashes([x.encode() for x in batch.column("lang").to_pylist()]), hashes)
             bits = np.unique(np.concatenate(_bits(state, size)))
             yield pa.record_batch([pa.array((bits >> np.uint64(5)).astype(np.int64)), pa.array(np.uint64(1) << (bits & np.uint64(31))).cast(pa.int64())], ["word", "bits"])
 
@@ -215,52 +223,50 @@ def _set_bits(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def frequent_bitmap(phrases: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS bits of phrases (lang, phrase: all of as many words; or hash): what reaches the driver has at most FILTER_BITS / 32 rows."""
+    """A bitmap of FILTER_BITS bits of words (lang, next) or of phrases (hash): what reaches the driver has at most FILTER_BITS / 32 rows."""
     found = phrases.mapInArrow(_set_bits(FILTER_BITS), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 32, "<u4")
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype("<u4")
     return out.view(np.uint8)
 
 
-def merged_stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> dict[int, DataFrame]:
-    """k -> elements (lang, prefix, next, a) of the stripes of prefixes of k - 1 words with a >= least. At k = 1 the prefix is empty, and its null element the number of all words."""
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text"))
-    out: dict[int, DataFrame] = {}
-    share = docs.sparkSession.sparkContext.broadcast
-    for k in range(1, longest + 1):
-        bitmap = pairs = None
-        if k > 1:
-            grown = out[k - 1].where(F.col("next").isNotNull()).select("lang", _phrase(k - 1).alias("phrase"))
-            bitmap = frequent_bitmap(grown)
-            if not bitmap.any():
-                break
-            bitmap = share(bitmap)
-        if k == 2:
-            hashed = texts.mapInArrow(_hashed_pairs(bitmap), "hashes array<long>, counts array<long>").select(F.explode(F.arrays_zip("hashes", "counts")).alias("e"))
-            pairs = share(frequent_bitmap(hashed.groupBy(F.col("e.hashes").alias("hash")).agg(F.sum("e.counts").alias("a")).where(F.col("a") >= least).select("hash")))
-        sent = texts.mapInArrow(_stripes(k, bitmap, STRIPE, pairs), STRIPES)
-        element = F.explode(F.arrays_zip("nexts", "counts")).alias("e")
-        summed = sent.select("lang", "prefix", element).groupBy("lang", "prefix", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("a"))
-        kept = summed.where((F.col("a") >= least) | (F.lit(k == 1) & F.col("next").isNull()))
-        out[k] = materialize(kept, f"stripes-{k}")
-    return out
+def _merged(texts: DataFrame, stripes: Callable, least: int, label: str) -> DataFrame:
+    """The elements (lang, prefix, next, a) of all tasks' stripes with a >= least, and of null."""
+    sent = texts.mapInArrow(stripes, STRIPES)
+    element = F.explode(F.arrays_zip("nexts", "counts")).alias("e")
+    summed = sent.select("lang", "prefix", element).groupBy("lang", "prefix", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("a"))
+    return materialize(summed.where((F.col("a") >= least) | F.col("next").isNull()), label)
 
 
-def _phrase(k: int):
-    return F.col("next") if k == 1 else F.concat("prefix", F.lit(" "), F.col("next"))
+def merged_stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame | None]:
+    """The words with a >= least (lang, prefix, next, a: the prefix is empty, the null element the number of all words) and such phrases of 2 .. longest words (lang, phrase, k, a), if any word has one."""
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text"))
+    share = docs.sparkSession.sparkContext.broadcast
+    words = _merged(texts, _stripes(1, None, STRIPE), least, "stripes-words")
+    bitmap = frequent_bitmap(words.where(F.col("next").isNotNull()).select("lang", "next"))
+    every = np.zeros_like(bitmap)
+    for k in range(2, longest + 1):
+        if not bitmap.any():
+            break
+        hashed = texts.mapInArrow(_hashed(k, share(bitmap)), "hashes array<long>, counts array<long>").select(F.explode(F.arrays_zip("hashes", "counts")).alias("e"))
+        bitmap = frequent_bitmap(hashed.groupBy(F.col("e.hashes").alias("hash")).agg(F.sum("e.counts").alias("a")).where(F.col("a") >= least).select("hash"))
+        every |= bitmap
+    if not every.any():
+        return words, None
+    phrases = _merged(texts, _stripes(2, share(every), STRIPE, longest), least, "stripes-phrases")
+    return words, phrases.select("lang", F.concat("prefix", F.lit(" "), F.col("next")).alias("phrase"), (F.size(F.split("next", " ")) + 1).alias("k"), "a")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int | None = TOP, share: int = SHARE) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the phrases of 2 .. longest words; a phrase is dropped where a longer one has `share` per cent of its occurrences."""
-    stripes = merged_stripes(docs, least, longest)
-    total = stripes[1].where(F.col("next").isNull()).select("lang", F.col("a").alias("n"))
-    if len(stripes) == 1:
+    single, found = merged_stripes(docs, least, longest)
+    total = single.where(F.col("next").isNull()).select("lang", F.col("a").alias("n"))
+    if found is None:
         return total.where("false").select("lang", F.lit(1).cast("long").alias("rank"), F.col("lang").alias("phrase"), *[F.col("n").alias(c) for c in ("a", "l", "r")], "n", F.col("n").alias("score"))
-    union = lambda parts: reduce(DataFrame.unionByName, parts)
-    found = union([stripes[k].where(F.col("next").isNotNull()).select("lang", _phrase(k).alias("phrase"), F.lit(k).alias("k"), "prefix", "a") for k in range(2, longest + 1) if k in stripes])
-    totals = union([s.where(F.col("next").isNotNull()).select("lang", _phrase(k).alias("phrase"), "a") for k, s in stripes.items() if k < longest])
+    totals = single.where(F.col("next").isNotNull()).select("lang", F.col("next").alias("phrase"), "a").unionByName(found.where(F.col("k") < longest).select("lang", "phrase", "a"))
     longer = found.where(F.col("k") > 2)
-    ends = longer.select("lang", F.col("prefix").alias("phrase"), "a").unionByName(longer.select("lang", F.expr("substr(phrase, instr(phrase, ' ') + 1)").alias("phrase"), "a"))
+    parts = [F.expr("substring_index(phrase, ' ', k - 1)"), F.expr("substr(phrase, instr(phrase, ' ') + 1)")]
+    ends = reduce(DataFrame.unionByName, [longer.select("lang", part.alias("phrase"), "a") for part in parts])
     most = ends.groupBy("lang", "phrase").agg(F.max("a").alias("within"))
     kept = found.join(most, ["lang", "phrase"], "left").where(F.col("within").isNull() | (F.lit(100) * F.col("within") < F.lit(share) * F.col("a")))
     words = F.split("phrase", " ")

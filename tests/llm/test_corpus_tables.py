@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tempfile
 import zlib
 from collections import Counter
 
@@ -125,6 +126,50 @@ def test_stripes_of_a_tasks_chunks_are_joined(monkeypatch, k, held):
     assert len(out) == joined if held == 1 << 20 else len(out) > joined
 
 
+def test_tasks_hand_on_a_stripe_for_each_word(spark, monkeypatch, tmp_path):
+    """All pairs of words are frequent, next to no longer phrases: rows handed on are at most one a task and word, and one a task and lang for the words themselves."""
+    real = collocations._stripes
+
+    def spied(*args):
+        run, folder = real(*args), str(tmp_path)
+
+        def counted(batches):
+            made = 0
+            for batch in run(batches):
+                made += batch.num_rows
+                yield batch
+            with tempfile.NamedTemporaryFile("w", dir=folder, suffix=".rows", delete=False) as out:
+                out.write(str(made))
+
+        return counted
+
+    monkeypatch.setattr(collocations, "_stripes", spied)
+    rng = random.Random(4)
+    vocabulary, tasks = [f"w{i}" for i in range(12)], 3
+    texts = [("en", " ".join(rng.choices(vocabulary, k=400))) for _ in range(18)] + [("en", "w0 W1 w2 w3 w4 w5. ") for _ in range(60)]
+    df = spark.createDataFrame(texts, "lang string, text string").repartition(tasks)
+    found = sorted(tuple(r.values()) for r in rows(collocations.collocations(df, 25, 5, None)))
+    assert found == plain_collocations(texts, 25, 5, 10**9) and {2, 5} <= {len(r[2].split()) for r in found}
+    made = sum(int(f.read_text()) for f in tmp_path.glob("*.rows"))
+    assert 0 < made <= tasks * (1 + len(vocabulary))
+
+
+@pytest.mark.parametrize("reach", [2, 3, 5])
+def test_stripes_hold_all_that_follows_a_word(reach):
+    """The stripe of a word counts what follows it in phrases of two to `reach` words, none beyond a piece, text or lang."""
+    items = [(("en", "und")[i % 2], t) for i, t in enumerate(random_texts(reach, 90) + ["a", "", "a b", "b a a b A"])]
+    batch = pa.record_batch([pa.array(x) for x in zip(*items)], ["lang", "text"])
+    every = type("Bitmap", (), {"value": np.full(16, 255, np.uint8)})
+    out = [r for b in collocations._stripes(2, every, 4096, reach)(iter([batch])) for r in b.to_pylist()]
+    plain = Counter()
+    for lang, text in items:
+        for piece in re.split("[.,;:!?\\x0A-\\x0D]", text.translate(LOWER)):
+            w = re.findall("[^\\x20\\x09]+", piece)
+            plain.update((lang, w[i], " ".join(w[i + 1 : i + k])) for k in range(2, reach + 1) for i in range(len(w) - k + 1))
+    assert {(r["lang"], r["prefix"], x): n for r in out for x, n in zip(r["nexts"], r["counts"])} == plain
+    assert len(out) == len({x[:2] for x in plain})
+
+
 def test_collocation_scores_beyond_64_bits(spark):
     """Products of real counts pass 64 bits: the expression on given counts."""
     a = n = 10**12
